@@ -1,0 +1,28 @@
+"""Exact money aggregation.
+
+Money is stored as DOUBLE, like the source. Sums of doubles depend on the
+order rows are added, which changes with partitioning, AQE re-plans and
+retries. Money is cents-denominated, so aggregates add whole cents as BIGINT
+(exact, order-free, and as cheap as a double sum inside codegen) and divide
+once at the end. The result is the correctly rounded double of the exact
+decimal sum -- the same value any engine gets from a DECIMAL(18,2) sum.
+NULL rows add nothing, as with a plain SUM/AVG.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def cents(c: Column) -> Column:
+    """Round a money amount to whole cents (BIGINT, half up)."""
+    return F.floor(c * 100 + 0.5)
+
+
+def money_sum(c: Column) -> Column:
+    return F.sum(cents(c)) / F.lit(100.0)
+
+
+def money_avg(c: Column) -> Column:
+    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(c))
