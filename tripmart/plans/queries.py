@@ -20,6 +20,9 @@ from tripmart.plans.pipeline import run_models
 from tripmart.plans.warehouse import Warehouse
 from tripmart.session import configure, scratch_dir
 from tripmart.sources import fixtures, seeds
+from tripmart.sources.ingest import read_raw
+from tripmart.sources.landing import write_landing
+from tripmart.streaming.file_stream import ingest_landing
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +128,52 @@ for _table, _cte in [("stg_trips", "stg_2"), ("fact_trips", "fact_2"), ("dim_dat
     register(f"{_table}_two_loads", O.select_all(_cte, O.two_load_ctes))(_two_load(_table))
 
 
+# --- ingest: landing files -> raw table ---------------------------------------
+
+RAW_LOADED = [c for c in O.RAW_COLUMNS if c != "ingestion_ts"]
+BLANK_NULL_MONTHS = (6,)   # June files write a missing flag as ' '
+
+
+def ingest_two_loads(spark: SparkSession, sf_dir: str, blank_null_months=()) -> DataFrame:
+    """Write each load's monthly files, then run the file stream after each.
+
+    Returns the raw table. The load stamp is the wall clock of each run, so
+    results compare on the loaded columns.
+    """
+    configure(spark)
+    root = scratch_dir(spark, "ingest")
+    raw = fixtures.raw_trips(spark, sf_dir)
+    raw_path, rejected = f"{root}/RAW/fhv_trips", f"{root}/RAW/_rejected_files"
+    for load, stamp in [(1, fixtures.LOAD_1_TS), (2, fixtures.LOAD_2_TS)]:
+        write_landing(raw.filter(F.col("ingestion_ts") == F.lit(stamp)),
+                      f"{root}/landing/load_{load}", blank_null_months)
+        ingest_landing(spark, f"{root}/landing", raw_path, rejected, f"{root}/_checkpoints/landing")
+    return read_raw(spark, raw_path)
+
+
+_FILE_GROUPS = """
+SELECT *, ingestion_ts AS load_key, strftime(pickup_datetime, '%Y-%m') AS file_month FROM raw_trips"""
+_BAD_FILES = """
+SELECT DISTINCT load_key, file_month FROM files
+WHERE month(pickup_datetime) IN ({months})
+  AND (shared_request_flag IS NULL OR shared_match_flag IS NULL OR access_a_ride_flag IS NULL
+       OR wav_request_flag IS NULL OR wav_match_flag IS NULL)"""
+
+
+@register("stream_file_ingest", O.with_ctes(O.base_ctes(), f"SELECT {', '.join(RAW_LOADED)} FROM raw_trips"))
+def q_stream_file_ingest(spark, sf_dir):
+    return ingest_two_loads(spark, sf_dir).select(*RAW_LOADED)
+
+
+@register("file_rejection", O.with_ctes(
+    [*O.base_ctes(), ("files", _FILE_GROUPS),
+     ("bad_files", _BAD_FILES.format(months=", ".join(map(str, BLANK_NULL_MONTHS))))],
+    f"SELECT {', '.join(RAW_LOADED)} FROM files f WHERE NOT EXISTS "
+    "(SELECT 1 FROM bad_files b WHERE b.load_key = f.load_key AND b.file_month = f.file_month)"))
+def q_file_rejection(spark, sf_dir):
+    return ingest_two_loads(spark, sf_dir, BLANK_NULL_MONTHS).select(*RAW_LOADED)
+
+
 def queries() -> dict[str, Builder]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
