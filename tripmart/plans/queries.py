@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripmart.operators import core
+import datetime as dt
+
+from tripmart.operators import core, quality
+from tripmart.plans import slices
 from tripmart.plans import oracle as O
 from tripmart.plans.models import FullBuild
 from tripmart.plans.pipeline import run_models
@@ -174,6 +177,136 @@ def q_file_rejection(spark, sf_dir):
     return ingest_two_loads(spark, sf_dir, BLANK_NULL_MONTHS).select(*RAW_LOADED)
 
 
+# --- data-quality checks and month completeness ----------------------------
+
+FRESHNESS_AS_OF = dt.datetime(2027, 3, 15, tzinfo=dt.timezone.utc)
+MISSING_MONTHS_YEARS, MISSING_MONTHS_MONTHS = "2023-2027", "1-12"
+SELECTED_DATES = "2024-02, 2025-13, 2026-7, not-a-month"
+
+
+def _status_sql(expr: str) -> str:
+    return f"CASE WHEN {expr} > 0 THEN 'fail' ELSE 'pass' END AS status"
+
+
+_NOT_NULL_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{col}' AS column_name, CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS null_rows, "
+    f"{_status_sql(f'COUNT(*) FILTER (WHERE {col} IS NULL)')} FROM raw_trips"
+    for col in quality.RAW_NOT_NULL)
+
+
+@register("not_null_check", O.with_ctes(O.base_ctes(), _NOT_NULL_SQL))
+def q_not_null(spark, sf_dir):
+    return quality.not_null_check(FullBuild(spark, sf_dir).raw)
+
+
+_FRESH_AGE = "CAST(floor(epoch(TIMESTAMP '2027-03-15 00:00:00') - epoch(max(ingestion_ts))) AS BIGINT)"
+_FRESH_SQL = f"""SELECT max(ingestion_ts) AS max_loaded_at, {_FRESH_AGE} AS age_seconds,
+  CASE WHEN {_FRESH_AGE} IS NULL OR {_FRESH_AGE} > {quality.ERROR_AFTER_DAYS} * 86400 THEN 'error'
+       WHEN {_FRESH_AGE} > {quality.WARN_AFTER_DAYS} * 86400 THEN 'warn' ELSE 'pass' END AS status
+FROM raw_trips"""
+
+
+@register("freshness_check", O.with_ctes(O.base_ctes(), _FRESH_SQL))
+def q_freshness(spark, sf_dir):
+    return quality.freshness_check(FullBuild(spark, sf_dir).raw, as_of=FRESHNESS_AS_OF)
+
+
+@register("unique_check", O.with_ctes(O.base_ctes(), "SELECT trip_id, COUNT(*) AS row_count FROM stg_trips "
+                                                     "GROUP BY trip_id HAVING COUNT(*) > 1"))
+def q_unique(spark, sf_dir):
+    return quality.unique_check(FullBuild(spark, sf_dir).stg, "trip_id")
+
+
+_RELATIONSHIPS = [
+    ("fact_trips.pulocation_id -> dim_location.location_id", "pulocation_id", "SELECT location_id FROM dim_location"),
+    ("fact_trips.dolocation_id -> dim_location.location_id", "dolocation_id", "SELECT location_id FROM dim_location"),
+    ("fact_trips.trip_flags_id -> dim_trip_flags.trip_flags_id", "trip_flags_id", "SELECT trip_flags_id FROM dim_trip_flags"),
+    ("fact_trips.pickup_hour -> dim_datetime.full_timestamp", "date_trunc('hour', pickup_datetime)",
+     "SELECT full_timestamp FROM dim_datetime"),
+]
+_REL_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS relationship, CAST(COUNT(*) AS BIGINT) AS orphan_rows, {_status_sql('COUNT(*)')} "
+    f"FROM fact_trips WHERE {child} NOT IN ({parent})" for name, child, parent in _RELATIONSHIPS)
+
+
+@register("relationship_check", O.with_ctes(O.base_ctes(), _REL_SQL))
+def q_relationship(spark, sf_dir):
+    m = FullBuild(spark, sf_dir)
+    return quality.relationship_check(m.fact, m.dim_datetime, m.dim_location, m.dim_trip_flags)
+
+
+_MISSING_SQL = """SELECT m AS month FROM (
+  SELECT strftime(make_date(CAST(y AS INTEGER), CAST(mo AS INTEGER), 1), '%Y-%m') AS m
+  FROM range(2023, 2028) t(y), range(1, 13) s(mo)) target
+WHERE m NOT IN (SELECT DISTINCT strftime(pickup_datetime, '%Y-%m') FROM raw_trips
+                WHERE pickup_datetime IS NOT NULL)"""
+
+
+@register("missing_months", O.with_ctes(O.base_ctes(), _MISSING_SQL))
+def q_missing_months(spark, sf_dir):
+    months = quality.month_range(MISSING_MONTHS_YEARS, MISSING_MONTHS_MONTHS)
+    return quality.missing_months(spark, FullBuild(spark, sf_dir).raw, months)
+
+
+@register("month_selection", O.with_ctes(
+    O.base_ctes(), f"SELECT {', '.join(O.RAW_COLUMNS)} FROM raw_trips "
+                   "WHERE strftime(pickup_datetime, '%Y-%m') IN ('2024-02', '2026-07')"))
+def q_month_selection(spark, sf_dir):
+    return quality.select_months(FullBuild(spark, sf_dir).raw, quality.month_list(SELECTED_DATES))
+
+
+# --- dashboard slices -----------------------------------------------------
+
+def _mt(col: str) -> str:
+    return f"CAST(SUM(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) AS {col}"
+
+
+_MONTHLY_SQL = f"""SELECT CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,
+  COUNT(*) AS days, CAST(SUM(total_trips) AS BIGINT) AS total_trips,
+  SUM(total_trip_miles) AS total_trip_miles,
+  SUM(round(total_trip_time_days * 86400)) / 86400 AS total_trip_time_days,
+  {', '.join(_mt(m) for m in slices.DAILY_MONEY)},
+  SUM(round(percent_shared_rides * total_trips / 100)) / SUM(total_trips) * 100 AS percent_shared_rides
+FROM daily GROUP BY 1, 2"""
+
+
+@register("monthly_overview", O.with_ctes(
+    [*O.base_ctes(), ("daily", O.daily_sql("fact_trips", "dim_datetime", "dim_trip_flags"))], _MONTHLY_SQL))
+def q_monthly_overview(spark, sf_dir):
+    return slices.monthly_overview(FullBuild(spark, sf_dir).daily)
+
+
+_PEAK_SQL = f"""SELECT dd.hour_24, dd.is_peak_hour, dd.is_night, dd.is_weekend, dd.is_holiday,
+  COUNT(*) AS trip_count, AVG(trip_miles) AS avg_trip_miles, AVG(trip_time) AS avg_trip_time,
+  {O.mavg('base_passenger_fare')} AS avg_passenger_fare
+FROM fact_trips ft JOIN dim_datetime dd ON date_trunc('hour', ft.pickup_datetime) = dd.full_timestamp
+GROUP BY 1, 2, 3, 4, 5"""
+
+
+@register("peak_hour_demand", O.with_ctes(O.base_ctes(), _PEAK_SQL))
+def q_peak_hour(spark, sf_dir):
+    m = FullBuild(spark, sf_dir)
+    return slices.peak_hour_demand(m.fact, m.dim_datetime)
+
+
+_ECON_SQL = f"""SELECT dd.year, dd.month, COUNT(*) AS trips,
+  {O.mavg('driver_pay')} AS avg_driver_pay, {O.mavg('driver_pay + tips')} AS avg_driver_total,
+  {O.mavg('driver_pay')} / AVG(trip_miles) AS avg_pay_per_mile,
+  {O.mavg('driver_pay')} / (AVG(trip_time) / 3600.0) AS avg_pay_per_hour,
+  COUNT(*) FILTER (WHERE pf.shared_match_flag) AS shared_rides,
+  COUNT(*) FILTER (WHERE pf.shared_match_flag) / COUNT(*) * 100 AS percent_shared_rides
+FROM fact_trips ft JOIN dim_datetime dd ON date_trunc('hour', ft.pickup_datetime) = dd.full_timestamp
+JOIN dim_trip_flags pf ON ft.trip_flags_id = pf.trip_flags_id
+WHERE ft.trip_miles > 0 AND ft.trip_time > 0
+GROUP BY 1, 2"""
+
+
+@register("driver_economics", O.with_ctes(O.base_ctes(), _ECON_SQL))
+def q_driver_economics(spark, sf_dir):
+    m = FullBuild(spark, sf_dir)
+    return slices.driver_economics(m.fact, m.dim_datetime, m.dim_trip_flags)
+
+
 def queries() -> dict[str, Builder]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
