@@ -40,7 +40,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A narrow projection: one scan of lineitem's 11 columns, no shuffle.
     """
-    li = read_table(spark, sf_dir, "lineitem", *LINEITEM_COLUMNS)
+    li = read_table(spark, sf_dir, "lineitem", *LINEITEM_COLUMNS, parallel=True)
     o, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     ln, qty = F.col("l_linenumber"), F.col("l_quantity")
 
