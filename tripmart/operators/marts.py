@@ -115,6 +115,79 @@ def build_flag(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFra
     return _typed(out, BI_FLAG)
 
 
+def build_date_marts(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame,
+                     skip_dates: dict[str, DataFrame | None] | None = None) -> dict[str, DataFrame]:
+    """Daily, driver and flag marts from one scan, one join and one aggregation.
+
+    The three marts share the fact-to-calendar and fact-to-flags joins and
+    the date grain; they differ only in which trips count (driver and flag
+    take positive trips). Conditional aggregates compute all of them in one
+    pass; the per-date result -- one row per date -- is cached and split.
+    Each mart then drops the dates it already holds (``skip_dates`` by mart
+    name). Values equal :func:`build_daily`, :func:`build_driver` and
+    :func:`build_flag`. The cached aggregate is returned under ``"_cache"``
+    for the caller to unpersist after writing.
+    """
+    skip_dates = skip_dates or {}
+    j = _by_hour(fact, dim_datetime, ["date_key"])
+    j = j.join(bounded_broadcast(dim_trip_flags), "trip_flags_id")
+    pos = (c("trip_miles") > 0) & (c("trip_time") > 0)
+
+    def p(x: Column) -> Column:          # value for positive trips, else NULL
+        return F.when(pos, x)
+
+    fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
+    cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
+                                c("sales_tax"), c("bcf"), c("driver_pay"))
+    sums = {
+        "n": F.count(F.lit(1)), "miles": F.sum("trip_miles"), "time": F.sum("trip_time"),
+        "spend": F.sum(cents(fare + tips + tolls + apt + cong + cbd + tax + bcf)),
+        "gross": F.sum(cents(fare + cong + cbd)), "earn": F.sum(cents(pay + tips)),
+        "fees": F.sum(cents(tax + bcf + cong + cbd + apt)), "net": F.sum(cents((fare + cong + cbd) - pay)),
+        "shared": _flag_count("shared_match_flag"),
+        "n_pos": F.count_if(pos),
+        "p_miles": F.sum(p(c("trip_miles"))), "p_n_miles": F.count(p(c("trip_miles"))),
+        "p_time": F.sum(p(c("trip_time"))), "p_n_time": F.count(p(c("trip_time"))),
+        "p_pay": F.sum(p(cents(pay))), "p_n_pay": F.count(p(pay)),
+        "p_tips": F.sum(p(cents(tips))), "p_n_tips": F.count(p(tips)),
+        "p_total": F.sum(p(cents(pay + tips))), "p_n_total": F.count(p(pay + tips)),
+        **{f"p_{f}": F.count_if(pos & c(f)) for f in ["shared_request_flag", "shared_match_flag",
+                                                     "wav_request_flag", "wav_match_flag",
+                                                     "access_a_ride_flag"]},
+    }
+    agg = j.groupBy("date_key").agg(*[v.alias(k) for k, v in sums.items()]).persist()
+
+    def money(s: str, n: str | None = None) -> Column:
+        total = c(s) / F.lit(100.0)
+        return total if n is None else F.try_divide(total, c(n))
+
+    avg_pay = money("p_pay", "p_n_pay")
+    avg_time = F.try_divide(c("p_time"), c("p_n_time"))
+    out = {
+        "bi_daily_metrics": _typed(agg.select(
+            "date_key", c("n").alias("total_trips"), c("miles").alias("total_trip_miles"),
+            (c("time") / F.lit(86400.0)).alias("total_trip_time_days"),
+            money("spend").alias("passenger_total_spend"), money("gross").alias("platform_gross_revenue"),
+            money("earn").alias("driver_total_earnings"), money("fees").alias("fees_and_taxes"),
+            money("net").alias("platform_net_earnings"),
+            (c("shared") / c("n") * 100).alias("percent_shared_rides")), BI_DAILY),
+        "bi_driver_metrics": _typed(agg.filter(c("n_pos") > 0).select(
+            "date_key", F.try_divide(c("p_miles"), c("p_n_miles")).alias("avg_trip_miles"),
+            avg_time.alias("avg_trip_time_seconds"), avg_pay.alias("avg_driver_pay"),
+            money("p_tips", "p_n_tips").alias("avg_tips"), money("p_total", "p_n_total").alias("avg_driver_total"),
+            F.try_divide(avg_pay, F.try_divide(c("p_miles"), c("p_n_miles"))).alias("avg_pay_per_mile"),
+            F.try_divide(avg_pay, avg_time / F.lit(3600.0)).alias("avg_pay_per_hour")), BI_DRIVER),
+        "bi_flag_metrics": _typed(agg.filter(c("n_pos") > 0).select(
+            "date_key", c("n_pos").alias("total_trips"),
+            c("p_shared_request_flag").alias("total_shared_rides_requested"),
+            c("p_shared_match_flag").alias("total_shared_rides_matched"),
+            c("p_wav_request_flag").alias("total_wav_requested"),
+            c("p_wav_match_flag").alias("total_wav_matched"),
+            c("p_access_a_ride_flag").alias("total_access_a_ride_requested")), BI_FLAG),
+    }
+    return {**{name: _skip(df, skip_dates.get(name)) for name, df in out.items()}, "_cache": agg}
+
+
 GEO_KEYS = ["date_key", "year", "month", "day_of_week", "hour_24",
             "pu_borough", "pu_zone", "do_borough", "do_zone"]
 

@@ -257,6 +257,12 @@ def two_load_ctes() -> list[tuple[str, str]]:
         ("daily_1", daily_sql("fact_1", "dd_1", "dim_trip_flags")),
         ("daily_2", "SELECT * FROM daily_1 UNION ALL\n"
                     + daily_sql("fact_2", "dd_2", "dim_trip_flags", done="daily_1")),
+        ("driver_1", driver_sql("fact_1", "dd_1", "dim_trip_flags")),
+        ("driver_2", "SELECT * FROM driver_1 UNION ALL\n"
+                     + driver_sql("fact_2", "dd_2", "dim_trip_flags", done="driver_1")),
+        ("flag_1", flag_sql("fact_1", "dd_1", "dim_trip_flags")),
+        ("flag_2", "SELECT * FROM flag_1 UNION ALL\n"
+                   + flag_sql("fact_2", "dd_2", "dim_trip_flags", done="flag_1")),
         ("geo_1", geo_sql("fact_1", "dd_1", "dim_location")),
         ("geo_2", "SELECT * FROM geo_1 UNION ALL\n"
                   + geo_sql("fact_2", "dd_2", "dim_location", done="geo_1")),

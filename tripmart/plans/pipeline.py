@@ -27,12 +27,7 @@ from tripmart.operators.staging import FIRST_RUN, high_water_mark, stage_trips
 from tripmart.plans.warehouse import Warehouse
 from tripmart.session import shared_root
 
-MARTS = {
-    "bi_daily_metrics": (marts.build_daily, "dim_trip_flags"),
-    "bi_driver_metrics": (marts.build_driver, "dim_trip_flags"),
-    "bi_flag_metrics": (marts.build_flag, "dim_trip_flags"),
-    "bi_geo_time_metrics": (marts.build_geo, "dim_location"),
-}
+DATE_MARTS = ["bi_daily_metrics", "bi_driver_metrics", "bi_flag_metrics"]
 
 
 @dataclass
@@ -86,16 +81,20 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
         rep.first_run["dim_datetime"] = True
         wh.overwrite("dim_datetime", dd_new)
 
-    # Marts: new dates only.
+    # Marts: new dates only. The three date-grain marts come from one pass.
     fact = wh.read("fact_trips", periods)
     dd = wh.read("dim_datetime")
-    for name, (build, dim) in MARTS.items():
-        if wh.exists(name):
-            rep.first_run[name] = False
-            wh.append(name, build(fact, dd, wh.read(dim), skip_dates=wh.read(name)))
-        else:
-            rep.first_run[name] = True
-            wh.overwrite(name, build(fact, dd, wh.read(dim)))
+    done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if wh.exists(name)}
+    built = marts.build_date_marts(fact, dd, wh.read("dim_trip_flags"), done)
+    built["bi_geo_time_metrics"] = marts.build_geo(fact, dd, wh.read("dim_location"),
+                                                   done.get("bi_geo_time_metrics"))
+    cache = built.pop("_cache")
+    try:
+        for name, df in built.items():
+            rep.first_run[name] = name not in done
+            (wh.append if name in done else wh.overwrite)(name, df)
+    finally:
+        cache.unpersist()
 
     if periods is not None:
         wh.set_pending_periods([])

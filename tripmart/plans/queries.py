@@ -72,6 +72,18 @@ def q_hour_spine(spark, sf_dir):
     return core.hour_spine(spark, *core.hour_range(m.stg))
 
 
+@register("zone_lookup_csv", O.select_all("dim_location"))
+def q_zone_lookup_csv(spark, sf_dir):
+    """The zone lookup written as the publisher's CSV (its own header), read
+    back through the seed reader that standardises the header."""
+    configure(spark)
+    path = scratch_dir(spark, "seeds", "zone_lookup")
+    zones = fixtures.zone_lookup(spark, sf_dir).toDF("LocationID", "Borough", "Zone", "service_zone")
+    # A lookup seed is one small file (one row per zone).
+    zones.coalesce(1).write.option("header", True).csv(path)
+    return core.build_dim_location(seeds.read_zone_lookup_csv(spark, path))
+
+
 # --- marts ----------------------------------------------------------------
 
 @register("bi_daily_metrics", O.with_ctes(O.base_ctes(), O.daily_sql("fact_trips", "dim_datetime", "dim_trip_flags")))
@@ -127,7 +139,8 @@ def _two_load(table: str) -> Builder:
 
 
 for _table, _cte in [("stg_trips", "stg_2"), ("fact_trips", "fact_2"), ("dim_datetime", "dd_2"),
-                     ("bi_daily_metrics", "daily_2"), ("bi_geo_time_metrics", "geo_2")]:
+                     ("bi_daily_metrics", "daily_2"), ("bi_driver_metrics", "driver_2"),
+                     ("bi_flag_metrics", "flag_2"), ("bi_geo_time_metrics", "geo_2")]:
     register(f"{_table}_two_loads", O.select_all(_cte, O.two_load_ctes))(_two_load(_table))
 
 

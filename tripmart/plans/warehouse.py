@@ -147,6 +147,19 @@ class Warehouse:
         self.replace_periods(name, merged)
         return periods
 
+    def register_views(self) -> list[str]:
+        """Expose every built table as a temp view ``<layer>_<name>`` and ``<name>``
+        so the marts can be queried with ``spark.sql``."""
+        names = []
+        for name, spec in TABLES.items():
+            if name.startswith("_") or not self.exists(name):
+                continue
+            df = self.logical(name)
+            for view in (name, f"{spec.layer.lower()}_{name}"):
+                df.createOrReplaceTempView(view)
+                names.append(view)
+        return names
+
     # -- run state ------------------------------------------------------------
     def pending_periods(self) -> list:
         if not self.exists("_pending_periods"):
