@@ -22,12 +22,12 @@ def build_fact(stg: DataFrame) -> DataFrame:
     return stg.select(*[cols[f.name].alias(f.name) for f in FACT_TRIPS.fields])
 
 
-def hour_range(stg: DataFrame) -> tuple[str | None, int]:
-    """First hour (as text) and number of hours covered by staged pickups.
+def hour_range(stg: DataFrame, column: str = "pickup_datetime") -> tuple[str | None, int]:
+    """First hour (as text) and number of hours covered by ``column``.
 
     One global MIN/MAX aggregate (partial per task, one row to the driver).
     """
-    b = stg.agg(F.min("pickup_datetime").alias("lo"), F.max("pickup_datetime").alias("hi"))
+    b = stg.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
     lo, hi = hour_floor("lo"), hour_floor("hi")
     row = b.select(lo.cast("string"), F.timestamp_diff("HOUR", lo, hi)).first()
     if row[0] is None:
@@ -49,14 +49,16 @@ def hour_spine(spark: SparkSession, first_hour: str | None, hours: int) -> DataF
         F.timestamp_add("HOUR", F.col("id"), start).alias("date_hour"))
 
 
-def build_dim_datetime(stg: DataFrame, holidays: DataFrame) -> DataFrame:
+def build_dim_datetime(stg: DataFrame, holidays: DataFrame,
+                       span: tuple[str | None, int] | None = None) -> DataFrame:
     """Hour calendar from the first to the last staged pickup hour.
 
     Each hour carries date parts, peak/night/weekend flags and, through a
-    left join on the date, the holiday flag and name.
+    left join on the date, the holiday flag and name. ``span`` (first hour,
+    hours) overrides the range computed from ``stg``.
     """
     spark = stg.sparkSession
-    spine = hour_spine(spark, *hour_range(stg))
+    spine = hour_spine(spark, *(span or hour_range(stg)))
     hol = bounded_broadcast(holidays.select("holiday_date", "holiday_name"))
     j = spine.join(hol, spine.date_hour.cast("date") == hol.holiday_date, "left")
     cols = calendar_columns("date_hour") + [

@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripmart.operators import core, marts
 from tripmart.operators.joins import anti_join_keys
@@ -48,15 +49,18 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     if not wh.exists("stg_trips"):
         rep.first_run["stg_trips"] = True
         wh.overwrite("stg_trips", stage_trips(raw, FIRST_RUN))
+        wh.set_high_water_mark(high_water_mark(wh.read("stg_trips")))
         periods = None
     else:
         rep.first_run["stg_trips"] = False
-        rep.high_water_mark = high_water_mark(wh.read("stg_trips"))
+        rep.high_water_mark = wh.high_water_mark()
         new = stage_trips(raw, after=rep.high_water_mark)
         touched = wh.periods_of(new)
         periods = sorted(set(touched) | set(wh.pending_periods()))
         wh.set_pending_periods(periods)
         wh.upsert("stg_trips", new, "trip_id", periods=touched)
+        if touched:
+            wh.set_high_water_mark(high_water_mark(wh.read("stg_trips", touched)))
     rep.periods = periods or []
 
     # Fact: add staged trips whose key is new (pruned to touched periods).
@@ -73,13 +77,18 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     # Dimensions.
     wh.overwrite("dim_location", core.build_dim_location(zone_lookup))
     wh.overwrite("dim_trip_flags", core.build_dim_trip_flags(spark))
-    dd_new = core.build_dim_datetime(wh.read("stg_trips").select("pickup_datetime"), holidays)
     if wh.exists("dim_datetime"):
+        # The calendar already spans every earlier staged pickup; widen it by
+        # the touched periods only (staging's range only grows).
         rep.first_run["dim_datetime"] = False
+        old = wh.read("dim_datetime").select(F.col("full_timestamp").alias("h"))
+        new = wh.read("stg_trips", periods).select(F.col("pickup_datetime").alias("h"))
+        span = core.hour_range(old.unionByName(new), "h")
+        dd_new = core.build_dim_datetime(stg, holidays, span=span)
         wh.append("dim_datetime", anti_join_keys(dd_new, wh.read("dim_datetime"), ["datetime_key"]))
     else:
         rep.first_run["dim_datetime"] = True
-        wh.overwrite("dim_datetime", dd_new)
+        wh.overwrite("dim_datetime", core.build_dim_datetime(wh.read("stg_trips"), holidays))
 
     # Marts: new dates only. The three date-grain marts come from one pass.
     fact = wh.read("fact_trips", periods)

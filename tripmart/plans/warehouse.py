@@ -42,6 +42,7 @@ TABLES: dict[str, TableSpec] = {
     "bi_flag_metrics": TableSpec("MARTS", schemas.BI_FLAG, False, "date_key"),
     "bi_geo_time_metrics": TableSpec("MARTS", schemas.BI_GEO, False, "date_key"),
     "_pending_periods": TableSpec("STATE", T.StructType([T.StructField(PERIOD, T.DateType())])),
+    "_high_water_mark": TableSpec("STATE", T.StructType([T.StructField("ingestion_micros", T.LongType())])),
 }
 
 
@@ -166,6 +167,30 @@ class Warehouse:
             return []
         return sorted(r[0] for r in self.read("_pending_periods").collect())
 
+    def high_water_mark(self):
+        """Staging's high-water mark (epoch micros, ``None`` if empty).
+
+        Read from the state table written after each staging write; a
+        missing state falls back to ``max(ingestion_ts)`` over staging. The
+        state never runs ahead of staging (it is written after the commit),
+        so a stale value only re-stages rows the upsert replaces with
+        themselves.
+        """
+        from tripmart.operators.staging import high_water_mark
+        if self.exists("_high_water_mark"):
+            rows = self.read("_high_water_mark").collect()
+            return rows[0][0] if rows else None
+        return high_water_mark(self.read("stg_trips"))
+
+    def set_high_water_mark(self, micros, previous=None) -> None:
+        if previous is None and self.exists("_high_water_mark"):
+            rows = self.read("_high_water_mark").collect()
+            previous = rows[0][0] if rows else None
+        marks = [m for m in (micros, previous) if m is not None]
+        rows = [(max(marks),)] if marks else []
+        df = self.spark.createDataFrame(rows, TABLES["_high_water_mark"].schema)
+        df.coalesce(1).write.mode("overwrite").parquet(self.path("_high_water_mark"))
+
     def set_pending_periods(self, periods) -> None:
         rows = [(p,) for p in sorted(set(periods))]
         df = self.spark.createDataFrame(rows, TABLES["_pending_periods"].schema)
