@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import calendar_columns, hour_floor
 from tripmart.functions.keys import surrogate_key
-from tripmart.operators.joins import bounded_broadcast
+from tripmart.operators.joins import bounded_broadcast, row_bound, with_row_bound
 from tripmart.schemas import DIM_DATETIME, DIM_LOCATION, FACT_TRIPS, FLAGS
 
 # Rows per task when generating the hour spine.
@@ -58,15 +58,19 @@ def build_dim_datetime(stg: DataFrame, holidays: DataFrame,
     hours) overrides the range computed from ``stg``.
     """
     spark = stg.sparkSession
-    spine = hour_spine(spark, *(span or hour_range(stg)))
-    hol = bounded_broadcast(holidays.select("holiday_date", "holiday_name"))
+    first_hour, hours = span or hour_range(stg)
+    spine = hour_spine(spark, first_hour, hours)
+    hol = bounded_broadcast(holidays.select("holiday_date", "holiday_name"), basis=holidays)
     j = spine.join(hol, spine.date_hour.cast("date") == hol.holiday_date, "left")
     cols = calendar_columns("date_hour") + [
         F.col("holiday_date").isNotNull().alias("is_holiday"),
         F.col("holiday_name"),
     ]
     out = j.select(*cols)
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in DIM_DATETIME.fields])
+    out = out.select(*[F.col(f.name).cast(f.dataType) for f in DIM_DATETIME.fields])
+    # Left join: each hour survives once, and a holiday row can add at most
+    # its date's 24 hours -- a proven bound without counting.
+    return with_row_bound(out, hours + 24 * row_bound(holidays))
 
 
 def build_dim_location(zone_lookup: DataFrame) -> DataFrame:
@@ -84,4 +88,5 @@ def build_dim_trip_flags(spark: SparkSession) -> DataFrame:
     n = len(FLAGS)
     bits = [((F.col("id").bitwiseAND(1 << (n - 1 - i))) != 0).alias(c) for i, c in enumerate(FLAGS)]
     combos = spark.range(0, FLAG_COMBINATIONS, 1, 1).select(*bits)
-    return combos.select(surrogate_key(*FLAGS).alias("trip_flags_id"), *FLAGS)
+    return with_row_bound(combos.select(surrogate_key(*FLAGS).alias("trip_flags_id"), *FLAGS),
+                          FLAG_COMBINATIONS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +13,37 @@ from pyspark.sql import functions as F
 # convert at runtime from measured sizes.
 BROADCAST_ROW_LIMIT = 500_000
 
+# Proven upper bounds on row counts, per DataFrame object: set where the
+# construction fixes the size (32 flag combinations, a calendar of known
+# hours), or memoised after a count.
+_ROW_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def with_row_bound(df: DataFrame, rows: int) -> DataFrame:
+    """Record that ``df`` has at most ``rows`` rows."""
+    _ROW_BOUNDS[df] = rows
+    return df
+
+
+def row_bound(df: DataFrame, count: bool = True) -> int | None:
+    """A proven upper bound on the rows of ``df``: recorded, else counted (and recorded)."""
+    n = _ROW_BOUNDS.get(df)
+    if n is None and count:
+        n = df.count()
+        _ROW_BOUNDS[df] = n
+    return n
+
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
-                      rows: int | None = None) -> DataFrame:
+                      rows: int | None = None, basis: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``limit`` rows.
 
-    ``rows`` is a bound known by construction (e.g. 32 flag combinations);
-    without it the rows are counted, which is cheap for the small
-    dimension-sized inputs this is meant for.
+    The size comes from ``rows``, else from the bound of ``basis`` (the
+    dimension ``df`` projects or filters), else of ``df`` itself -- counted
+    once when no bound is known, which is cheap for the dimension-sized
+    inputs this is meant for.
     """
-    n = rows if rows is not None else df.count()
+    n = rows if rows is not None else row_bound(basis if basis is not None else df)
     return F.broadcast(df) if n <= limit else df
 
 

@@ -30,7 +30,7 @@ def _typed(df: DataFrame, schema) -> DataFrame:
 def _by_hour(df: DataFrame, dim_datetime: DataFrame, columns: list[str],
              ts: str = "pickup_datetime") -> DataFrame:
     """Inner join rows to the hour calendar on the hour of ``ts``."""
-    dd = bounded_broadcast(dim_datetime.select("full_timestamp", *columns))
+    dd = bounded_broadcast(dim_datetime.select("full_timestamp", *columns), basis=dim_datetime)
     hourly = df.withColumn("_hour", hour_floor(ts)) if ts != "_hour" else df
     return hourly.join(dd, c("_hour") == c("full_timestamp")).drop("_hour", "full_timestamp")
 
@@ -58,7 +58,7 @@ def build_daily(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFr
     coalesce); trips with an unknown flag combination drop out at the join.
     """
     j = _skip(_by_hour(fact, dim_datetime, ["date_key"]), skip_dates)
-    flags = bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"))
+    flags = bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"), basis=dim_trip_flags)
     j = j.join(flags, "trip_flags_id")
     fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
     cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
@@ -85,7 +85,8 @@ def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataF
     only filters (its key is unique), so it is a semi-join.
     """
     j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates)
-    j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id")), "trip_flags_id", "left_semi")
+    j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id"), basis=dim_trip_flags),
+               "trip_flags_id", "left_semi")
     pay, tips = c("driver_pay"), c("tips")
     out = j.groupBy("date_key").agg(
         F.avg("trip_miles").alias("avg_trip_miles"),
@@ -212,8 +213,8 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
     j = _skip(_by_hour(part, dim_datetime, ["date_key", "year", "month", "day_of_week", "hour_24"],
                        ts="_hour"), skip_dates)
     loc = dim_location.select("location_id", "borough", "zone")
-    pu = bounded_broadcast(loc.toDF("_pu_id", "pu_borough", "pu_zone"))
-    do = bounded_broadcast(loc.toDF("_do_id", "do_borough", "do_zone"))
+    pu = bounded_broadcast(loc.toDF("_pu_id", "pu_borough", "pu_zone"), basis=dim_location)
+    do = bounded_broadcast(loc.toDF("_do_id", "do_borough", "do_zone"), basis=dim_location)
     j = (j.join(pu, c("pulocation_id") == c("_pu_id"))
           .join(do, c("dolocation_id") == c("_do_id")))
     out = j.groupBy(*GEO_KEYS).agg(

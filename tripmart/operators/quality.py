@@ -70,7 +70,7 @@ def relationship_check(fact: DataFrame, dim_datetime: DataFrame, dim_location: D
     """
     def marker(dim: DataFrame, key: str, alias: str) -> DataFrame:
         keys = dim.select(F.col(key).alias(alias)).distinct().withColumn(f"{alias}_ok", F.lit(True))
-        return bounded_broadcast(keys)
+        return bounded_broadcast(keys, basis=dim)
 
     f = fact.select("pulocation_id", "dolocation_id", "trip_flags_id",
                     hour_floor("pickup_datetime").alias("_hour"))

@@ -58,7 +58,8 @@ def peak_hour_demand(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
 def driver_economics(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame) -> DataFrame:
     """Driver pay and shared-ride share per month over positive trips."""
     j = _by_hour(_positive(fact), dim_datetime, ["year", "month"])
-    j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag")), "trip_flags_id")
+    j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"),
+                                 basis=dim_trip_flags), "trip_flags_id")
     pay = c("driver_pay")
     return j.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("trips"),

@@ -52,8 +52,9 @@ ZONE_HEADER = ["location_id", "borough", "zone", "service_zone"]
 
 def holidays(spark: SparkSession) -> DataFrame:
     """The built-in holiday calendar as (holiday_date DATE, holiday_name)."""
+    from tripmart.operators.joins import with_row_bound
     rows = [(dt.date.fromisoformat(d), n) for d, n in US_HOLIDAYS]
-    return spark.createDataFrame(rows, HOLIDAYS)
+    return with_row_bound(spark.createDataFrame(rows, HOLIDAYS), len(rows))
 
 
 def read_holidays_csv(spark: SparkSession, path: str) -> DataFrame:
