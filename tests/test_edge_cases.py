@@ -187,3 +187,25 @@ def test_location_id_out_of_range_rejects_file(spark, workdir):
     _landing(spark, [trip(D2)], f"{land}/good")
     ingest_landing(spark, land, f"{workdir}/raw", f"{workdir}/rej", f"{workdir}/ck")
     assert [r.pickup_datetime for r in read_raw(spark, f"{workdir}/raw").collect()] == [D2]
+
+
+def test_hot_key_holding_a_third_of_rows(spark, workdir):
+    from tripmart.operators.quality import unique_check
+
+    wh = Warehouse(spark, workdir, grain="day")
+    hol = seeds.holidays(spark)
+    hot = [trip(D1, tips=float(i)) for i in range(40)]                  # one trip_id, 40 rows
+    other = [trip(D1 + dt.timedelta(minutes=i + 1)) for i in range(80)]
+    run_models(wh, raw_df(spark, hot + other), zones(spark), hol)
+    assert wh.logical("stg_trips").count() == 120 and wh.logical("fact_trips").count() == 120
+    dup = unique_check(wh.logical("fact_trips"), "trip_id").collect()
+    assert [(r.row_count) for r in dup] == [40]
+    assert wh.logical("bi_daily_metrics").first().total_trips == 120
+
+    late_hot = [trip(D1, tips=100.0 + i, ingestion_ts=LOAD2) for i in range(20)]
+    run_models(wh, raw_df(spark, hot + other + late_hot), zones(spark), hol)
+    stg = wh.logical("stg_trips")
+    assert stg.count() == 100                                  # all 40 hot rows replaced by the 20 new
+    assert stg.filter(F.col("tips") >= 100).count() == 20
+    assert wh.logical("fact_trips").count() == 120             # key already in the fact
+    assert wh.logical("bi_daily_metrics").first().total_trips == 120
