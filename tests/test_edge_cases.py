@@ -209,3 +209,21 @@ def test_hot_key_holding_a_third_of_rows(spark, workdir):
     assert stg.filter(F.col("tips") >= 100).count() == 20
     assert wh.logical("fact_trips").count() == 120             # key already in the fact
     assert wh.logical("bi_daily_metrics").first().total_trips == 120
+
+
+def test_missing_downstream_tables_are_rebuilt_in_full(spark, workdir):
+    """A first run that died after staging: the next run builds the fact,
+    dimensions and marts from all of staging, not just the new periods."""
+    from tripmart.operators.staging import high_water_mark
+
+    wh = Warehouse(spark, workdir, grain="day")
+    hol = seeds.holidays(spark)
+    first = [trip(D1), trip(D2)]
+    wh.overwrite("stg_trips", stage_trips(raw_df(spark, first)))       # only staging committed
+    wh.set_high_water_mark(high_water_mark(wh.read("stg_trips")))
+    late = trip(dt.datetime(2025, 3, 9, 7, 0), ingestion_ts=LOAD2)
+    rep = run_models(wh, raw_df(spark, first + [late]), zones(spark), hol)
+    assert rep.first_run["stg_trips"] is False and rep.first_run["fact_trips"] is True
+    assert wh.logical("fact_trips").count() == 3
+    assert sum(r.trip_count for r in wh.logical("bi_geo_time_metrics").collect()) == 3
+    assert wh.logical("bi_daily_metrics").count() == 3

@@ -64,15 +64,16 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     rep.periods = periods or []
 
     # Fact: add staged trips whose key is new (pruned to touched periods).
+    # A missing target is built from all of staging, whatever ran before.
     stg = wh.read("stg_trips", periods)
-    fact_new = wh.with_period(core.build_fact(stg))
     if wh.exists("fact_trips"):
         rep.first_run["fact_trips"] = False
+        fact_new = wh.with_period(core.build_fact(stg))
         existing = wh.read("fact_trips", periods)
         wh.append("fact_trips", anti_join_keys(fact_new, existing, ["pickup_period", "trip_id"]))
     else:
         rep.first_run["fact_trips"] = True
-        wh.overwrite("fact_trips", fact_new)
+        wh.overwrite("fact_trips", wh.with_period(core.build_fact(wh.read("stg_trips"))))
 
     # Dimensions.
     wh.overwrite("dim_location", core.build_dim_location(zone_lookup))
@@ -91,9 +92,10 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
         wh.overwrite("dim_datetime", core.build_dim_datetime(wh.read("stg_trips"), holidays))
 
     # Marts: new dates only. The three date-grain marts come from one pass.
-    fact = wh.read("fact_trips", periods)
     dd = wh.read("dim_datetime")
     done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if wh.exists(name)}
+    # New dates live in the touched periods; a missing mart needs the whole fact.
+    fact = wh.read("fact_trips", periods if len(done) == len(DATE_MARTS) + 1 else None)
     built = marts.build_date_marts(fact, dd, wh.read("dim_trip_flags"), done)
     built["bi_geo_time_metrics"] = marts.build_geo(fact, dd, wh.read("dim_location"),
                                                    done.get("bi_geo_time_metrics"))
