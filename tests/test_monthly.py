@@ -43,3 +43,19 @@ def test_monthly_runs(spark, workdir):
         sql = O.with_ctes(O.two_load_ctes(), f"SELECT {', '.join(cols)} FROM {cte}")
         want = sorted((tuple(r) for r in con.execute(sql).fetchall()), key=key)
         assert got == want, table
+
+
+def test_views_expose_tables_to_sql(spark, workdir):
+    from tripmart.plans.pipeline import run_models
+    from tripmart.plans.warehouse import Warehouse
+    from tripmart.sources import seeds
+
+    wh = Warehouse(spark, workdir, grain="month")
+    run_models(wh, fixtures.raw_trips_load(spark, SF_SMALL, 1), fixtures.zone_lookup(spark, SF_SMALL),
+               seeds.holidays(spark))
+    views = wh.register_views()
+    assert {"bi_daily_metrics", "marts_bi_daily_metrics", "staging_stg_trips"} <= set(views)
+    total = spark.sql("SELECT SUM(total_trips) AS n FROM marts_bi_daily_metrics").first().n
+    joined = spark.sql("""SELECT COUNT(*) AS n FROM fact_trips f
+                          JOIN dim_trip_flags d ON f.trip_flags_id = d.trip_flags_id""").first().n
+    assert total == joined > 0

@@ -14,8 +14,6 @@ from tripmart.sources.seeds import US_HOLIDAYS
 
 RAW_COLUMNS = ["hvfhs_license_num", *TIMESTAMPS, "PULocationID", "DOLocationID", "trip_miles",
                "trip_time", *MONEY, *FLAGS, "ingestion_ts"]
-STG_COLUMNS = ["trip_id", *TIMESTAMPS, "pulocation_id", "dolocation_id", "trip_miles",
-               "trip_time", *MONEY, *FLAGS, "ingestion_ts"]
 FACT_MEASURE_COLUMNS = ["trip_id", *TIMESTAMPS, "pulocation_id", "dolocation_id", "trip_miles",
                         "trip_time", *MONEY]
 

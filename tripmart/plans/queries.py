@@ -7,17 +7,14 @@ names equal the oracle's.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import functions as F
-
-import datetime as dt
-
 from tripmart.operators import core, quality
-from tripmart.plans import slices
 from tripmart.plans import oracle as O
+from tripmart.plans import slices
 from tripmart.plans.models import FullBuild
 from tripmart.plans.pipeline import run_models
 from tripmart.plans.warehouse import Warehouse
@@ -125,7 +122,7 @@ def two_load_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     wh = Warehouse(spark, scratch_dir(spark, "two-load"), grain="month")
     raw = fixtures.raw_trips(spark, sf_dir)
     zones, hol = fixtures.zone_lookup(spark, sf_dir), seeds.holidays(spark)
-    run_models(wh, raw.filter(F.col("ingestion_ts") == F.lit(fixtures.LOAD_1_TS)), zones, hol)
+    run_models(wh, fixtures.raw_trips_load(spark, sf_dir, 1), zones, hol)
     run_models(wh, raw, zones, hol)
     _RUNS[key] = wh
     return wh
@@ -158,11 +155,10 @@ def ingest_two_loads(spark: SparkSession, sf_dir: str, blank_null_months=()) ->
     """
     configure(spark)
     root = scratch_dir(spark, "ingest")
-    raw = fixtures.raw_trips(spark, sf_dir)
     raw_path, rejected = f"{root}/RAW/fhv_trips", f"{root}/RAW/_rejected_files"
-    for load, stamp in [(1, fixtures.LOAD_1_TS), (2, fixtures.LOAD_2_TS)]:
-        write_landing(raw.filter(F.col("ingestion_ts") == F.lit(stamp)),
-                      f"{root}/landing/load_{load}", blank_null_months)
+    for load in (1, 2):
+        write_landing(fixtures.raw_trips_load(spark, sf_dir, load), f"{root}/landing/load_{load}",
+                      blank_null_months)
         ingest_landing(spark, f"{root}/landing", raw_path, rejected, f"{root}/_checkpoints/landing")
     return read_raw(spark, raw_path)
 
