@@ -42,7 +42,7 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
                holidays: DataFrame) -> RunReport:
     """Bring every model in ``wh`` up to date with ``raw``."""
     spark = wh.spark
-    shared_root(spark)  # checkpoint folder for the upsert
+    shared_root(spark)  # shared folder for the upsert's Parquet copy
     rep = RunReport()
 
     # Staging: high-water mark + keyed upsert.

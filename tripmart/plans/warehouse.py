@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tripmart import schemas
 from tripmart.functions.calendar import period_of
 from tripmart.operators.joins import anti_join_keys
-from tripmart.session import configure, path_exists
+from tripmart.session import configure, delete_path, path_exists, scratch_dir
 
 PERIOD = "pickup_period"
 
@@ -131,9 +131,10 @@ class Warehouse:
         Only the periods ``updates`` touch are read and rewritten. Every
         target row whose key appears in ``updates`` is replaced (duplicate
         keys in ``updates`` are all kept). The merged periods are
-        checkpointed to the shared folder before the dynamic overwrite, so a
-        task recomputed after an executor loss never reads the partitions
-        being replaced. Returns the touched periods.
+        written to a Parquet copy in the shared folder before the dynamic
+        overwrite, so a task recomputed after an executor loss never reads the partitions
+        being replaced (the copy is removed after the commit). Returns the
+        touched periods.
         """
         if periods is None:
             periods = self.periods_of(updates)
@@ -144,8 +145,13 @@ class Warehouse:
             return periods
         new = self.with_period(updates)
         keep = anti_join_keys(self.read(name, periods), new, [PERIOD, key])
-        merged = keep.unionByName(new.select(*keep.columns)).checkpoint(eager=True)
-        self.replace_periods(name, merged)
+        merged = keep.unionByName(new.select(*keep.columns))
+        # Cut the lineage to the partitions about to be replaced: write the
+        # merge to a Parquet copy in the shared folder, then overwrite from it.
+        copy = scratch_dir(self.spark, "upsert", name)
+        merged.select(*self.read_schema(name).fieldNames()).write.parquet(copy)
+        self.replace_periods(name, self.spark.read.schema(self.read_schema(name)).parquet(copy))
+        delete_path(self.spark, copy)
         return periods
 
     def register_views(self) -> list[str]:
