@@ -243,6 +243,7 @@ def two_load_ctes() -> list[tuple[str, str]]:
         ("raw_2", f"SELECT * FROM raw_trips WHERE ingestion_ts = {LOAD_2_TS}"),
         ("stg_1", stg_sql("raw_1")),
         ("stg_new", stg_sql("raw_2", after="SELECT max(ingestion_ts) FROM stg_1")),
+        ("stg_increment", stg_sql("raw_trips", after="SELECT max(ingestion_ts) FROM stg_1")),
         ("stg_2", "SELECT * FROM stg_1 WHERE trip_id NOT IN (SELECT trip_id FROM stg_new)\n"
                   "UNION ALL SELECT * FROM stg_new"),
         ("fact_1", fact_sql("stg_1")),

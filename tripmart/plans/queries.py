@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators import core, quality
+from tripmart.operators.staging import high_water_mark, stage_trips
 from tripmart.plans import oracle as O
 from tripmart.plans import slices
 from tripmart.plans.models import FullBuild
@@ -141,6 +142,14 @@ for _table, _cte in [("stg_trips", "stg_2"), ("fact_trips", "fact_2"), ("dim_dat
     register(f"{_table}_two_loads", O.select_all(_cte, O.two_load_ctes))(_two_load(_table))
 
 
+@register("high_water_mark_filter", O.select_all("stg_increment", O.two_load_ctes))
+def q_high_water_mark(spark, sf_dir):
+    """Rows a later run stages: the whole raw table past staging's mark after load 1."""
+    configure(spark)
+    mark = high_water_mark(stage_trips(fixtures.raw_trips_load(spark, sf_dir, 1)))
+    return stage_trips(fixtures.raw_trips(spark, sf_dir), after=mark)
+
+
 # --- ingest: landing files -> raw table ---------------------------------------
 
 RAW_LOADED = [c for c in O.RAW_COLUMNS if c != "ingestion_ts"]

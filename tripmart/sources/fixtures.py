@@ -99,8 +99,9 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: location_id = nationkey + 1, borough = service_zone = region, zone = nation."""
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    # region has one row per region (5 in the benchmark); broadcasting it is bounded.
-    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    # region has one row per region; its size is checked before broadcasting.
+    from tripmart.operators.joins import bounded_broadcast
+    j = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
     return j.select((F.col("n_nationkey") + 1).cast("int").alias("location_id"),
                     F.col("r_name").alias("borough"),
                     F.col("n_name").alias("zone"),
