@@ -35,10 +35,16 @@ def _by_hour(df: DataFrame, dim_datetime: DataFrame, columns: list[str],
     return hourly.join(dd, c("_hour") == c("full_timestamp")).drop("_hour", "full_timestamp")
 
 
-def _skip(df: DataFrame, skip_dates: DataFrame | None) -> DataFrame:
+def _skip(df: DataFrame, skip_dates: DataFrame | None, dim_datetime: DataFrame) -> DataFrame:
+    """Drop dates already in the target mart.
+
+    A mart's dates all come from joining the hour calendar, so there are at
+    most as many as the calendar has rows -- the bound ``_by_hour`` has
+    already established, so no extra count is needed to broadcast them.
+    """
     if skip_dates is None:
         return df
-    done = bounded_broadcast(skip_dates.select("date_key").distinct())
+    done = bounded_broadcast(skip_dates.select("date_key").distinct(), basis=dim_datetime)
     return df.join(done, "date_key", "left_anti")
 
 
@@ -57,7 +63,7 @@ def build_daily(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFr
     A NULL money term removes the row from the sums that use it (no
     coalesce); trips with an unknown flag combination drop out at the join.
     """
-    j = _skip(_by_hour(fact, dim_datetime, ["date_key"]), skip_dates)
+    j = _skip(_by_hour(fact, dim_datetime, ["date_key"]), skip_dates, dim_datetime)
     flags = bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"), basis=dim_trip_flags)
     j = j.join(flags, "trip_flags_id")
     fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
@@ -84,7 +90,7 @@ def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataF
     Pay per mile and per hour are ratios of averages. The flag dimension
     only filters (its key is unique), so it is a semi-join.
     """
-    j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates)
+    j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates, dim_datetime)
     j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id"), basis=dim_trip_flags),
                "trip_flags_id", "left_semi")
     pay, tips = c("driver_pay"), c("tips")
@@ -103,7 +109,7 @@ def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataF
 def build_flag(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame,
                skip_dates: DataFrame | None = None) -> DataFrame:
     """Per-date trip count and counts of each TRUE flag (positive trips only)."""
-    j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates)
+    j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates, dim_datetime)
     j = j.join(bounded_broadcast(dim_trip_flags), "trip_flags_id")
     out = j.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("total_trips"),
@@ -186,7 +192,8 @@ def build_date_marts(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
             c("p_wav_match_flag").alias("total_wav_matched"),
             c("p_access_a_ride_flag").alias("total_access_a_ride_requested")), BI_FLAG),
     }
-    return {**{name: _skip(df, skip_dates.get(name)) for name, df in out.items()}, "_cache": agg}
+    return {**{name: _skip(df, skip_dates.get(name), dim_datetime) for name, df in out.items()},
+            "_cache": agg}
 
 
 GEO_KEYS = ["date_key", "year", "month", "day_of_week", "hour_24",
@@ -211,7 +218,7 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
         F.sum(cents(fare)).alias("_fare_c"), F.count(fare).alias("_n_fare"),
     )
     j = _skip(_by_hour(part, dim_datetime, ["date_key", "year", "month", "day_of_week", "hour_24"],
-                       ts="_hour"), skip_dates)
+                       ts="_hour"), skip_dates, dim_datetime)
     loc = dim_location.select("location_id", "borough", "zone")
     pu = bounded_broadcast(loc.toDF("_pu_id", "pu_borough", "pu_zone"), basis=dim_location)
     do = bounded_broadcast(loc.toDF("_do_id", "do_borough", "do_zone"), basis=dim_location)

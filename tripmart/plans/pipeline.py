@@ -60,7 +60,8 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
         wh.set_pending_periods(periods)
         wh.upsert("stg_trips", new, "trip_id", periods=touched)
         if touched:
-            wh.set_high_water_mark(high_water_mark(wh.read("stg_trips", touched)))
+            wh.set_high_water_mark(high_water_mark(wh.read("stg_trips", touched)),
+                                   previous=rep.high_water_mark)
     rep.periods = periods or []
 
     # Fact: add staged trips whose key is new (pruned to touched periods).
