@@ -9,6 +9,7 @@ partitions a batch touches.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tripmart.operators.joins import anti_join_keys
 from tripmart.session import configure, delete_path, path_exists, scratch_dir
 
 PERIOD = "pickup_period"
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -151,7 +153,10 @@ class Warehouse:
         copy = scratch_dir(self.spark, "upsert", name)
         merged.select(*self.read_schema(name).fieldNames()).write.parquet(copy)
         self.replace_periods(name, self.spark.read.schema(self.read_schema(name)).parquet(copy))
-        delete_path(self.spark, copy)
+        try:
+            delete_path(self.spark, copy)
+        except Exception as exc:  # the upsert itself has committed; a leftover copy is harmless
+            log.warning("could not remove upsert copy %s: %s", copy, exc)
         return periods
 
     def register_views(self) -> list[str]:
