@@ -78,13 +78,14 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
 
     # Dimensions.
     wh.overwrite("dim_location", core.build_dim_location(zone_lookup))
-    wh.overwrite("dim_trip_flags", core.build_dim_trip_flags(spark))
+    flags = core.build_dim_trip_flags(spark)   # 32 rows by construction; reused below
+    wh.overwrite("dim_trip_flags", flags)
     if wh.exists("dim_datetime"):
         # The calendar already spans every earlier staged pickup; widen it by
         # the touched periods only (staging's range only grows).
         rep.first_run["dim_datetime"] = False
         old = wh.read("dim_datetime").select(F.col("full_timestamp").alias("h"))
-        new = wh.read("stg_trips", periods).select(F.col("pickup_datetime").alias("h"))
+        new = stg.select(F.col("pickup_datetime").alias("h"))
         span = core.hour_range(old.unionByName(new), "h")
         dd_new = core.build_dim_datetime(stg, holidays, span=span)
         wh.append("dim_datetime", anti_join_keys(dd_new, wh.read("dim_datetime"), ["datetime_key"]))
@@ -97,7 +98,7 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if wh.exists(name)}
     # New dates live in the touched periods; a missing mart needs the whole fact.
     fact = wh.read("fact_trips", periods if len(done) == len(DATE_MARTS) + 1 else None)
-    built = marts.build_date_marts(fact, dd, wh.read("dim_trip_flags"), done)
+    built = marts.build_date_marts(fact, dd, flags, done)
     built["bi_geo_time_metrics"] = marts.build_geo(fact, dd, wh.read("dim_location"),
                                                    done.get("bi_geo_time_metrics"))
     cache = built.pop("_cache")
