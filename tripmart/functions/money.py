@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 
 def cents(c: Column) -> Column:
-    """Round a money amount to whole cents (BIGINT, half up)."""
-    return F.floor(c * 100 + 0.5)
+    """Round a money amount to whole cents (BIGINT, halves away from zero,
+    as a cast to DECIMAL(p, 2) rounds)."""
+    x = c * 100
+    return (F.signum(x) * F.floor(F.abs(x) + 0.5)).cast("bigint")
 
 
 def money_sum(c: Column) -> Column:
