@@ -64,7 +64,8 @@ def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: st
                 holidays_csv: str | None = None, grain: str = "day", as_of=None) -> dict:
     wh = Warehouse(spark, warehouse, grain=grain)
     paths = raw_paths(wh.root)
-    loads = ingest_landing(spark, landing, paths["raw"], paths["rejected"], paths["checkpoint"])
+    loads = ingest_landing(spark, landing, paths["raw"], paths["rejected"], paths["checkpoint"],
+                           grain=grain)
     raw = read_raw(spark, paths["raw"])
     zones = seeds.read_zone_lookup_csv(spark, zones_csv)
     hol = seeds.read_holidays_csv(spark, holidays_csv) if holidays_csv else seeds.holidays(spark)

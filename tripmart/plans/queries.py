@@ -168,7 +168,8 @@ def ingest_two_loads(spark: SparkSession, sf_dir: str, blank_null_months=()) ->
     for load in (1, 2):
         write_landing(fixtures.raw_trips_load(spark, sf_dir, load), f"{root}/landing/load_{load}",
                       blank_null_months)
-        ingest_landing(spark, f"{root}/landing", raw_path, rejected, f"{root}/_checkpoints/landing")
+        ingest_landing(spark, f"{root}/landing", raw_path, rejected, f"{root}/_checkpoints/landing",
+                       grain="month")
     return read_raw(spark, raw_path)
 
 

@@ -51,8 +51,10 @@ def cast_batch(batch: DataFrame) -> DataFrame:
     return batch.select(*[typed[n].alias(n) for n in names], F.col(FILE), bad.alias("_bad"))
 
 
-def load_batch(batch: DataFrame, raw_path: str, rejected_path: str, load_id: str) -> dict:
-    """Load one batch into ``raw_path/load_id=<load_id>`` (idempotent per id).
+def load_batch(batch: DataFrame, raw_path: str, rejected_path: str, load_id: str,
+               grain: str = "day") -> dict:
+    """Load one batch into ``raw_path/load_id=<load_id>`` (idempotent per id),
+    clustered by pickup ``grain`` (day or month) within the load.
 
     Two passes over the batch (find bad files, then write the good ones), so
     the typed batch is persisted once. Rejected files are broadcast -- at
@@ -60,15 +62,14 @@ def load_batch(batch: DataFrame, raw_path: str, rejected_path: str, load_id: str
     ``current_timestamp()``, one value for the whole load.
     """
     typed = cast_batch(batch).persist()
+    bad_files = typed.filter("_bad").groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows")).persist()
     try:
-        bad_files = typed.filter("_bad").groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows"))
-        bad_files = bad_files.persist()
         n_bad = bad_files.count()
         good = typed.join(bounded_broadcast(bad_files.select(FILE), MAX_FILES_PER_BATCH, rows=n_bad),
                           FILE, "left_anti")
         out = good.select(*[F.col(f.name) for f in RAW.fields if f.name != "ingestion_ts"],
                           F.current_timestamp().alias("ingestion_ts"))
-        out = out.withColumn("pickup_period", period_of("pickup_datetime", "month"))
+        out = out.withColumn("pickup_period", period_of("pickup_datetime", grain))
         (out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
             .write.mode("overwrite").partitionBy("pickup_period")
             .parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
@@ -76,6 +77,7 @@ def load_batch(batch: DataFrame, raw_path: str, rejected_path: str, load_id: str
             .write.mode("overwrite").parquet(f"{rejected_path}/{LOAD_ID}={load_id}"))
         return {"load_id": load_id, "rejected_files": n_bad}
     finally:
+        bad_files.unpersist()
         typed.unpersist()
 
 

@@ -21,13 +21,13 @@ from tripmart.sources.ingest import FILE, MAX_FILES_PER_BATCH, load_batch
 
 
 def ingest_landing(spark: SparkSession, landing_dir: str, raw_path: str, rejected_path: str,
-                   checkpoint: str, max_files: int = MAX_FILES_PER_BATCH) -> list[dict]:
+                   checkpoint: str, max_files: int = MAX_FILES_PER_BATCH, grain: str = "day") -> list[dict]:
     """Load every landing file not loaded before; return one report per batch."""
     tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:8]
     reports: list[dict] = []
 
     def each_batch(batch, batch_id: int) -> None:
-        reports.append(load_batch(batch, raw_path, rejected_path, f"{tag}-{batch_id:08d}"))
+        reports.append(load_batch(batch, raw_path, rejected_path, f"{tag}-{batch_id:08d}", grain))
 
     src = (spark.readStream.schema(LANDING)
            .option("recursiveFileLookup", "true")
