@@ -85,3 +85,18 @@ def test_text_to_bool_and_ranges(spark):
     rows = df.select(text_to_bool(F.col("t")).alias("b"), range_checked_int(F.col("n")).alias("i")).collect()
     assert [r.b for r in rows] == [True, False, True, None, None]
     assert [r.i for r in rows] == [1, -999, None, None, 12]
+
+
+def test_flag_dimension_is_all_32_combinations(spark):
+    from tripmart.operators.core import build_dim_trip_flags
+    from tripmart.schemas import FLAGS
+
+    rows = build_dim_trip_flags(spark).collect()
+    assert len(rows) == 32
+    assert len({tuple(r[f] for f in FLAGS) for r in rows}) == 32
+    assert len({r.trip_flags_id for r in rows}) == 32
+    # The fact's key for a combination is the dimension's key for it.
+    one = spark.createDataFrame([(True, False, True, False, False)], ", ".join(f"{f} boolean" for f in FLAGS))
+    key = one.select(surrogate_key(*FLAGS).alias("k")).first().k
+    assert key in {r.trip_flags_id for r in rows if (r.shared_request_flag, r.access_a_ride_flag) == (True, True)
+                   and not (r.shared_match_flag or r.wav_request_flag or r.wav_match_flag)}

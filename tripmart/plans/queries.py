@@ -113,7 +113,7 @@ def two_load_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Warehouse after run 1 (load 1 only) and run 2 (raw holds both loads).
 
     Built once per session and input folder, in a fresh folder under the
-    shared root; the five two-load queries read from it.
+    shared root; the seven two-load queries read from it.
     """
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
