@@ -119,6 +119,9 @@ def test_incremental_runs(spark, workdir):
     rows = first + [late_same_key, late_new, new_date]
     rep = run_models(wh, raw_df(spark, rows), zones(spark), hol)
     assert rep.high_water_mark is not None
+    # D1 is touched by late trips but already in every mart: only the new date is re-read.
+    assert rep.periods == [D1.date(), dt.date(2025, 3, 9)]
+    assert rep.mart_periods == [dt.date(2025, 3, 9)]
 
     stg = wh.logical("stg_trips").collect()
     assert len(stg) == 4                                      # upsert replaced the D1 trip

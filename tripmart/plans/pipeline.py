@@ -17,6 +17,7 @@ next one.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -35,9 +36,33 @@ DATE_MARTS = ["bi_daily_metrics", "bi_driver_metrics", "bi_flag_metrics"]
 class RunReport:
     first_run: dict = field(default_factory=dict)
     periods: list = field(default_factory=list)
+    mart_periods: list = field(default_factory=list)
     high_water_mark: int | None = None
 
 
+def open_periods(wh: Warehouse, periods: list, marts_done) -> list:
+    """Touched periods that still hold a date some mart lacks.
+
+    Marts never recompute a date they hold, so a period whose every day is
+    already in all marts contributes nothing: late trips for old dates then
+    cost no fact rescan. Dates held by every mart are one small intersect
+    (bounded by the calendar: one row per day).
+    """
+    common = None
+    for m in marts_done:
+        dates = m.select("date_key")
+        common = dates if common is None else common.intersect(dates)
+    closed = {r[0] for r in common.collect()}
+
+    def days(p):
+        if wh.grain == "day":
+            return [p]
+        first, nxt = p.replace(day=1), (p.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        return [first + dt.timedelta(days=i) for i in range((nxt - first).days)]
+
+    return [p for p in periods if any(d not in closed for d in days(p))]
+
+
 def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
                holidays: DataFrame) -> RunReport:
     """Bring every model in ``wh`` up to date with ``raw``."""
@@ -97,7 +122,11 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     dd = wh.read("dim_datetime")
     done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if wh.exists(name)}
     # New dates live in the touched periods; a missing mart needs the whole fact.
-    fact = wh.read("fact_trips", periods if len(done) == len(DATE_MARTS) + 1 else None)
+    mart_periods = None
+    if periods is not None and len(done) == len(DATE_MARTS) + 1:
+        mart_periods = open_periods(wh, periods, done.values())
+    rep.mart_periods = mart_periods or []
+    fact = wh.read("fact_trips", mart_periods)
     built = marts.build_date_marts(fact, dd, flags, done)
     built["bi_geo_time_metrics"] = marts.build_geo(fact, dd, wh.read("dim_location"),
                                                    done.get("bi_geo_time_metrics"))
