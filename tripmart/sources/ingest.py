@@ -23,8 +23,9 @@ FILE = "_file"
 LOAD_ID = "load_id"
 
 # A batch never holds more files than the stream's maxFilesPerTrigger, so
-# the rejected-file list is bounded well below this broadcast limit.
-MAX_FILES_PER_BATCH = 1000
+# the rejected-file list is bounded by it. 100 monthly files (~50 GB) keep a
+# backfill's persisted micro-batch modest; a monthly run has one or two.
+MAX_FILES_PER_BATCH = 100
 
 
 def _typed(name: str) -> Column:
