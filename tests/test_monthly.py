@@ -59,3 +59,21 @@ def test_views_expose_tables_to_sql(spark, workdir):
     joined = spark.sql("""SELECT COUNT(*) AS n FROM fact_trips f
                           JOIN dim_trip_flags d ON f.trip_flags_id = d.trip_flags_id""").first().n
     assert total == joined > 0
+
+
+def test_seed_csv_readers(spark, workdir):
+    from tripmart.sources import seeds
+
+    # Holidays: header with an extra column, read back to (date, name).
+    hol = seeds.holidays(spark).withColumn("is_federal_holiday", F.lit(True))
+    hol.coalesce(1).write.option("header", True).csv(f"{workdir}/holidays")
+    back = seeds.read_holidays_csv(spark, f"{workdir}/holidays")
+    assert back.columns == ["holiday_date", "holiday_name"]
+    assert sorted(back.collect()) == sorted(seeds.holidays(spark).collect())
+
+    # Zones: a header that already names location_id is kept; N/A stays text.
+    rows = [("1", "EWR", "Newark Airport", "EWR"), ("264", "Unknown", "N/A", "N/A")]
+    spark.createDataFrame(rows, "location_id string, borough string, zone string, service_zone string") \
+        .coalesce(1).write.option("header", True).csv(f"{workdir}/zones")
+    z = seeds.read_zone_lookup_csv(spark, f"{workdir}/zones").orderBy("location_id").collect()
+    assert [(r.location_id, r.zone) for r in z] == [(1, "Newark Airport"), (264, "N/A")]
