@@ -61,8 +61,9 @@ def run_checks(wh: Warehouse, raw: DataFrame, as_of=None, periods: list | None =
 
 
 def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: str,
-                holidays_csv: str | None = None, grain: str = "day", as_of=None) -> dict:
-    wh = Warehouse(spark, warehouse, grain=grain)
+                holidays_csv: str | None = None, grain: str = "day", as_of=None,
+                key_buckets: int = 1) -> dict:
+    wh = Warehouse(spark, warehouse, grain=grain, key_buckets=key_buckets)
     paths = raw_paths(wh.root)
     loads = ingest_landing(spark, landing, paths["raw"], paths["rejected"], paths["checkpoint"],
                            grain=grain)
@@ -85,11 +86,14 @@ def main(argv=None) -> int:
     ap.add_argument("--zones", required=True, help="zone lookup CSV")
     ap.add_argument("--holidays", help="holiday CSV (default: built-in calendar)")
     ap.add_argument("--grain", default="day", choices=["day", "month"])
+    ap.add_argument("--key-buckets", type=int, default=1,
+                    help="trip-key buckets per period (fixed at the first run)")
     ap.add_argument("--years", help="report missing months in this year range, e.g. 2025-2026")
     ap.add_argument("--months", default="1-12")
     args = ap.parse_args(argv)
     spark = build_session()
-    report = run_monthly(spark, args.landing, args.warehouse, args.zones, args.holidays, args.grain)
+    report = run_monthly(spark, args.landing, args.warehouse, args.zones, args.holidays, args.grain,
+                         key_buckets=args.key_buckets)
     if args.years:
         months = quality.month_range(args.years, args.months)
         raw = read_raw(spark, raw_paths(args.warehouse.rstrip("/"))["raw"])

@@ -22,6 +22,7 @@ from tripmart.operators.joins import anti_join_keys
 from tripmart.session import configure, delete_path, path_exists, scratch_dir
 
 PERIOD = "pickup_period"
+BUCKET = "key_bucket"
 log = logging.getLogger(__name__)
 
 
@@ -45,6 +46,7 @@ TABLES: dict[str, TableSpec] = {
     "bi_geo_time_metrics": TableSpec("MARTS", schemas.BI_GEO, False, "date_key"),
     "_pending_periods": TableSpec("STATE", T.StructType([T.StructField(PERIOD, T.DateType())])),
     "_high_water_mark": TableSpec("STATE", T.StructType([T.StructField("ingestion_micros", T.LongType())])),
+    "_layout": TableSpec("STATE", T.StructType([T.StructField("key_buckets", T.IntegerType())])),
 }
 
 
@@ -54,10 +56,31 @@ def layer_name(custom: str | None, default: str) -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, grain: str = "month"):
+    """Tables under ``root``. Trip tables are partitioned by pickup period
+    and, within it, by ``key_buckets`` buckets of the trip key, so a keyed
+    upsert rewrites only the (period, bucket) cells its keys fall in. The
+    bucket count is fixed when the first trip table is written and read
+    back from the layout state afterwards."""
+
+    def __init__(self, spark: SparkSession, root: str, grain: str = "month", key_buckets: int = 1):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.grain = grain
+        self._key_buckets = key_buckets
+        self._layout_read = False
+
+    @property
+    def key_buckets(self) -> int:
+        if not self._layout_read:
+            self._layout_read = True
+            if self.exists("_layout"):
+                self._key_buckets = self.read("_layout").first()[0]
+        return self._key_buckets
+
+    def _save_layout(self) -> None:
+        if not self.exists("_layout"):
+            df = self.spark.createDataFrame([(self.key_buckets,)], TABLES["_layout"].schema)
+            df.coalesce(1).write.mode("overwrite").parquet(self.path("_layout"))
 
     # -- layout -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -68,13 +91,24 @@ class Warehouse:
 
     def read_schema(self, name: str) -> T.StructType:
         spec = TABLES[name]
-        return schemas.with_field(spec.schema, PERIOD, T.DateType()) if spec.partitioned else spec.schema
+        if not spec.partitioned:
+            return spec.schema
+        return schemas.with_field(schemas.with_field(spec.schema, PERIOD, T.DateType()), BUCKET, T.IntegerType())
 
-    def read(self, name: str, periods: list | None = None) -> DataFrame:
-        """The table (with ``pickup_period`` if partitioned), pruned to ``periods``."""
+    def read(self, name: str, periods: list | None = None, cells: list | None = None) -> DataFrame:
+        """The table (with its partition columns if partitioned), pruned to
+        ``periods`` or to (period, bucket) ``cells``; both prune partitions."""
         df = self.spark.read.schema(self.read_schema(name)).parquet(self.path(name))
         if periods is not None:
             df = df.filter(F.col(PERIOD).isin(list(periods)))
+        if cells is not None:
+            by_period: dict = {}
+            for p, b in cells:
+                by_period.setdefault(p, set()).add(b)
+            cond = F.lit(False)
+            for p, bs in sorted(by_period.items()):
+                cond = cond | ((F.col(PERIOD) == F.lit(p)) & F.col(BUCKET).isin(sorted(bs)))
+            df = df.filter(cond)
         return df
 
     def logical(self, name: str) -> DataFrame:
@@ -83,26 +117,31 @@ class Warehouse:
 
     # -- writes -------------------------------------------------------------
     def with_period(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(PERIOD, period_of("pickup_datetime", self.grain))
+        """Add the partition columns: pickup period and trip-key bucket."""
+        df = df.withColumn(PERIOD, period_of("pickup_datetime", self.grain))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64("trip_id"), F.lit(self.key_buckets)).cast("int"))
 
     def _prepare(self, name: str, df: DataFrame) -> DataFrame:
         spec = TABLES[name]
-        cols = spec.schema.fieldNames() + ([PERIOD] if spec.partitioned else [])
-        if spec.partitioned and PERIOD not in df.columns:
+        cols = spec.schema.fieldNames() + ([PERIOD, BUCKET] if spec.partitioned else [])
+        if spec.partitioned and BUCKET not in df.columns:
             df = self.with_period(df)
         df = df.select(*cols)
         if spec.partitioned:
             # Rebalance by partition value: AQE splits a hot period into
             # advisory-sized tasks instead of funnelling it through one.
-            df = df.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, spec.cluster)
+            df = df.hint("rebalance", PERIOD, BUCKET).sortWithinPartitions(PERIOD, BUCKET, spec.cluster)
         elif spec.cluster:
             df = df.sortWithinPartitions(spec.cluster)
         return df
 
     def _writer(self, name: str, df: DataFrame, mode: str, dynamic: bool = False):
+        if TABLES[name].partitioned:
+            self._save_layout()
         w = self._prepare(name, df).write.mode(mode)
         if TABLES[name].partitioned:
-            w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(PERIOD)
+            w = (w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+                  .partitionBy(PERIOD, BUCKET))
         return w
 
     def overwrite(self, name: str, df: DataFrame) -> None:
@@ -115,7 +154,7 @@ class Warehouse:
         self._writer(name, df, "overwrite").parquet(self.path(name))
 
     def replace_periods(self, name: str, df: DataFrame) -> None:
-        """Replace only the partitions (periods) present in ``df``."""
+        """Replace only the partitions ((period, bucket) cells) present in ``df``."""
         self._writer(name, df, "overwrite", dynamic=True).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -130,7 +169,8 @@ class Warehouse:
     def upsert(self, name: str, updates: DataFrame, key: str, periods: list | None = None) -> list:
         """Replace rows of ``name`` whose ``key`` occurs in ``updates``; add the rest.
 
-        Only the periods ``updates`` touch are read and rewritten. Every
+        Only the (period, key bucket) cells ``updates`` touch are read and
+        rewritten; a key lives in exactly one cell. Every
         target row whose key appears in ``updates`` is replaced (duplicate
         keys in ``updates`` are all kept). The merged periods are
         written to a Parquet copy in the shared folder before the dynamic
@@ -146,7 +186,8 @@ class Warehouse:
             self.overwrite(name, updates)
             return periods
         new = self.with_period(updates)
-        keep = anti_join_keys(self.read(name, periods), new, [PERIOD, key])
+        cells = [(r[0], r[1]) for r in new.select(PERIOD, BUCKET).distinct().collect()]
+        keep = anti_join_keys(self.read(name, cells=cells), new, [PERIOD, BUCKET, key])
         merged = keep.unionByName(new.select(*keep.columns))
         # Cut the lineage to the partitions about to be replaced: write the
         # merge to a Parquet copy in the shared folder, then overwrite from it.
