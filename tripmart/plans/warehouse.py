@@ -2,9 +2,10 @@
 
 Tables live at ``{root}/{LAYER}/{name}`` on shared storage. Trip-grain
 tables are partitioned by ``pickup_period`` (the pickup's day, or month at
-small volume): a trip's key is a function of its pickup time, so equal keys
-always share a partition and every keyed operation can be pruned to the
-partitions a batch touches.
+small volume) and then by ``key_bucket`` (a hash bucket of the trip key): a
+trip's key is a function of its pickup time, so equal keys always share a
+(period, bucket) cell and every keyed operation can be pruned to the cells
+a batch touches.
 """
 
 from __future__ import annotations
