@@ -70,3 +70,21 @@ def test_no_python_udfs_anywhere(model):
     for df in [model.stg, model.fact, model.daily, model.driver, model.flag, model.geo]:
         p = plan(df)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_upsert_cells_prune_on_both_partition_columns(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tripmart.operators.staging import stage_trips
+    from tripmart.plans.warehouse import Warehouse
+    from tripmart.sources import fixtures
+
+    wh = Warehouse(spark, workdir, grain="month", key_buckets=4)
+    raw = fixtures.raw_trips(spark, SF_SMALL).filter(F.col("ingestion_ts") == F.lit(fixtures.LOAD_1_TS))
+    wh.overwrite("stg_trips", stage_trips(raw))
+    period = wh.periods_of(wh.read("stg_trips"))[0]
+    df = wh.read("stg_trips", cells=[(period, 1), (period, 3)])
+    p = plan(df.select("trip_id"))
+    filters = re.search(r"PartitionFilters: \[([^\n]*)\]", p).group(1)
+    assert "pickup_period" in filters and "key_bucket" in filters
+    assert set(r.key_bucket for r in df.select("key_bucket").distinct().collect()) <= {1, 3}
