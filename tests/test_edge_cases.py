@@ -121,6 +121,7 @@ def test_incremental_runs(spark, workdir):
     assert rep.high_water_mark is not None
     # D1 is touched by late trips but already in every mart: only the new date is re-read.
     assert rep.periods == [D1.date(), dt.date(2025, 3, 9)]
+    assert wh.high_water_mark() == int(LOAD2.timestamp() * 1_000_000)
     assert rep.mart_periods == [dt.date(2025, 3, 9)]
 
     stg = wh.logical("stg_trips").collect()

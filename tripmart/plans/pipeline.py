@@ -80,13 +80,13 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
         rep.first_run["stg_trips"] = False
         rep.high_water_mark = wh.high_water_mark()
         new = stage_trips(raw, after=rep.high_water_mark)
-        touched = wh.periods_of(new)
+        touched, new_mark = wh.periods_and_mark(new)
         periods = sorted(set(touched) | set(wh.pending_periods()))
         wh.set_pending_periods(periods)
         wh.upsert("stg_trips", new, "trip_id", periods=touched)
         if touched:
-            wh.set_high_water_mark(high_water_mark(wh.read("stg_trips", touched)),
-                                   previous=rep.high_water_mark)
+            # Written after the upsert commits, so the mark never runs ahead of staging.
+            wh.set_high_water_mark(new_mark, previous=rep.high_water_mark)
     rep.periods = periods or []
 
     # Fact: add staged trips whose key is new (pruned to touched periods).

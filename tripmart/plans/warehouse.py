@@ -161,6 +161,14 @@ class Warehouse:
     def append(self, name: str, df: DataFrame) -> None:
         self._writer(name, df, "append").parquet(self.path(name))
 
+    def periods_and_mark(self, staged: DataFrame) -> tuple[list, int | None]:
+        """Touched periods of staged rows and their newest load stamp (epoch
+        micros), from one aggregate (at most one row per period)."""
+        p = (staged.groupBy(period_of("pickup_datetime", self.grain).alias(PERIOD))
+                   .agg(F.unix_micros(F.max("ingestion_ts")).alias("mark")).collect())
+        marks = [r.mark for r in p if r.mark is not None]
+        return sorted(r[0] for r in p), (max(marks) if marks else None)
+
     def periods_of(self, df: DataFrame) -> list:
         """Distinct partition values of ``df`` (bounded by the calendar: one
         per day or month), via a partial+final aggregate."""
