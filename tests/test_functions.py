@@ -100,3 +100,13 @@ def test_flag_dimension_is_all_32_combinations(spark):
     key = one.select(surrogate_key(*FLAGS).alias("k")).first().k
     assert key in {r.trip_flags_id for r in rows if (r.shared_request_flag, r.access_a_ride_flag) == (True, True)
                    and not (r.shared_match_flag or r.wav_request_flag or r.wav_match_flag)}
+
+
+def test_layer_names_and_paths(spark):
+    from tripmart.plans.warehouse import Warehouse, layer_name
+
+    assert layer_name("staging", "PUBLIC") == "STAGING"
+    assert layer_name(None, "PUBLIC") == "PUBLIC"
+    wh = Warehouse(spark, "/shared/trips/")
+    assert wh.path("stg_trips") == "/shared/trips/STAGING/stg_trips"
+    assert wh.path("bi_daily_metrics") == "/shared/trips/MARTS/bi_daily_metrics"
