@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tripmart.llm import language_id, packing, simhash_dedup
+from tripmart.llm import (decontamination, html_text, language_id, license_scan, nn_descent, packing, pii,
+                          simhash_dedup, substring_dedup, suffix_dedup)
 
 QUERIES: dict[str, Callable] = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op4_pii": pii.op4_pii,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op6_packing": packing.op6_packing,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
+    "op8_html_text": html_text.op8_html_text,
+    "op9_nn_descent": nn_descent.op9_nn_descent,
     "op10_language_id": language_id.op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Suffix arrays, EM, SimHash, NN-descent and fitted models have no plain SQL;
+#: the tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": license_scan.OP1_SQL,
+    "op3_substring_dedup": substring_dedup.OP3_SQL,
+}
