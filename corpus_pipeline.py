@@ -1,11 +1,80 @@
-"""Corpus pipeline over the documents table (stages follow)."""
+"""Corpus pipeline: from raw documents to packed token sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept. All but the last return the columns of documents; ``run`` writes each
+stage's result to the shared folder and reads it back for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmart.llm import decontamination, language_id, packing, pii, simhash_dedup
+from tripmart.llm.common import row_key, stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of no language: a null text, or one without a letter.
+
+    The others keep all their columns; lang becomes the predicted language
+    where it was null. The classifier is fitted on the labelled documents of
+    the input itself.
+    """
+    found = language_id.identify(docs, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash component: the smallest doc_id.
+
+    Of rows that share that id the one with the smallest row key stays, and
+    of rows equal in id and text one. Rows with a null id go, unless all ids
+    of their component are null.
+    """
+    groups = simhash_dedup.near_duplicates(docs, shingle=3, radius=3)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return first.withColumn("_key", row_key()).dropDuplicates(["doc_id", "_key"]).drop("_key")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    hits = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    # Null-safe on both sides, so that a row without an id is judged as well.
+    gone = hits.select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in text by its kind; n_chars follows."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of 4096-token sequences, as in op6_packing."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("pii", redact_personal_data),
+    ("packing", pack_sequences),
+]
+
+#: Fitted models, SimHash components and tokenizers have no plain SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -43,12 +43,14 @@ def shingles(word: Column) -> Column:
 
 def simhash(hashes: Column) -> Column:
     """64-bit SimHash of an array of 64-bit hashes."""
-    out, n = F.lit(0).cast("long"), F.size(hashes)
+    def ones(bit: int) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("long"),
+                           lambda a, h: a + F.shiftrightunsigned(h, bit).bitwiseAND(F.lit(1).cast("long")))
+
+    out, none = F.lit(0).cast("long"), F.lit(0).cast("long")
     for bit in range(64):
-        ones = F.aggregate(hashes, F.lit(0), lambda a, h, b=bit: a + F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1))
-                           .cast("int"))
-        out = out.bitwiseOR(F.when(ones * 2 > n, F.shiftleft(F.lit(1).cast("long"), bit))
-                            .otherwise(F.lit(0).cast("long")))
+        out = out.bitwiseOR(F.when(ones(bit) * 2 > F.size(hashes), F.shiftleft(F.lit(1).cast("long"), bit))
+                            .otherwise(none))
     return out
 
 

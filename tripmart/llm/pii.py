@@ -21,6 +21,7 @@ replaced by characters of the private use area.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -303,11 +304,26 @@ def find(docs: DataFrame) -> DataFrame:
     found = stored(_candidates(docs), "spans")
     weights = _model(found)
     more = F.filter("more", lambda s: _accepted(weights, s))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
                         _listed(F.array_sort(F.concat("base", more))).alias("spans"))
 
 
+def _shown(kind: str, weights: dict) -> Callable[[Column], Column]:
+    """What stands for the i-th gap and hit of a kind in redacted text."""
+    def shown(i: Column) -> Column:
+        hit, gap = F.get("_h", i), F.get("_g", i)
+        keep = _valid(kind, hit)
+        if kind in ADDED:
+            keep = keep & _accepted(weights, _labels(kind, hit, F.right(gap, F.lit(CONTEXT))))
+        return F.concat(gap, F.when(keep, f"[{kind.split('_')[0].upper()}]").otherwise(hit))
+
+    return shown
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in text replaced by its kind, as [EMAIL].
 
@@ -322,15 +338,7 @@ def redact(docs: DataFrame) -> DataFrame:
     for kind in KINDS + ADDED:
         docs = _gaps_and_hits(docs, kind, "text")
 
-        def shown(i: Column, kind: str = kind) -> Column:
-            hit, gap = F.get("_h", i), F.get("_g", i)
-            named = _labels(kind, hit, F.right(gap, F.lit(CONTEXT)))
-            keep = _valid(kind, hit)
-            if kind in ADDED:
-                keep = keep & _accepted(weights, named)
-            return F.concat(gap, F.when(keep, f"[{kind.split('_')[0].upper()}]").otherwise(hit))
-
-        text = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size("_h") - 1), shown), ""),
+        text = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size("_h") - 1), _shown(kind, weights)), ""),
                         F.element_at("_g", -1))
         docs = docs.withColumn("text", F.when(F.size("_h") > 0, text).otherwise(F.col("text"))).drop("_g", "_h")
     return docs.select(*columns)

@@ -4,7 +4,8 @@ Both look for windows of ``span`` symbols (bytes or words) that occur more
 than once. A window is filed under the smallest hash of the grams inside it,
 so equal windows have the same file number, and consecutive windows of a
 document mostly share one. A run of such windows is a *piece*: a stretch of
-the document. Only file numbers that occur twice can hold a repeat. Equal
+the document. Only file numbers that occur twice, or whose piece has a
+period, can hold a repeat. Equal
 pieces are counted, not repeated; of each different piece one copy goes to
 the index shard of its file number, where the operator's own index finds the
 repeated windows. A file number with more pieces than a shard may hold is
@@ -74,26 +75,34 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def winnow(h: np.ndarray, room: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pieces: first window, number of windows, file number.
+def winnow(h: np.ndarray, room: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Pieces: first window, number of windows, file number, and whether a
+    window may occur twice inside the piece.
 
-    ``room``: symbols from a position to the end of its document.
+    ``room``: symbols from a position to the end of its document. Equal
+    windows s < s + d in a piece make the text between periodic, so the
+    smallest gram starts one of the windows before s + d and the next window
+    has it again: a window that starts with its smallest gram and is followed
+    by one filed alike gives the piece away.
     """
     found = []
     for a in range(0, max(0, len(h) - span + 1), SLICE):
-        low = sliding_min(gram_hashes(h[a:a + SLICE + span - 1], gram), span - gram + 1)
+        grams = gram_hashes(h[a:a + SLICE + span - 1], gram)
+        low = sliding_min(grams, span - gram + 1)
         at = np.flatnonzero(room[a:a + len(low)] >= span)
         if not len(at):
             continue
+        leads = np.r_[0, np.cumsum(grams[at] == low[at])]
         low = low[at]
         first = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)])
         n = np.diff(np.r_[first, len(at)])
         parts = -(-n // RUN)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, n = np.repeat(first, parts) + nth * RUN, np.repeat(n, parts) - nth * RUN
-        found.append((at[first] + a, np.minimum(n, RUN), low[first]))
+        n = np.minimum(n, RUN)
+        found.append((at[first] + a, n, low[first], leads[first + n - 1] > leads[first]))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -116,7 +125,7 @@ def _pieces(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFram
             symbols, counts = spec.symbols(texts[rows])
             end = np.cumsum(counts)
             room = np.repeat(end, counts) - np.arange(len(symbols))
-            at, n, fp = winnow(spec.hashed(symbols), room, spec.span, spec.gram)
+            at, n, fp, inner = winnow(spec.hashed(symbols), room, spec.span, spec.gram)
             doc = np.searchsorted(end, at, "right")
             view, size = memoryview(symbols).cast("B"), symbols.itemsize
             ph = [xxhash.xxh3_64_intdigest(view[a * size:b * size])
@@ -124,7 +133,7 @@ def _pieces(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFram
             yield pd.DataFrame({
                 "key": batch["key"].to_numpy()[rows][doc], "ord": batch["ord"].to_numpy()[rows][doc],
                 "fp": fp.view(np.int64), "ph": np.array(ph, np.uint64).view(np.int64),
-                "start": at - (end - counts)[doc], "n": n.astype(np.int32)})
+                "start": at - (end - counts)[doc], "n": n.astype(np.int32), "inner": inner})
 
 
 def _bodies(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFrame]:
@@ -234,14 +243,16 @@ def repeated(docs: DataFrame, spec: Spec, store_pieces: bool) -> DataFrame:
     """
     n = shuffle_width(docs.sparkSession)
     pieces = map_batches(docs.select("key", "ord", "text"), lambda it: _pieces(it, spec),
-                         "key long, ord long, fp long, ph long, start long, n int")
+                         "key long, ord long, fp long, ph long, start long, n int, inner boolean")
     pieces = stored(pieces, "pieces") if store_pieces else pieces
-    twice = pieces.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp")
+    twice = pieces.groupBy("fp").agg(F.count("*").alias("c"), F.max("inner").alias("inner")).where(
+        "c > 1 or inner").select("fp")
     pieces = stored(pieces.join(twice, "fp"), "repeated")
     place = F.struct("ord", "key", "start")
     kinds = stored(pieces.groupBy(*KEY).agg(F.count("*").alias("copies"), F.min(place).alias("first"),
-                                            F.first("n").alias("n")), "kinds")
-    salts = kinds.groupBy("fp").agg(F.count("*").alias("kinds")).where("kinds > 1").select(
+                                            F.first("n").alias("n"), F.max("inner").alias("inner")), "kinds")
+    salts = kinds.groupBy("fp").agg(F.count("*").alias("kinds"), F.max("inner").alias("inner")).where(
+        "kinds > 1 or inner").select(
         "fp", F.ceil(F.col("kinds") / SHARD_PIECES).cast("int").alias("salts"))
     asked = (kinds.join(salts, "fp").withColumn("salt", F.pmod(F.xxhash64("ph"), F.col("salts")).cast("int"))
              .groupBy(F.col("first.key").alias("key"))
@@ -267,7 +278,7 @@ def repeated(docs: DataFrame, spec: Spec, store_pieces: bool) -> DataFrame:
     else:
         runs = F.when(F.col("copies") > 1, whole).otherwise(runs)
     span = F.transform(runs, lambda r: F.shiftleft(F.col("start") + r["lo"], 32).bitwiseOR(F.col("start") + r["hi"]))
-    spans = pieces.drop("n", "ord").join(told, KEY).select("key", span.alias("spans")).where("size(spans) > 0")
+    spans = pieces.select("key", "start", *KEY).join(told, KEY).select("key", span.alias("spans")).where("size(spans) > 0")
     return spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
