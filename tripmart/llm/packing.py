@@ -13,6 +13,8 @@ class, a bounded number of pieces) is laid out by counts alone.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -26,10 +28,9 @@ from pyspark.sql.window import Window
 
 from tripmart.llm.common import documents, map_batches, stored
 
-#: Words kept with their ids in a Python worker; it starts afresh beyond it.
-CACHE_WORDS = 500_000
-#: Longer words are not kept.
-CACHE_WORD_CHARS = 48
+#: Pre-tokens kept with their ids in a Python worker (it starts afresh
+#: beyond that), and the longest kept.
+CACHE_PARTS, CACHE_CHARS = 1_000_000, 48
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -38,54 +39,45 @@ PIECES = T.StructType([
 ])
 
 
-class WordIds:
-    """Token ids of a text, as little-endian unsigned 32-bit integers.
+class WordIds(dict):
+    """Token ids of pre-tokens, as little-endian unsigned 32-bit integers.
 
-    The tokenizer drops white space and never joins ids across it, so a text
-    has the ids of its words one after the other, and a word's ids can be
-    kept. Only blanks and line feeds separate words here; any other white
-    space stays inside a word and is left to the tokenizer.
+    The tokenizer normalises, cuts a text into pre-tokens that hold no white
+    space, and encodes each on its own, so their ids can be kept. Text of
+    ASCII and Latin-1 letters without the special tokens' opening is cut into
+    lower-case pre-tokens here. A text with anything else is cut at blanks and
+    line feeds, and its words of other characters are encoded whole.
     """
 
-    def __init__(self, path: str):
-        import re
+    # Fixed value: the tokenizer's own pattern, for lower-case Latin-1.
+    PART = re.compile(r"[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+    OTHER = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]|<\|")
 
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {"": b""}
-        # Letters and then ASCII punctuation: two pre-tokens in any case.
-        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words not kept yet; the short ones are kept."""
-        known, split = self.ids, {}
-        need = set()
-        for w in words:
-            m = self.plain.fullmatch(w)
-            if m:
-                split[w] = (m[1], m[2])
-                need.update(x for x in m.groups() if x not in known)
-            else:
-                need.add(w)
-        order = list(need)
-        got = dict(zip(order, (pd.array(e.ids, dtype="uint32").to_numpy("<u4").tobytes()
-                               for e in self.tokenizer.encode_batch(order, add_special_tokens=False)), strict=True))
-        got |= {w: (got.get(a) or known.get(a, b"")) + (got.get(b) or known.get(b, b"")) for w, (a, b) in split.items()}
-        if len(known) + len(got) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        known.update((w, i) for w, i in got.items() if len(w) <= CACHE_WORD_CHARS)
-        return got
-
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            before = {w: self.ids[w] for w in set(words) & self.ids.keys()}
-            before |= self.learn(set(words) - before.keys())
-            return b"".join(map(before.__getitem__, words))
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(part) <= CACHE_CHARS:
+            if len(self) >= CACHE_PARTS:
+                self.clear()
+            self[part] = found
+        return found
+
+    def _parts(self, text: str) -> list[str]:
+        return self.PART.findall(text.lower())
+
+    def of(self, text: str) -> bytes:
+        if self.OTHER.search(text):
+            words = text.replace("\n", " ").split(" ")
+            parts = [p for w in words for p in ([w] if self.OTHER.search(w) else self._parts(w))]
+        else:
+            parts = self._parts(text)
+        return b"".join(map(self.__getitem__, parts))
 
 
 def slot_sizes(capacity: int) -> list[int]:
@@ -108,15 +100,16 @@ _TOKENIZERS: dict[str, WordIds] = {}
 
 
 def _pieces(batches: Iterator[pd.DataFrame], tokenizer: str, end_id: int, capacity: int) -> Iterator[pd.DataFrame]:
-    ids_of = _TOKENIZERS.setdefault(tokenizer, None) or WordIds(tokenizer)
-    _TOKENIZERS[tokenizer] = ids_of
+    if tokenizer not in _TOKENIZERS:
+        _TOKENIZERS[tokenizer] = WordIds(tokenizer)
+    ids_of = _TOKENIZERS[tokenizer]
     sizes, end = slot_sizes(capacity), end_id.to_bytes(4, "little")
     task, rank = TaskContext.get().partitionId(), dict.fromkeys(sizes, 0)
     columns = [f.name for f in PIECES]
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-            ids = (ids_of(text) if text else b"") + end
+            ids = (ids_of.of(text) if text else b"") + end
             start, total = 0, len(ids) // 4
             for size in cut(total, sizes):
                 crc = zlib.crc32(ids[4 * start:4 * (start + size)])
