@@ -43,15 +43,13 @@ def shingles(word: Column) -> Column:
 
 def simhash(hashes: Column) -> Column:
     """64-bit SimHash of an array of 64-bit hashes."""
-    def ones(bit: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"),
-                           lambda a, h: a + F.shiftrightunsigned(h, bit).bitwiseAND(F.lit(1).cast("long")))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
 
-    out, none = F.lit(0).cast("long"), F.lit(0).cast("long")
-    for bit in range(64):
-        out = out.bitwiseOR(F.when(ones(bit) * 2 > F.size(hashes), F.shiftleft(F.lit(1).cast("long"), bit))
-                            .otherwise(none))
-    return out
+    def bit(b: Column) -> Column:
+        ones = F.aggregate(hashes, none, lambda a, h: a + F.call_function("shiftrightunsigned", h, b).bitwiseAND(one))
+        return F.when(ones * 2 > F.size(hashes), F.call_function("shiftleft", one, b)).otherwise(none)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), none, lambda a, b: a.bitwiseOR(bit(b)))
 
 
 def _block(fp: Column, i: int) -> Column:
@@ -80,13 +78,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     nothing. Rows equal in doc_id and text give one row an item. Items equal
     in text are each reported. An empty side gives an empty result.
     """
-    items = stored(benchmark.select("item_id", shingles(words(F.col("text"))).alias("hashes"))
-                   .where("size(hashes) > 0").distinct(), "items")
+    # Words are a column of their own: a lambda must not compute them again.
+    items = stored(benchmark.select("item_id", words(F.col("text")).alias("words"))
+                   .select("item_id", shingles(F.col("words")).alias("hashes")).where("size(hashes) > 0").distinct(), "items")
     items = items.withColumn("m", F.size("hashes"))
     # One row for each shingle and item size, not each item.
     wanted = items.select(F.explode("hashes").alias("h"), "m").distinct()
-    keyed = docs.select("doc_id", row_key().alias("key"), "text")
-    hashed = keyed.select("doc_id", "key", shingles(words(F.col("text"))).alias("hashes"))
+    hashed = docs.select("doc_id", row_key().alias("key"), words(F.col("text")).alias("words")).select(
+        "doc_id", "key", shingles(F.col("words")).alias("hashes"))
 
     hits = hashed.select("key", F.size("hashes").alias("n"), F.posexplode("hashes").alias("p", "h")).join(
         bounded_broadcast(wanted), "h")

@@ -169,31 +169,33 @@ VOTES = ["regex", "gazetteer", "context"]
 FEATURES = [*VOTES, "size", "density", "quoted"]
 
 
-def _starts(gaps: Column, hits: Column) -> Column:
-    """Position of each hit: the length of all gaps and hits before it.
+def _with_starts(docs: DataFrame) -> DataFrame:
+    """Adds _s: each hit's position, the length of all gaps and hits before.
 
     Added up STEP hits at a time, so that the arrays being built stay short
-    for texts with very many hits.
+    for texts with very many hits. What a lambda reads is a column first.
     """
-    part = F.zip_with(F.transform(gaps, F.length), F.transform(hits, F.length),
+    part = F.zip_with(F.transform("_g", F.length), F.transform("_h", F.length),
                       lambda g, h: F.struct(g.alias("g"), F.coalesce(h, F.lit(0)).alias("h")))
-    steps = F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / STEP).cast("int"))
+    steps = F.sequence(F.lit(0), F.floor((F.size("_h") - 1) / STEP).cast("int"))
 
     def chunk(s: Column) -> Column:
-        return F.slice(part, s * STEP + 1, STEP)
+        return F.slice("_p", s * STEP + 1, STEP)
 
     totals = F.transform(steps, lambda s: F.aggregate(chunk(s), F.lit(0), lambda a, x: a + x["g"] + x["h"]))
-    base = F.aggregate(totals, F.array(F.lit(0)), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t)))
     inner = F.transform(steps, lambda s: F.aggregate(
-        chunk(s), F.struct(F.get(base, s).alias("at"), F.array().cast("array<int>").alias("out")),
+        chunk(s), F.struct(F.get("_b", s).alias("at"), F.array().cast("array<int>").alias("out")),
         lambda a, x: F.struct((a["at"] + x["g"] + x["h"]).alias("at"),
                               F.concat(a["out"], F.array(a["at"] + x["g"])).alias("out")))["out"])
-    return F.when(F.size(hits) > 0, F.slice(F.flatten(inner), 1, F.size(hits))).otherwise(F.array().cast("array<int>"))
+    some, none = F.size("_h") > 0, F.array().cast("array<int>")
+    docs = docs.withColumn("_p", part).withColumn("_b", F.when(some, F.aggregate(
+        totals, F.array(F.lit(0)), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t)))))
+    return docs.withColumn("_s", F.when(some, F.slice(F.flatten(inner), 1, F.size("_h"))).otherwise(none)).drop("_p", "_b")
 
 
 def _found(docs: DataFrame, kind: str, text: str) -> DataFrame:
     """Adds column ``kind``: structs of start, end and labels of valid hits."""
-    docs = _gaps_and_hits(docs, kind, text).withColumn("_s", _starts(F.col("_g"), F.col("_h")))
+    docs = _with_starts(_gaps_and_hits(docs, kind, text))
     order = (KINDS + ADDED).index(kind)
 
     def span(i: Column) -> Column:
