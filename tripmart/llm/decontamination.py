@@ -79,15 +79,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     in text are each reported. An empty side gives an empty result.
     """
     # Words are a column of their own: a lambda must not compute them again.
-    items = stored(benchmark.select("item_id", words(F.col("text")).alias("words"))
-                   .select("item_id", shingles(F.col("words")).alias("hashes")).where("size(hashes) > 0").distinct(), "items")
+    items = stored(benchmark.select("item_id", words(F.col("text")).alias("words")).where("size(words) > 0")
+                   .select("item_id", shingles(F.col("words")).alias("hashes")).distinct(), "items")
     items = items.withColumn("m", F.size("hashes"))
     # One row for each shingle and item size, not each item.
     wanted = items.select(F.explode("hashes").alias("h"), "m").distinct()
     hashed = docs.select("doc_id", row_key().alias("key"), words(F.col("text")).alias("words")).select(
         "doc_id", "key", shingles(F.col("words")).alias("hashes"))
 
-    hits = hashed.select("key", F.size("hashes").alias("n"), F.posexplode("hashes").alias("p", "h")).join(
+    # The outer form: a filter on the array's size would be moved below it
+    # and compute the array again.
+    hits = hashed.select("key", F.size("hashes").alias("n"), F.posexplode_outer("hashes").alias("p", "h")).join(
         bounded_broadcast(wanted), "h")
     found = hits.groupBy("key", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("p"))
     found = found.withColumn("w", F.least("n", "m")).withColumn("need", _needed(F.col("w"), F.col("m")))
