@@ -30,22 +30,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each SimHash component: the smallest doc_id.
 
-    Of rows that share that id the one with the smallest row key stays, and
-    of rows equal in id and text one. Rows with a null id go, unless all ids
-    of their component are null.
+    Ids come before nulls; of rows that share that id the one with the
+    smallest row key stays, and of rows equal in id and text one.
     """
     groups = simhash_dedup.near_duplicates(docs, shingle=3, radius=3)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return first.withColumn("_key", row_key()).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    first = groups.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.key").alias("_key"))
+    return docs.withColumn("_key", row_key()).join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    hits = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    # Null-safe on both sides, so that a row without an id is judged as well.
-    gone = hits.select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    hits = decontamination.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = hits.select(F.col("key").alias("_key")).distinct()
+    return docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").drop("_key")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

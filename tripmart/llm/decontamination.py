@@ -69,10 +69,10 @@ def _needed(mine: Column, other: Column) -> Column:
     return F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (mine + other) - F.lit(1e-6)).cast("int")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity of every contaminated document and item.
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, key, item_id, similarity of contaminated documents and items.
 
-    ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are
+    ``key`` is the row key of id and text. ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are
     ignored. The similarity is the best of all windows of the item's size (a
     shorter document is one window). Null, empty and wordless texts match
     nothing. Rows equal in doc_id and text give one row an item. Items equal
@@ -129,7 +129,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
               .agg(F.sum(F.least("c", "ic")).alias("both")))
     similarity = F.col("both") / (F.col("w") + F.col("m") - F.col("both"))
     return (common.withColumn("similarity", similarity).where(F.col("similarity") >= SIMILARITY)
-            .groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity")))
+            .groupBy("doc_id", "key", "item_id").agg(F.max("similarity").alias("similarity")))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id and the best similarity (see ``matches``)."""
+    return matches(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

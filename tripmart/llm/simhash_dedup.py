@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import documents, map_batches, shuffle_width, stored
+from tripmart.llm.common import documents, map_batches, row_key, shuffle_width, stored
 from tripmart.llm.components import components
 
 #: Items of one tree; larger shards are cut into chunks.
@@ -59,9 +59,9 @@ def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp, the signed 64-bit form of the SimHash, a row each."""
-    return map_batches(docs.select("doc_id", F.col("text").cast("binary").alias("text")),
-                       lambda it: _fingerprints(it, shingle), "doc_id long, fp long")
+    """doc_id, row key and fp, the signed form of the SimHash, a row each."""
+    return map_batches(docs.select("doc_id", row_key().alias("key"), F.col("text").cast("binary").alias("text")),
+                       lambda it: _fingerprints(it, shingle), "doc_id long, key long, fp long")
 
 
 def shard_keys(fp: Column, radius: int, blocks: int) -> Column:
@@ -210,7 +210,10 @@ def links(items: DataFrame, radius: int, blocks: int, tree_items: int = TREE_ITE
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id for every row of ``docs``.
+    """doc_id, fingerprint (hex), component_id, component and key, a row each.
+
+    ``component`` names a component whatever its ids are; ``key`` is the
+    row's key (its id and text together).
 
     ``blocks`` (more than ``radius``) sets the shards: 5 blocks keep 25 or 26
     bits in each of 10 keys, so a shard of random fingerprints holds about one
@@ -225,10 +228,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     item_root = items.join(root, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     named = item_root.join(
-        item_root.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        item_root.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
+    return prints.join(named.drop("first_id"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        F.col("root").alias("component"), "key")
 
 
 def op7_simhash_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+    return near_duplicates(documents(spark, sf_dir), shingle=3, radius=3).select(
+        "doc_id", "fingerprint", "component_id")
