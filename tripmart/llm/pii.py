@@ -128,7 +128,7 @@ def _valid(kind: str, hit: Column) -> Column:
     if kind == "secret":
         return hit.rlike("[0-9]")
     if kind == "phone_local":
-        return F.length(_digits(hit)).between(7, 12)
+        return F.length(_digits(hit)).between(7, 11)
     return F.lit(True)
 
 
