@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripmart.functions import (KEY_NULL, calendar_columns, cents, hour_floor, money_avg, money_sum,
+from tripmart.functions import (KEY_NULL, calendar_columns, exact, hour_floor, money_avg, money_sum,
                                 period_of, range_checked_int, surrogate_key, text_to_bool)
 
 
@@ -72,11 +72,14 @@ def test_money_is_exact_and_null_skipping(spark):
     assert row.a == 3.0 / 20
     empty = spark.createDataFrame([(None,)], "x double").agg(money_sum(F.col("x")).alias("s")).first()
     assert empty.s is None
-    # Halves round away from zero, like a cast to DECIMAL(18,2).
-    halves = spark.createDataFrame([(0.125,), (-0.125,), (-2.5,), (0.0,)], "x double")
-    got = [r.c for r in halves.select(cents(F.col("x")).alias("c")).collect()]
-    want = [int(r.d * 100) for r in halves.select(F.col("x").cast("decimal(18,2)").alias("d")).collect()]
-    assert got == want == [13, -13, -250, 0]
+
+
+def test_money_keeps_sub_cent_amounts_and_skips_nan(spark):
+    vals = [0.285, 1.005, 1.0125, 0.7801, 2.0014]
+    df = spark.createDataFrame([(v,) for v in [*vals, float("nan"), float("inf"), None, 1e300]], "x double")
+    row = df.agg(money_sum(F.col("x")).alias("s"), money_avg(F.col("x")).alias("a")).first()
+    assert row.s == 5.084 and row.a == 5.084 / 5
+    assert [str(r.x) for r in df.limit(2).select(exact(F.col("x")).alias("x")).collect()] == ["0.28500000", "1.00500000"]
 
 
 def test_text_to_bool_and_ranges(spark):

@@ -1,12 +1,11 @@
-"""Exact money aggregation.
-
-Money is stored as DOUBLE, like the source. Sums of doubles depend on the
-order rows are added, which changes with partitioning, AQE re-plans and
-retries. Money is cents-denominated, so aggregates add whole cents as BIGINT
-(exact, order-free, and as cheap as a double sum inside codegen) and divide
-once at the end. The result is the correctly rounded double of the exact
-decimal sum -- the same value any engine gets from a DECIMAL(18,2) sum.
-NULL rows add nothing, as with a plain SUM/AVG.
+"""Exact aggregation of amounts kept as DOUBLE, like the source's.
+
+Sums of doubles depend on the order rows are added, which changes with
+partitioning, AQE re-plans and retries. Aggregates add DECIMAL(18,8) values
+instead: eight digits after the point keep sub-cent amounts, drop the noise
+of double arithmetic, and add up exactly in any order. The result is the
+double nearest to the decimal sum. Rows whose amount is NULL, NaN, infinite
+or beyond 10 digits before the point add nothing and are not counted.
 """
 
 from __future__ import annotations
@@ -15,16 +14,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(c: Column) -> Column:
-    """Round a money amount to whole cents (BIGINT, halves away from zero,
-    as a cast to DECIMAL(p, 2) rounds)."""
-    x = c * 100
-    return (F.signum(x) * F.floor(F.abs(x) + 0.5)).cast("bigint")
+def exact(c: Column) -> Column:
+    """The amount as DECIMAL(18,8); NULL where it is no such number."""
+    return c.try_cast("decimal(18,8)")
 
 
 def money_sum(c: Column) -> Column:
-    return F.sum(cents(c)) / F.lit(100.0)
+    return F.sum(exact(c)).cast("double")
 
 
 def money_avg(c: Column) -> Column:
-    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(c))
+    return F.try_divide(money_sum(c), F.count(exact(c)))

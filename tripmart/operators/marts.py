@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import hour_floor
-from tripmart.functions.money import cents, money_avg, money_sum
+from tripmart.functions.money import exact, money_avg, money_sum
 from tripmart.operators.joins import bounded_broadcast
 from tripmart.schemas import BI_DAILY, BI_DRIVER, BI_FLAG, BI_GEO
 
@@ -71,7 +71,7 @@ def build_daily(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFr
                                 c("sales_tax"), c("bcf"), c("driver_pay"))
     out = j.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("total_trips"),
-        F.sum("trip_miles").alias("total_trip_miles"),
+        money_sum(c("trip_miles")).alias("total_trip_miles"),
         (F.sum("trip_time") / F.lit(86400.0)).alias("total_trip_time_days"),
         money_sum(fare + tips + tolls + apt + cong + cbd + tax + bcf).alias("passenger_total_spend"),
         money_sum(fare + cong + cbd).alias("platform_gross_revenue"),
@@ -95,12 +95,12 @@ def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataF
                "trip_flags_id", "left_semi")
     pay, tips = c("driver_pay"), c("tips")
     out = j.groupBy("date_key").agg(
-        F.avg("trip_miles").alias("avg_trip_miles"),
+        money_avg(c("trip_miles")).alias("avg_trip_miles"),
         F.avg("trip_time").alias("avg_trip_time_seconds"),
         money_avg(pay).alias("avg_driver_pay"),
         money_avg(tips).alias("avg_tips"),
         money_avg(pay + tips).alias("avg_driver_total"),
-        F.try_divide(money_avg(pay), F.avg("trip_miles")).alias("avg_pay_per_mile"),
+        F.try_divide(money_avg(pay), money_avg(c("trip_miles"))).alias("avg_pay_per_mile"),
         F.try_divide(money_avg(pay), F.avg("trip_time") / F.lit(3600.0)).alias("avg_pay_per_hour"),
     )
     return _typed(out, BI_DRIVER)
@@ -147,17 +147,17 @@ def build_date_marts(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
     cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
                                 c("sales_tax"), c("bcf"), c("driver_pay"))
     sums = {
-        "n": F.count(F.lit(1)), "miles": F.sum("trip_miles"), "time": F.sum("trip_time"),
-        "spend": F.sum(cents(fare + tips + tolls + apt + cong + cbd + tax + bcf)),
-        "gross": F.sum(cents(fare + cong + cbd)), "earn": F.sum(cents(pay + tips)),
-        "fees": F.sum(cents(tax + bcf + cong + cbd + apt)), "net": F.sum(cents((fare + cong + cbd) - pay)),
+        "n": F.count(F.lit(1)), "miles": money_sum(c("trip_miles")), "time": F.sum("trip_time"),
+        "spend": F.sum(exact(fare + tips + tolls + apt + cong + cbd + tax + bcf)),
+        "gross": F.sum(exact(fare + cong + cbd)), "earn": F.sum(exact(pay + tips)),
+        "fees": F.sum(exact(tax + bcf + cong + cbd + apt)), "net": F.sum(exact((fare + cong + cbd) - pay)),
         "shared": _flag_count("shared_match_flag"),
         "n_pos": F.count_if(pos),
-        "p_miles": F.sum(p(c("trip_miles"))), "p_n_miles": F.count(p(c("trip_miles"))),
+        "p_miles": money_sum(p(c("trip_miles"))), "p_n_miles": F.count(p(exact(c("trip_miles")))),
         "p_time": F.sum(p(c("trip_time"))), "p_n_time": F.count(p(c("trip_time"))),
-        "p_pay": F.sum(p(cents(pay))), "p_n_pay": F.count(p(pay)),
-        "p_tips": F.sum(p(cents(tips))), "p_n_tips": F.count(p(tips)),
-        "p_total": F.sum(p(cents(pay + tips))), "p_n_total": F.count(p(pay + tips)),
+        "p_pay": F.sum(p(exact(pay))), "p_n_pay": F.count(p(exact(pay))),
+        "p_tips": F.sum(p(exact(tips))), "p_n_tips": F.count(p(exact(tips))),
+        "p_total": F.sum(p(exact(pay + tips))), "p_n_total": F.count(p(exact(pay + tips))),
         **{f"p_{f}": F.count_if(pos & c(f)) for f in ["shared_request_flag", "shared_match_flag",
                                                      "wav_request_flag", "wav_match_flag",
                                                      "access_a_ride_flag"]},
@@ -165,7 +165,7 @@ def build_date_marts(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
     agg = j.groupBy("date_key").agg(*[v.alias(k) for k, v in sums.items()]).persist()
 
     def money(s: str, n: str | None = None) -> Column:
-        total = c(s) / F.lit(100.0)
+        total = c(s).cast("double")
         return total if n is None else F.try_divide(total, c(n))
 
     avg_pay = money("p_pay", "p_n_pay")
@@ -213,9 +213,9 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
     fare = c("base_passenger_fare")
     part = fact.groupBy(hour_floor("pickup_datetime").alias("_hour"), "pulocation_id", "dolocation_id").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum("trip_miles").alias("_miles"), F.count("trip_miles").alias("_n_miles"),
+        F.sum(exact(c("trip_miles"))).alias("_miles"), F.count(exact(c("trip_miles"))).alias("_n_miles"),
         F.sum("trip_time").alias("_time"), F.count("trip_time").alias("_n_time"),
-        F.sum(cents(fare)).alias("_fare_c"), F.count(fare).alias("_n_fare"),
+        F.sum(exact(fare)).alias("_fare"), F.count(exact(fare)).alias("_n_fare"),
     )
     j = _skip(_by_hour(part, dim_datetime, ["date_key", "year", "month", "day_of_week", "hour_24"],
                        ts="_hour"), skip_dates, dim_datetime)
@@ -226,8 +226,8 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
           .join(do, c("dolocation_id") == c("_do_id")))
     out = j.groupBy(*GEO_KEYS).agg(
         F.sum("_n").alias("trip_count"),
-        F.try_divide(F.sum("_miles"), F.sum("_n_miles")).alias("avg_trip_miles"),
+        F.try_divide(F.sum("_miles").cast("double"), F.sum("_n_miles")).alias("avg_trip_miles"),
         F.try_divide(F.sum("_time"), F.sum("_n_time")).alias("avg_trip_time"),
-        F.try_divide(F.sum("_fare_c") / F.lit(100.0), F.sum("_n_fare")).alias("avg_passenger_fare"),
+        F.try_divide(F.sum("_fare").cast("double"), F.sum("_n_fare")).alias("avg_passenger_fare"),
     )
     return _typed(out, BI_GEO)

@@ -3,7 +3,7 @@
 Written from the model definitions, not from the Spark code: each function
 returns a SELECT over named inputs, and :func:`with_ctes` strings them into
 one statement over the pre-registered benchmark views. Money sums go
-through DECIMAL(18,2) -- exact -- and are cast to DOUBLE at the end.
+through DECIMAL(18,8), without rounding to cents, and are cast to DOUBLE at the end.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def key(*exprs: str) -> str:
 
 
 def msum(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,8))) AS DOUBLE)"
 
 
 def mavg(expr: str) -> str:
@@ -149,7 +149,7 @@ def daily_sql(fact: str, dd: str, flags: str, done: str | None = None) -> str:
     return f"""
 SELECT dd.date_key,
   COUNT(*) AS total_trips,
-  SUM(trip_miles) AS total_trip_miles,
+  {msum('trip_miles')} AS total_trip_miles,
   SUM(trip_time) / 86400 AS total_trip_time_days,
   {msum('base_passenger_fare + tips + tolls + airport_fee + congestion_surcharge + cbd_congestion_fee + sales_tax + bcf')} AS passenger_total_spend,
   {msum('base_passenger_fare + congestion_surcharge + cbd_congestion_fee')} AS platform_gross_revenue,
@@ -166,12 +166,12 @@ GROUP BY dd.date_key"""
 def driver_sql(fact: str, dd: str, flags: str, done: str | None = None) -> str:
     return f"""
 SELECT dd.date_key,
-  AVG(trip_miles) AS avg_trip_miles,
+  {mavg('trip_miles')} AS avg_trip_miles,
   AVG(trip_time) AS avg_trip_time_seconds,
   {mavg('driver_pay')} AS avg_driver_pay,
   {mavg('tips')} AS avg_tips,
   {mavg('driver_pay + tips')} AS avg_driver_total,
-  {mavg('driver_pay')} / AVG(trip_miles) AS avg_pay_per_mile,
+  {mavg('driver_pay')} / {mavg('trip_miles')} AS avg_pay_per_mile,
   {mavg('driver_pay')} / (AVG(trip_time) / 3600.0) AS avg_pay_per_hour
 FROM {_hour_join(fact, dd)}
 JOIN {flags} pf ON ft.trip_flags_id = pf.trip_flags_id
@@ -202,7 +202,7 @@ def geo_sql(fact: str, dd: str, loc: str, done: str | None = None) -> str:
 SELECT dd.date_key, dd.year, dd.month, dd.day_of_week, dd.hour_24,
   pu.borough AS pu_borough, pu.zone AS pu_zone, dro.borough AS do_borough, dro.zone AS do_zone,
   COUNT(*) AS trip_count,
-  AVG(trip_miles) AS avg_trip_miles,
+  {mavg('trip_miles')} AS avg_trip_miles,
   AVG(trip_time) AS avg_trip_time,
   {mavg('base_passenger_fare')} AS avg_passenger_fare
 FROM {_hour_join(fact, dd)}

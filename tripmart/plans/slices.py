@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.money import cents, money_avg
+from tripmart.functions.money import money_avg, money_sum
 from tripmart.operators.joins import bounded_broadcast
 from tripmart.operators.marts import _by_hour, _positive
 
@@ -18,11 +18,6 @@ DAILY_MONEY = ["passenger_total_spend", "platform_gross_revenue", "driver_total_
                "fees_and_taxes", "platform_net_earnings"]
 
 
-def _resum_cents(col: str) -> Column:
-    """Re-add per-day money totals exactly (each is a whole number of cents)."""
-    return F.sum(cents(c(col))) / F.lit(100.0)
-
-
 def monthly_overview(daily: DataFrame) -> DataFrame:
     """Roll the daily mart up to months.
 
@@ -35,9 +30,9 @@ def monthly_overview(daily: DataFrame) -> DataFrame:
     out = daily.groupBy(F.year("date_key").alias("year"), F.month("date_key").alias("month")).agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("total_trips").alias("total_trips"),
-        F.sum("total_trip_miles").alias("total_trip_miles"),
+        money_sum(c("total_trip_miles")).alias("total_trip_miles"),
         (F.sum(seconds) / F.lit(86400.0)).alias("total_trip_time_days"),
-        *[_resum_cents(m).alias(m) for m in DAILY_MONEY],
+        *[money_sum(c(m)).alias(m) for m in DAILY_MONEY],
         (F.sum(shared) / F.sum("total_trips") * 100).alias("percent_shared_rides"),
     )
     return out
@@ -49,7 +44,7 @@ def peak_hour_demand(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
     j = _by_hour(fact, dim_datetime, keys)
     return j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        F.avg("trip_miles").alias("avg_trip_miles"),
+        money_avg(c("trip_miles")).alias("avg_trip_miles"),
         F.avg("trip_time").alias("avg_trip_time"),
         money_avg(c("base_passenger_fare")).alias("avg_passenger_fare"),
     )
@@ -65,7 +60,7 @@ def driver_economics(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
         F.count(F.lit(1)).alias("trips"),
         money_avg(pay).alias("avg_driver_pay"),
         money_avg(pay + c("tips")).alias("avg_driver_total"),
-        F.try_divide(money_avg(pay), F.avg("trip_miles")).alias("avg_pay_per_mile"),
+        F.try_divide(money_avg(pay), money_avg(c("trip_miles"))).alias("avg_pay_per_mile"),
         F.try_divide(money_avg(pay), F.avg("trip_time") / F.lit(3600.0)).alias("avg_pay_per_hour"),
         F.count_if(c("shared_match_flag")).alias("shared_rides"),
         (F.count_if(c("shared_match_flag")) / F.count(F.lit(1)) * 100).alias("percent_shared_rides"),
