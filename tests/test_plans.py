@@ -83,7 +83,8 @@ def test_upsert_cells_prune_on_both_partition_columns(spark, workdir):
     raw = fixtures.raw_trips(spark, SF_SMALL).filter(F.col("ingestion_ts") == F.lit(fixtures.LOAD_1_TS))
     wh.overwrite("stg_trips", stage_trips(raw))
     period = wh.periods_of(wh.read("stg_trips"))[0]
-    df = wh.read("stg_trips", cells=[(period, 1), (period, 3)])
+    cells = spark.createDataFrame([(period, 1), (period, 3)], "pickup_period date, key_bucket int")
+    df = wh.read("stg_trips", [period], cells)
     p = plan(df.select("trip_id"))
     filters = re.search(r"PartitionFilters: \[([^\n]*)\]", p).group(1)
     assert "pickup_period" in filters and "key_bucket" in filters

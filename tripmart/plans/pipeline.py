@@ -27,7 +27,6 @@ from tripmart.operators import core, marts
 from tripmart.operators.joins import anti_join_keys
 from tripmart.operators.staging import FIRST_RUN, high_water_mark, stage_trips
 from tripmart.plans.warehouse import Warehouse
-from tripmart.session import shared_root
 
 DATE_MARTS = ["bi_daily_metrics", "bi_driver_metrics", "bi_flag_metrics"]
 
@@ -67,8 +66,9 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
                holidays: DataFrame) -> RunReport:
     """Bring every model in ``wh`` up to date with ``raw``."""
     spark = wh.spark
-    shared_root(spark)  # shared folder for the upsert's Parquet copy
+    wh.recover()
     rep = RunReport()
+    increment = None
 
     # Staging: high-water mark + keyed upsert.
     if not wh.exists("stg_trips"):
@@ -79,11 +79,11 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     else:
         rep.first_run["stg_trips"] = False
         rep.high_water_mark = wh.high_water_mark()
-        new = stage_trips(raw, after=rep.high_water_mark)
-        touched, new_mark = wh.periods_and_mark(new)
+        # Written once: periods, cells, mark and merge all read the copy.
+        increment, new, cells, touched, new_mark = wh.store_increment(stage_trips(raw, after=rep.high_water_mark))
         periods = sorted(set(touched) | set(wh.pending_periods()))
         wh.set_pending_periods(periods)
-        wh.upsert("stg_trips", new, "trip_id", periods=touched)
+        wh.upsert_cells("stg_trips", new, cells, touched, "trip_id")
         if touched:
             # Written after the upsert commits, so the mark never runs ahead of staging.
             wh.set_high_water_mark(new_mark, previous=rep.high_water_mark)
@@ -140,4 +140,5 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
 
     if periods is not None:
         wh.set_pending_periods([])
+        wh.drop_scratch(increment)
     return rep

@@ -11,6 +11,7 @@ a batch touches.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,8 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.calendar import period_of
-from tripmart.operators.joins import anti_join_keys
-from tripmart.session import configure, delete_path, path_exists, scratch_dir
+from tripmart.operators.joins import anti_join_keys, bounded_broadcast
+from tripmart.session import child_names, configure, delete_path, path_exists
 
 PERIOD = "pickup_period"
 BUCKET = "key_bucket"
@@ -45,9 +46,14 @@ TABLES: dict[str, TableSpec] = {
     "bi_driver_metrics": TableSpec("MARTS", schemas.BI_DRIVER, False, "date_key"),
     "bi_flag_metrics": TableSpec("MARTS", schemas.BI_FLAG, False, "date_key"),
     "bi_geo_time_metrics": TableSpec("MARTS", schemas.BI_GEO, False, "date_key"),
-    "_pending_periods": TableSpec("STATE", T.StructType([T.StructField(PERIOD, T.DateType())])),
-    "_high_water_mark": TableSpec("STATE", T.StructType([T.StructField("ingestion_micros", T.LongType())])),
-    "_layout": TableSpec("STATE", T.StructType([T.StructField("key_buckets", T.IntegerType())])),
+}
+
+# Small state tables, one folder a version (see Warehouse.write_state).
+STATE: dict[str, str] = {
+    "_pending_periods": "pickup_period date",
+    "_pending_copy": "copy string, target string",
+    "_high_water_mark": "ingestion_micros long",
+    "_layout": "key_buckets int, grain string",
 }
 
 
@@ -59,29 +65,64 @@ def layer_name(custom: str | None, default: str) -> str:
 class Warehouse:
     """Tables under ``root``. Trip tables are partitioned by pickup period
     and, within it, by ``key_buckets`` buckets of the trip key, so a keyed
-    upsert rewrites only the (period, bucket) cells its keys fall in. The
-    bucket count is fixed when the first trip table is written and read
-    back from the layout state afterwards."""
+    upsert rewrites only the (period, bucket) cells its keys fall in. Grain
+    and bucket count are fixed when the first trip table is written and read
+    back from the layout state afterwards, whatever the caller asks for."""
 
     def __init__(self, spark: SparkSession, root: str, grain: str = "month", key_buckets: int = 1):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
-        self.grain = grain
-        self._key_buckets = key_buckets
-        self._layout_read = False
+        self._layout, self._layout_read = (key_buckets, grain), False
 
-    @property
-    def key_buckets(self) -> int:
+    def _stored_layout(self) -> tuple[int, str]:
         if not self._layout_read:
             self._layout_read = True
-            if self.exists("_layout"):
-                self._key_buckets = self.read("_layout").first()[0]
-        return self._key_buckets
+            rows = self.read_state("_layout")
+            if rows:
+                asked, self._layout = self._layout, (rows[0][0], rows[0][1])
+                if asked != self._layout:
+                    log.warning("%s is laid out by %s key buckets and %s; asked for %s", self.root, *self._layout, asked)
+        return self._layout
+
+    @property
+    def key_buckets(self) -> int:
+        return self._stored_layout()[0]
+
+    @property
+    def grain(self) -> str:
+        return self._stored_layout()[1]
 
     def _save_layout(self) -> None:
-        if not self.exists("_layout"):
-            df = self.spark.createDataFrame([(self.key_buckets,)], TABLES["_layout"].schema)
-            df.coalesce(1).write.mode("overwrite").parquet(self.path("_layout"))
+        if self.read_state("_layout") is None:
+            self.write_state("_layout", [(self.key_buckets, self.grain)])
+
+    # -- state ----------------------------------------------------------------
+    def _state_path(self, name: str) -> str:
+        return f"{self.root}/{layer_name('STATE', 'PUBLIC')}/{name}"
+
+    def _versions(self, name: str) -> list[str]:
+        return [v for v in child_names(self.spark, self._state_path(name)) if v.startswith("v")]
+
+    def read_state(self, name: str) -> list | None:
+        """Rows of the newest complete version; None if there is none."""
+        for version in reversed(self._versions(name)):
+            path = f"{self._state_path(name)}/{version}"
+            if path_exists(self.spark, f"{path}/_SUCCESS"):
+                return self.spark.read.schema(STATE[name]).parquet(path).collect()
+        return None
+
+    def write_state(self, name: str, rows: list[tuple]) -> None:
+        """Write a new version, then remove the older ones: a stop at any
+        point leaves either the old or the new rows to read."""
+        old = self._versions(name)
+        version = f"v{int(old[-1][1:]) + 1 if old else 0:010d}"
+        self.spark.createDataFrame(rows, STATE[name]).coalesce(1).write.parquet(f"{self._state_path(name)}/{version}")
+        for v in old:
+            delete_path(self.spark, f"{self._state_path(name)}/{v}")
+
+    def scratch(self, name: str) -> str:
+        """A new path for a temporary table; shared, since the root is."""
+        return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex}"
 
     # -- layout -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -96,20 +137,22 @@ class Warehouse:
             return spec.schema
         return schemas.with_field(schemas.with_field(spec.schema, PERIOD, T.DateType()), BUCKET, T.IntegerType())
 
-    def read(self, name: str, periods: list | None = None, cells: list | None = None) -> DataFrame:
+    def read(self, name: str, periods: list | None = None, cells: DataFrame | None = None) -> DataFrame:
         """The table (with its partition columns if partitioned), pruned to
-        ``periods`` or to (period, bucket) ``cells``; both prune partitions."""
+        ``periods``, and to the (period, bucket) rows of ``cells``.
+
+        Periods prune partitions with one flat IN; cells are a semi-join, so
+        the plan does not grow with them. Both sides filter by period, which
+        lets Spark prune by the cells' buckets at run time as well.
+        """
         df = self.spark.read.schema(self.read_schema(name)).parquet(self.path(name))
         if periods is not None:
             df = df.filter(F.col(PERIOD).isin(list(periods)))
         if cells is not None:
-            by_period: dict = {}
-            for p, b in cells:
-                by_period.setdefault(p, set()).add(b)
-            cond = F.lit(False)
-            for p, bs in sorted(by_period.items()):
-                cond = cond | ((F.col(PERIOD) == F.lit(p)) & F.col(BUCKET).isin(sorted(bs)))
-            df = df.filter(cond)
+            cells = cells.select(PERIOD, BUCKET)
+            if periods is not None:
+                cells = cells.filter(F.col(PERIOD).isin(list(periods)))
+            df = df.join(bounded_broadcast(cells), [PERIOD, BUCKET], "left_semi")
         return df
 
     def logical(self, name: str) -> DataFrame:
@@ -161,13 +204,30 @@ class Warehouse:
     def append(self, name: str, df: DataFrame) -> None:
         self._writer(name, df, "append").parquet(self.path(name))
 
-    def periods_and_mark(self, staged: DataFrame) -> tuple[list, int | None]:
-        """Touched periods of staged rows and their newest load stamp (epoch
-        micros), from one aggregate (at most one row per period)."""
-        p = (staged.groupBy(period_of("pickup_datetime", self.grain).alias(PERIOD))
-                   .agg(F.unix_micros(F.max("ingestion_ts")).alias("mark")).collect())
-        marks = [r.mark for r in p if r.mark is not None]
-        return sorted(r[0] for r in p), (max(marks) if marks else None)
+    def store_increment(self, staged: DataFrame) -> tuple[str, DataFrame, DataFrame, list, int | None]:
+        """Write an increment once; return its path, its rows, its cells, its
+        periods and its newest load stamp (epoch micros).
+
+        Cells (one row per period and bucket, from one partial + final
+        aggregate) stay a table; only periods, at most one per day or month
+        of the calendar, reach the driver.
+        """
+        path = self.scratch("increment")
+        self.with_period(staged).write.parquet(path)
+        new = self.spark.read.parquet(path)
+        cells = new.groupBy(PERIOD, BUCKET).agg(F.unix_micros(F.max("ingestion_ts")).alias("mark"))
+        cells.coalesce(1).write.parquet(f"{path}-cells")
+        cells = self.spark.read.parquet(f"{path}-cells")
+        per = cells.groupBy(PERIOD).agg(F.max("mark").alias("mark")).collect()
+        marks = [r.mark for r in per if r.mark is not None]
+        return path, new, cells, sorted(r[0] for r in per), (max(marks) if marks else None)
+
+    def drop_scratch(self, path: str) -> None:
+        for p in (path, f"{path}-cells"):
+            try:
+                delete_path(self.spark, p)
+            except Exception as exc:  # the tables have committed; a leftover copy is harmless
+                log.warning("could not remove %s: %s", p, exc)
 
     def periods_of(self, df: DataFrame) -> list:
         """Distinct partition values of ``df`` (bounded by the calendar: one
@@ -175,39 +235,46 @@ class Warehouse:
         p = df.select(period_of("pickup_datetime", self.grain).alias(PERIOD)).distinct()
         return sorted(r[0] for r in p.collect())
 
-    def upsert(self, name: str, updates: DataFrame, key: str, periods: list | None = None) -> list:
+    def upsert(self, name: str, updates: DataFrame, key: str) -> list:
         """Replace rows of ``name`` whose ``key`` occurs in ``updates``; add the rest.
 
-        Only the (period, key bucket) cells ``updates`` touch are read and
-        rewritten; a key lives in exactly one cell. Every
-        target row whose key appears in ``updates`` is replaced (duplicate
-        keys in ``updates`` are all kept). The merged periods are
-        written to a Parquet copy in the shared folder before the dynamic
-        overwrite, so a task recomputed after an executor loss never reads the partitions
-        being replaced (the copy is removed after the commit). Returns the
-        touched periods.
+        ``updates`` is written once and read back (see ``store_increment``).
+        Returns the touched periods.
+        """
+        path, new, cells, periods, _ = self.store_increment(updates)
+        self.upsert_cells(name, new, cells, periods, key)
+        self.drop_scratch(path)
+        return periods
+
+    def upsert_cells(self, name: str, new: DataFrame, cells: DataFrame, periods: list, key: str) -> None:
+        """Upsert a stored increment: only the (period, bucket) cells it
+        touches are read and rewritten; a key lives in exactly one cell.
+
+        Every target row whose key appears in ``new`` is replaced (duplicate
+        keys in ``new`` are all kept). The merged cells are written to a copy
+        under the root and the copy is recorded before the partitions are
+        overwritten from it. A run that stops in between is finished by
+        ``recover``, so no kept row is lost.
         """
-        if periods is None:
-            periods = self.periods_of(updates)
         if not periods:
-            return []
+            return
         if not self.exists(name):
-            self.overwrite(name, updates)
-            return periods
-        new = self.with_period(updates)
-        cells = [(r[0], r[1]) for r in new.select(PERIOD, BUCKET).distinct().collect()]
-        keep = anti_join_keys(self.read(name, cells=cells), new, [PERIOD, BUCKET, key])
+            self.overwrite(name, new)
+            return
+        keep = anti_join_keys(self.read(name, periods, cells), new, [PERIOD, BUCKET, key])
         merged = keep.unionByName(new.select(*keep.columns))
-        # Cut the lineage to the partitions about to be replaced: write the
-        # merge to a Parquet copy in the shared folder, then overwrite from it.
-        copy = scratch_dir(self.spark, "upsert", name)
+        copy = self.scratch(f"upsert-{name}")
         merged.select(*self.read_schema(name).fieldNames()).write.parquet(copy)
-        self.replace_periods(name, self.spark.read.schema(self.read_schema(name)).parquet(copy))
-        try:
-            delete_path(self.spark, copy)
-        except Exception as exc:  # the upsert itself has committed; a leftover copy is harmless
-            log.warning("could not remove upsert copy %s: %s", copy, exc)
-        return periods
+        self.write_state("_pending_copy", [(copy, name)])
+        self.recover()
+
+    def recover(self) -> None:
+        """Replay a recorded upsert copy, if one is complete, and forget it."""
+        for copy, name in self.read_state("_pending_copy") or []:
+            if path_exists(self.spark, f"{copy}/_SUCCESS"):
+                self.replace_periods(name, self.spark.read.schema(self.read_schema(name)).parquet(copy))
+            self.write_state("_pending_copy", [])
+            self.drop_scratch(copy)
 
     def register_views(self) -> list[str]:
         """Expose every built table as a temp view ``<layer>_<name>`` and ``<name>``
@@ -224,9 +291,7 @@ class Warehouse:
 
     # -- run state ------------------------------------------------------------
     def pending_periods(self) -> list:
-        if not self.exists("_pending_periods"):
-            return []
-        return sorted(r[0] for r in self.read("_pending_periods").collect())
+        return sorted(r[0] for r in self.read_state("_pending_periods") or [])
 
     def high_water_mark(self):
         """Staging's high-water mark (epoch micros, ``None`` if empty).
@@ -238,21 +303,17 @@ class Warehouse:
         themselves.
         """
         from tripmart.operators.staging import high_water_mark
-        if self.exists("_high_water_mark"):
-            rows = self.read("_high_water_mark").collect()
+        rows = self.read_state("_high_water_mark")
+        if rows is not None:
             return rows[0][0] if rows else None
         return high_water_mark(self.read("stg_trips"))
 
     def set_high_water_mark(self, micros, previous=None) -> None:
-        if previous is None and self.exists("_high_water_mark"):
-            rows = self.read("_high_water_mark").collect()
+        if previous is None:
+            rows = self.read_state("_high_water_mark")
             previous = rows[0][0] if rows else None
         marks = [m for m in (micros, previous) if m is not None]
-        rows = [(max(marks),)] if marks else []
-        df = self.spark.createDataFrame(rows, TABLES["_high_water_mark"].schema)
-        df.coalesce(1).write.mode("overwrite").parquet(self.path("_high_water_mark"))
+        self.write_state("_high_water_mark", [(max(marks),)] if marks else [])
 
     def set_pending_periods(self, periods) -> None:
-        rows = [(p,) for p in sorted(set(periods))]
-        df = self.spark.createDataFrame(rows, TABLES["_pending_periods"].schema)
-        df.coalesce(1).write.mode("overwrite").parquet(self.path("_pending_periods"))
+        self.write_state("_pending_periods", [(p,) for p in sorted(set(periods))])

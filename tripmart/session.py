@@ -19,8 +19,6 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Keyed writes replace only the partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -58,8 +56,9 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local tests -- a fresh local folder is made
-    and registered, so ``DataFrame.checkpoint()`` works as well.
+    Only on a ``local`` master, where neither need be set, a fresh local
+    folder is made and registered. Elsewhere executors could not see such a
+    folder, so a missing setting is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -67,6 +66,8 @@ def shared_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tripmart-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(root)
@@ -86,6 +87,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder on its file system; none if missing."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively remove ``path`` (a scratch copy this package wrote)."""
     jvm = spark.sparkContext._jvm
