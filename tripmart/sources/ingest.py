@@ -1,33 +1,38 @@
 """Raw load: cast landing rows by name, reject whole files, stamp, append.
 
-One call handles one batch of files (a streaming micro-batch). A file with
-any value that is present but does not fit its declared type -- flag text
-that is not a boolean, a location id beyond three digits, a licence longer
-than six characters -- is skipped as a whole and listed in a quarantine
-table; all other files load. A field a file lacks reads as NULL.
+One call handles one batch of files (a streaming micro-batch). The unit of
+acceptance is the publisher's file: a Parquet file, or the folder of the
+``part-*`` files Spark wrote for it. A unit is skipped as a whole and listed
+in a quarantine table if
+
+* a value that is present does not fit its declared type (flag text that is
+  not a boolean, a location id beyond three digits, a licence longer than six
+  characters), or
+* the Parquet reader cannot read all of it (a truncated file, a column of a
+  type that cannot be widened).
+
+All other units load, and the batch is never offered again. A field a file
+lacks reads as NULL.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.functions.calendar import period_of
 from tripmart.functions.casts import range_checked_int, text_to_bool
 from tripmart.operators.joins import bounded_broadcast
-from tripmart.schemas import FLAGS, LANDING, RAW
+from tripmart.schemas import FLAGS, LANDING, RAW, with_field
 
-FILE = "_file"
+FILE = "_file"      # the unit of acceptance
+PATH = "_path"      # a Parquet file of it
 LOAD_ID = "load_id"
 
-# A batch never holds more files than the stream's maxFilesPerTrigger, so
-# the rejected-file list is bounded by it. 100 monthly files (~50 GB) keep a
-# backfill's persisted micro-batch modest; a monthly run has one or two.
-MAX_FILES_PER_BATCH = 100
-
-
 def _typed(name: str) -> Column:
     src = F.col(name)
     if name in FLAGS:
@@ -52,39 +57,68 @@ def cast_batch(batch: DataFrame) -> DataFrame:
     return batch.select(*[typed[n].alias(n) for n in names], F.col(FILE), bad.alias("_bad"))
 
 
-def load_batch(batch: DataFrame, raw_path: str, rejected_path: str, load_id: str,
-               grain: str = "day") -> dict:
-    """Load one batch into ``raw_path/load_id=<load_id>`` (idempotent per id),
+def unit_of(path: Column) -> Column:
+    """The unit a file belongs to: its folder if it is a part, else itself."""
+    return F.regexp_replace(path, "/part-[^/]*$", "")
+
+
+def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of the files with their path; a file that cannot be read ends
+    early instead of failing the job, which :func:`unreadable` finds."""
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
+    return rows.withColumn(PATH, F.col("_metadata.file_path")).withColumn(FILE, unit_of(F.col(PATH)))
+
+
+def unreadable(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(unit, reason) of files whose rows cannot all be read.
+
+    A count without columns comes from the footers alone; reading every
+    column as declared must give as many rows. Both run on the executors.
+    """
+    listed = spark.createDataFrame([(p,) for p in paths], f"{PATH} string")
+    stated = _read(spark, paths, T.StructType()).groupBy(PATH).agg(F.count(F.lit(1)).alias("stated"))
+    typed = _read(spark, paths, LANDING)
+    # Rows counted by a hash of all columns, so that the reader decodes each
+    # of them (a plain count of the hash would be planned without columns).
+    even = F.xxhash64(*LANDING.fieldNames()) % 2 == 0
+    decoded = (typed.select(PATH, even.alias("even")).groupBy(PATH)
+               .agg((F.count_if("even") + F.count_if(~F.col("even"))).alias("decoded")))
+    seen = listed.join(stated, PATH, "left").join(decoded, PATH, "left")
+    empty = (F.col("stated") == 0) & F.col("decoded").isNull()
+    bad = F.col("stated").isNull() | (F.coalesce("decoded", F.lit(0)) < F.col("stated")) & ~empty
+    return seen.filter(bad).select(unit_of(F.col(PATH)).alias(FILE), F.lit("unreadable").alias("reason"),
+                                   F.lit(None).cast("long").alias("bad_rows"))
+
+
+def load_batch(spark: SparkSession, paths: list[str], raw_path: str, rejected_path: str, load_id: str,
+               stamp: dt.datetime, grain: str = "day") -> dict:
+    """Load the files into ``raw_path/load_id=<load_id>`` (idempotent per id),
     clustered by pickup ``grain`` (day or month) within the load.
 
-    Two passes over the batch (find bad files, then write the good ones), so
-    the typed batch is persisted once. Rejected files are broadcast -- at
-    most one row per file in the batch. ``ingestion_ts`` is the batch's
-    ``current_timestamp()``, one value for the whole load.
+    Bad units are found first and written as the load's quarantine rows (at
+    most one a file and reason); the good ones are then read again, so no
+    batch has to fit in memory. ``stamp`` is the load's ``ingestion_ts``.
     """
-    typed = cast_batch(batch).persist()
-    bad_files = typed.filter("_bad").groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows")).persist()
-    try:
-        n_bad = bad_files.count()
-        good = typed.join(bounded_broadcast(bad_files.select(FILE), MAX_FILES_PER_BATCH, rows=n_bad),
-                          FILE, "left_anti")
-        out = good.select(*[F.col(f.name) for f in RAW.fields if f.name != "ingestion_ts"],
-                          F.current_timestamp().alias("ingestion_ts"))
-        out = out.withColumn("pickup_period", period_of("pickup_datetime", grain))
-        (out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
-            .write.mode("overwrite").partitionBy("pickup_period")
-            .parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
-        (bad_files.withColumn("ingestion_ts", F.current_timestamp()).coalesce(1)
-            .write.mode("overwrite").parquet(f"{rejected_path}/{LOAD_ID}={load_id}"))
-        return {"load_id": load_id, "rejected_files": n_bad}
-    finally:
-        bad_files.unpersist()
-        typed.unpersist()
+    typed = cast_batch(_read(spark, paths, LANDING))
+    wrong = typed.filter("_bad").groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows")).select(
+        FILE, F.lit("value").alias("reason"), "bad_rows")
+    when = F.lit(stamp).cast("timestamp").alias("ingestion_ts")
+    rejected = f"{rejected_path}/{LOAD_ID}={load_id}"
+    (unreadable(spark, paths).unionByName(wrong).distinct().select("*", when).coalesce(1)
+        .write.mode("overwrite").parquet(rejected))
+    bad = spark.read.parquet(rejected).select(FILE).distinct()
+    n_bad = bad.count()
+    good = typed.join(bounded_broadcast(bad, rows=n_bad), FILE, "left_anti")
+    out = good.select(*[F.col(f.name) for f in RAW.fields if f.name != "ingestion_ts"], when)
+    out = out.withColumn("pickup_period", period_of("pickup_datetime", grain))
+    # Static: a replay must not keep partitions it no longer writes.
+    (out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pickup_period")
+        .parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
+    return {"load_id": load_id, "rejected_files": n_bad}
 
 
 def read_raw(spark, raw_path: str) -> DataFrame:
     """The raw table (all loads) with its declared schema."""
-    from pyspark.sql import types as T
-    from tripmart.schemas import with_field
     schema = with_field(with_field(RAW, LOAD_ID, T.StringType()), "pickup_period", T.DateType())
     return spark.read.schema(schema).parquet(raw_path)

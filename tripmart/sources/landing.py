@@ -39,26 +39,18 @@ def landing_rows(raw: DataFrame, blank_null_months: tuple[int, ...] = ()) -> Dat
     return raw.select(*cols, F.date_format(pk, "yyyy-MM").alias("_month"))
 
 
-ROWS_PER_FILE = 2_000_000
-
-
-def write_landing(raw: DataFrame, path: str, blank_null_months: tuple[int, ...] = (),
-                  rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_landing(raw: DataFrame, path: str, blank_null_months: tuple[int, ...] = ()) -> None:
     """Write monthly files under ``path`` (``_month=yyyy-MM/part-*.parquet``).
 
-    Months before 2025 are written without ``cbd_congestion_fee``. A month
-    is one file, as the publisher ships it, while it holds at most
-    ``rows_per_file`` rows; bigger months are cut into slices by hour of the
-    month, so no single task writes an unbounded month. The ingest path
-    treats a file as its unit of acceptance.
+    Months before 2025 are written without ``cbd_congestion_fee``. A month's
+    folder is one file of the publisher, whatever number of parts it has:
+    the loader accepts or rejects it as a whole. A part is a day of the
+    month, so no single task writes an unbounded month.
     """
     rows = landing_rows(raw, blank_null_months)
-    biggest = rows.groupBy("_month").count().agg(F.max("count")).first()[0] or 0
-    slices = max(1, -(-biggest // rows_per_file))
     pk = F.col("pickup_datetime")
-    rows = rows.withColumn("_slice", ((F.dayofmonth(pk) - 1) * 24 + F.hour(pk)) % slices)
     old = pk < F.lit(FEE_COLUMN_FROM).cast("timestamp_ntz")
     for part, keep_fee in [(rows.filter(old), False), (rows.filter(~old), True)]:
-        cols = [c for c in part.columns if (keep_fee or c != "cbd_congestion_fee") and c != "_slice"]
-        (part.repartition("_month", "_slice").select(*cols).write.mode("append")
+        cols = [c for c in part.columns if keep_fee or c != "cbd_congestion_fee"]
+        (part.repartition("_month", F.dayofmonth(pk)).select(*cols).write.mode("append")
              .partitionBy("_month").parquet(path))
