@@ -182,7 +182,125 @@ def test_file_ingest_rejects_whole_files_and_loads_once(spark, workdir):
     rep2 = ingest_landing(spark, land, raw_path, rej, ck)
     assert rep2 == [] and read_raw(spark, raw_path).count() == 2
     rejected = spark.read.parquet(rej).collect()
-    assert len(rejected) == 1 and rejected[0]["_file"].endswith(".parquet") and "2025-04" in rejected[0]["_file"]
+    assert len(rejected) == 1 and rejected[0]["_file"].endswith("2025-04") and rejected[0]["reason"] == "value"
+
+
+def test_unreadable_files_are_skipped_whole_and_never_offered_again(spark, workdir):
+    """A truncated file and one with a DOUBLE trip_time next to a good one."""
+    import glob
+    import os
+    import shutil
+
+    land, raw_path, rej, ck = (f"{workdir}/landing", f"{workdir}/RAW/fhv_trips",
+                               f"{workdir}/RAW/_rejected", f"{workdir}/_ck")
+    _landing(spark, [trip(D1), trip(D2)], f"{workdir}/good")
+    raw_df(spark, [trip(D1)]).drop("ingestion_ts").withColumn("trip_time", F.lit(1.5)).coalesce(1).write.parquet(
+        f"{workdir}/wrong")
+    os.makedirs(land)
+    good, wrong = (glob.glob(f"{workdir}/{n}/part-*.parquet")[0] for n in ("good", "wrong"))
+    shutil.copy(good, f"{land}/2025-03.parquet")
+    shutil.copy(wrong, f"{land}/2025-04.parquet")
+    with open(good, "rb") as f, open(f"{land}/2025-05.parquet", "wb") as out:
+        out.write(f.read()[:-100])
+    rep = ingest_landing(spark, land, raw_path, rej, ck)
+    assert [r["rejected_files"] for r in rep] == [2]
+    assert read_raw(spark, raw_path).count() == 2
+    rows = spark.read.parquet(rej).collect()
+    assert sorted((r["_file"][-15:], r["reason"]) for r in rows) == [("2025-04.parquet", "unreadable"),
+                                                                     ("2025-05.parquet", "unreadable")]
+    assert ingest_landing(spark, land, raw_path, rej, ck) == []
+
+
+def test_rejection_does_not_depend_on_the_number_of_parts(spark, workdir):
+    from tests.conftest import SF_SMALL
+    from tripmart.sources import fixtures
+    from tripmart.sources.landing import write_landing
+
+    raw = fixtures.raw_trips_load(spark, SF_SMALL, 1)
+    write_landing(raw, f"{workdir}/a/landing", (6,))
+    spark.read.option("basePath", f"{workdir}/a/landing").parquet(f"{workdir}/a/landing").repartition(3).write.partitionBy(
+        "_month").parquet(f"{workdir}/b/landing")
+    counts = []
+    for d in ("a", "b"):
+        ingest_landing(spark, f"{workdir}/{d}/landing", f"{workdir}/{d}/raw", f"{workdir}/{d}/rej", f"{workdir}/{d}/ck")
+        counts.append((read_raw(spark, f"{workdir}/{d}/raw").count(), spark.read.parquet(f"{workdir}/{d}/rej").count()))
+    assert counts[0] == counts[1] and counts[0][1] > 0
+
+
+def test_upsert_over_many_days_and_a_reopened_warehouse(spark, workdir):
+    """1000 days in 16 buckets; the stored grain holds when another is asked."""
+    wh = Warehouse(spark, workdir, grain="day", key_buckets=16)
+    days = [D1 + dt.timedelta(days=i) for i in range(1000)]
+    first = stage_trips(raw_df(spark, [trip(d) for d in days]))
+    wh.overwrite("stg_trips", first)
+    late = [trip(d, tips=9.0, ingestion_ts=LOAD2) for d in days[:990]] + [trip(days[-1] + dt.timedelta(days=9))]
+    again = Warehouse(spark, workdir, grain="month", key_buckets=1)
+    assert (again.grain, again.key_buckets) == ("day", 16)
+    again.upsert("stg_trips", stage_trips(raw_df(spark, late)), "trip_id")
+    rows = again.logical("stg_trips")
+    assert rows.count() == 1001 and rows.filter("tips = 9.0").count() == 990
+    assert rows.select("trip_id").distinct().count() == 1001
+
+
+def test_a_stopped_upsert_is_finished_by_the_next_run(spark, workdir, monkeypatch):
+    wh = Warehouse(spark, workdir, grain="day")
+    wh.overwrite("stg_trips", stage_trips(raw_df(spark, [trip(D1), trip(D2)])))
+    updates = stage_trips(raw_df(spark, [trip(D1, tips=9.0, ingestion_ts=LOAD2)]))
+
+    def stop(self, name, df):
+        # As a driver that dies after the old partitions are gone.
+        self.overwrite(name, df.limit(0))
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "replace_periods", stop)
+        try:
+            wh.upsert("stg_trips", updates, "trip_id")
+        except KeyboardInterrupt:
+            pass
+    Warehouse(spark, workdir).recover()
+    assert 9.0 in {r.tips for r in wh.logical("stg_trips").collect()}
+    assert wh.read_state("_pending_copy") == []
+
+
+def test_state_keeps_the_newest_complete_version(spark, workdir):
+    wh = Warehouse(spark, workdir)
+    assert wh.read_state("_pending_periods") is None
+    wh.set_pending_periods([D1.date()])
+    spark.createDataFrame([(D2.date(),)], "pickup_period date").write.parquet(
+        f"{wh._state_path('_pending_periods')}/v0000000009")
+    import os
+    os.remove(f"{wh._state_path('_pending_periods')}/v0000000009/_SUCCESS")
+    assert wh.pending_periods() == [D1.date()]
+    wh.set_pending_periods([])
+    assert wh.pending_periods() == []
+
+
+def test_shared_root_needs_a_shared_folder_off_local_masters():
+    import pytest
+
+    from tripmart.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            class sc:
+                class getCheckpointDir:
+                    isDefined = isEmpty = staticmethod(lambda: False)
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
 
 
 def test_location_id_out_of_range_rejects_file(spark, workdir):

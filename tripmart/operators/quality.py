@@ -99,9 +99,12 @@ def parse_range(text: str) -> tuple[int, int]:
 
 
 def month_range(years: str, months: str = "1-12") -> list[tuple[int, int]]:
-    """Every (year, month) of a year range and a month range."""
+    """Every (year, month) of a year range and a month range; ValueError for
+    months outside 1 to 12 or a range that ends before it begins."""
     y0, y1 = parse_range(years)
     m0, m1 = parse_range(months)
+    if not 1 <= m0 <= m1 <= 12 or y1 < y0:
+        raise ValueError(f"not a range of months: {years} {months}")
     return [(y, m) for y in range(y0, y1 + 1) for m in range(m0, m1 + 1)]
 
 
@@ -134,9 +137,12 @@ def missing_months(spark: SparkSession, trips: DataFrame, months: list[tuple[int
     """Target months with no trip at all, sorted.
 
     Present months are a distinct over the pickup month (partial aggregate,
-    at most one row per month per task); the target list is parameter-sized.
+    at most one row per month per task), from the partition column where
+    the table has it, so that no data column is read; the target list is
+    parameter-sized.
     """
-    present = trips.select(_month_text(F.col("pickup_datetime")).alias("month")).distinct()
+    at = F.col("pickup_period" if "pickup_period" in trips.columns else "pickup_datetime")
+    present = trips.select(_month_text(at).alias("month")).distinct()
     target = months_frame(spark, months)
     return target.join(present, "month", "left_anti").orderBy("month")
 
@@ -152,5 +158,7 @@ def select_months(trips: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
         ny, nm = (y + 1, 1) if m == 12 else (y, m + 1)
         hi = F.lit(f"{ny:04d}-{nm:02d}-01 00:00:00").cast("timestamp_ntz")
         c = (pk >= lo) & (pk < hi)
+        if "pickup_period" in trips.columns:  # prunes partitions of day or month grain
+            c = c & (F.col("pickup_period") >= lo.cast("date")) & (F.col("pickup_period") < hi.cast("date"))
         cond = c if cond is None else cond | c
     return trips.filter(cond)

@@ -1,7 +1,7 @@
 """The monthly run: ingest new files, bring models up to date, run checks.
 
     python -m tripmart.plans.monthly --landing DIR --warehouse DIR \\
-        --zones zone_lookup.csv [--holidays holidays.csv] [--years 2025-2026 --months 1-12]
+        --zones zone_lookup.csv [--holidays holidays.csv] [--years 2025-2026 --months 1-12 | --dates 2025-01,2025-02]
 
 Equivalent of the reference's scheduled chain (find missing months, load
 raw, build models, test). Downloading and scheduling are outside Spark and
@@ -30,21 +30,17 @@ def raw_paths(root: str) -> dict[str, str]:
             "checkpoint": f"{root}/RAW/_checkpoints/landing"}
 
 
-def run_checks(wh: Warehouse, raw: DataFrame, as_of=None, periods: list | None = None,
-               load_ids: list[str] | None = None) -> dict[str, list[dict]]:
+def run_checks(wh: Warehouse, raw: DataFrame, as_of=None) -> dict[str, list[dict]]:
     """Data tests: raw not-null, raw freshness, key uniqueness, fact relationships.
 
-    With ``load_ids`` / ``periods`` (a later run) the row-level tests cover
-    only the new loads and the touched fact partitions -- earlier data was
-    tested by earlier runs -- so a monthly run never rescans history. A
-    trip key determines its partition, so per-partition uniqueness is
-    table-wide uniqueness.
+    Every test covers its whole table: a dimension row that went missing, or
+    an old load with NULLs, is found by any later run. The scans are narrow
+    (three raw columns and the load stamp in one pass; the fact's ids and hour).
     """
     spark = wh.spark
-    new_raw = raw if load_ids is None else raw.filter(F.col("load_id").isin(load_ids))
-    fact = wh.read("fact_trips", periods).select(*wh.logical("fact_trips").columns)
+    fact = wh.logical("fact_trips")
     out = {
-        "not_null": quality.not_null_check(new_raw),
+        "not_null": quality.not_null_check(raw),
         "freshness": quality.freshness_check(raw, as_of=as_of),
         "unique_fact_trip_id": quality.unique_check(fact, "trip_id"),
         "unique_dim_datetime_key": quality.unique_check(wh.logical("dim_datetime"), "datetime_key"),
@@ -60,24 +56,46 @@ def run_checks(wh: Warehouse, raw: DataFrame, as_of=None, periods: list | None =
     return {k: [r.asDict() for r in v.collect()] for k, v in out.items()} | {"_spark": spark.version}
 
 
+def failures(report: dict) -> list[str]:
+    """What a run must not pass over: failed checks, rejected files and
+    missing months."""
+    checks = report["checks"]
+    out = [f"not_null {r['column_name']}" for r in checks["not_null"] if r["status"] == "fail"]
+    out += [f"freshness {r['status']}" for r in checks["freshness"] if r["status"] == "error"]
+    out += [k for k, rows in checks.items() if k.startswith("unique") and rows[0]["duplicate_keys"]]
+    out += [f"relationship {r['relationship']}" for r in checks["relationships"] if r["orphan_rows"]]
+    out += [f"rejected files in load {r['load_id']}" for r in report["loads"] if r["rejected_files"]]
+    return out + [f"missing month {m}" for m in report.get("missing_months", [])]
+
+
 def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: str,
                 holidays_csv: str | None = None, grain: str = "day", as_of=None,
-                key_buckets: int = 1) -> dict:
+                key_buckets: int = 1, months: list[tuple[int, int]] | None = None) -> dict:
+    """One run; ``months`` are those the raw table should hold by now."""
     wh = Warehouse(spark, warehouse, grain=grain, key_buckets=key_buckets)
     paths = raw_paths(wh.root)
     loads = ingest_landing(spark, landing, paths["raw"], paths["rejected"], paths["checkpoint"],
-                           grain=grain)
+                           grain=wh.grain)
     raw = read_raw(spark, paths["raw"])
+    report: dict = {"loads": loads}
+    if months is not None:
+        report["missing_months"] = [r.month for r in quality.missing_months(spark, raw, months).collect()]
     zones = seeds.read_zone_lookup_csv(spark, zones_csv)
     hol = seeds.read_holidays_csv(spark, holidays_csv) if holidays_csv else seeds.holidays(spark)
-    first = not wh.exists("stg_trips")
     rep = run_models(wh, raw, zones, hol)
-    checks = run_checks(wh, raw, as_of, periods=None if first else rep.periods,
-                        load_ids=None if first else [r["load_id"] for r in loads])
-    return {"loads": loads, "models": rep.__dict__, "checks": checks}
+    report |= {"models": rep.__dict__, "checks": run_checks(wh, raw, as_of)}
+    return report | {"failures": failures(report)}
 
 
-def main(argv=None) -> int:
+def target_months(dates: str | None, years: str | None, months: str) -> list[tuple[int, int]] | None:
+    """The months asked for: a list of dates, or a range; None if neither."""
+    if dates:
+        return quality.month_list(dates)
+    return quality.month_range(years, months) if years else None
+
+
+def main(argv=None, spark: SparkSession | None = None) -> int:
+    """Exit status 1 if the run's report lists failures."""
     from tripmart.session import build_session
 
     ap = argparse.ArgumentParser(description="Monthly trip ingest and model run.")
@@ -85,21 +103,21 @@ def main(argv=None) -> int:
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--zones", required=True, help="zone lookup CSV")
     ap.add_argument("--holidays", help="holiday CSV (default: built-in calendar)")
-    ap.add_argument("--grain", default="day", choices=["day", "month"])
+    ap.add_argument("--grain", default="day", choices=["day", "month"], help="fixed at the first run")
     ap.add_argument("--key-buckets", type=int, default=1,
                     help="trip-key buckets per period (fixed at the first run)")
-    ap.add_argument("--years", help="report missing months in this year range, e.g. 2025-2026")
-    ap.add_argument("--months", default="1-12")
+    ap.add_argument("--dates", help="months that must be present, e.g. 2025-01,2025-02 (bad ones are skipped)")
+    ap.add_argument("--years", help="years that must be present, e.g. 2025-2026")
+    ap.add_argument("--months", default="1-12", help="months of each of these years")
     args = ap.parse_args(argv)
-    spark = build_session()
-    report = run_monthly(spark, args.landing, args.warehouse, args.zones, args.holidays, args.grain,
-                         key_buckets=args.key_buckets)
-    if args.years:
-        months = quality.month_range(args.years, args.months)
-        raw = read_raw(spark, raw_paths(args.warehouse.rstrip("/"))["raw"])
-        report["missing_months"] = [r.month for r in quality.missing_months(spark, raw, months).collect()]
+    try:
+        months = target_months(args.dates, args.years, args.months)
+    except ValueError as e:
+        ap.error(str(e))
+    report = run_monthly(spark or build_session(), args.landing, args.warehouse, args.zones, args.holidays,
+                         args.grain, key_buckets=args.key_buckets, months=months)
     print(json.dumps(report, default=str, indent=2))
-    return 0
+    return 1 if report["failures"] else 0
 
 
 if __name__ == "__main__":
