@@ -77,3 +77,49 @@ def test_seed_csv_readers(spark, workdir):
         .coalesce(1).write.option("header", True).csv(f"{workdir}/zones")
     z = seeds.read_zone_lookup_csv(spark, f"{workdir}/zones").orderBy("location_id").collect()
     assert [(r.location_id, r.zone) for r in z] == [(1, "Newark Airport"), (264, "N/A")]
+
+
+def _inputs(spark, workdir):
+    raw = fixtures.raw_trips_load(spark, SF_SMALL, 1).limit(200)
+    zones = fixtures.zone_lookup(spark, SF_SMALL).toDF("LocationID", "Borough", "Zone", "service_zone")
+    zones.coalesce(1).write.option("header", True).csv(f"{workdir}/zones")
+    write_landing(raw, f"{workdir}/landing/load_1")
+    used = raw.groupBy("PULocationID").count().orderBy(F.desc("count")).first()[0]
+    zones.filter(F.col("LocationID") != used).coalesce(1).write.option("header", True).csv(f"{workdir}/fewer")
+
+
+def test_later_runs_check_whole_tables_and_set_the_exit_status(spark, workdir, capsys):
+    """A zone that went missing, and NULLs in an old load, are found by a run
+    without a new file; so is a month that should be there."""
+    from tripmart.plans.monthly import main, raw_paths
+
+    _inputs(spark, workdir)
+    args = ["--landing", f"{workdir}/landing", "--warehouse", f"{workdir}/wh", "--grain", "month", "--zones"]
+    import json
+    main([*args, f"{workdir}/zones"], spark)
+    first = json.loads(capsys.readouterr().out)
+    assert not [f for f in first["failures"] if "freshness" not in f]
+    assert main([*args, f"{workdir}/fewer", "--dates", "2001-02,no-month"], spark) == 1
+    report = json.loads(capsys.readouterr().out)
+    assert report["loads"] == [] and report["missing_months"] == ["2001-02"]
+    assert any("dim_location" in f for f in report["failures"]) and "missing month 2001-02" in report["failures"]
+    raw = spark.read.parquet(raw_paths(f"{workdir}/wh")["raw"])
+    raw.limit(1).withColumn("pickup_datetime", F.lit(None).cast("timestamp_ntz")).drop("load_id", "pickup_period").write.parquet(
+        f"{raw_paths(f'{workdir}/wh')['raw']}/load_id=old/pickup_period=__HIVE_DEFAULT_PARTITION__")
+    assert main([*args, f"{workdir}/zones"], spark) == 1
+    assert "not_null pickup_datetime" in json.loads(capsys.readouterr().out)["failures"]
+
+
+def test_month_arguments():
+    import pytest
+
+    from tripmart.plans.monthly import main, target_months
+
+    assert target_months("2025-01, 2025-13", None, "1-12") == [(2025, 1)]
+    assert target_months(None, "2025-2026", "12-12") == [(2025, 12), (2026, 12)]
+    assert target_months(None, None, "1-12") is None
+    for years, months in [("2025-2025", "0-13"), ("2026-2025", "1-12"), ("x", "1-12")]:
+        with pytest.raises(ValueError):
+            target_months(None, years, months)
+    with pytest.raises(SystemExit):
+        main(["--landing", "a", "--warehouse", "b", "--zones", "c", "--years", "2025-2025", "--months", "0-13"])

@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tripmart.operators import core, quality
 from tripmart.operators.staging import high_water_mark, stage_trips
@@ -142,6 +143,32 @@ for _table, _cte in [("stg_trips", "stg_2"), ("fact_trips", "fact_2"), ("dim_dat
     register(f"{_table}_two_loads", O.select_all(_cte, O.two_load_ctes))(_two_load(_table))
 
 
+@register("stg_trips_day_upsert", O.select_all("stg_2", O.two_load_ctes))
+def q_stg_trips_day_upsert(spark, sf_dir):
+    """Staging at day grain in four key buckets: load 1, then an upsert of
+    everything past its mark."""
+    wh = Warehouse(spark, scratch_dir(spark, "day-upsert"), grain="day", key_buckets=4)
+    wh.overwrite("stg_trips", stage_trips(fixtures.raw_trips_load(spark, sf_dir, 1)))
+    mark = high_water_mark(wh.read("stg_trips"))
+    wh.upsert("stg_trips", stage_trips(fixtures.raw_trips(spark, sf_dir), after=mark), "trip_id")
+    return wh.logical("stg_trips")
+
+
+@register("layer_views", O.with_ctes(O.two_load_ctes(), """
+SELECT m.year, m.mart_trips, s.staged_trips
+FROM (SELECT year(date_key) AS year, CAST(SUM(total_trips) AS BIGINT) AS mart_trips FROM daily_2 GROUP BY 1) m
+JOIN (SELECT year(pickup_datetime) AS year, COUNT(*) AS staged_trips FROM stg_2 GROUP BY 1) s ON m.year = s.year"""))
+def q_layer_views(spark, sf_dir):
+    """SQL over the views of two layers: trips a year in the mart and in staging."""
+    two_load_warehouse(spark, sf_dir).register_views()
+    return spark.sql("""
+        SELECT m.year, m.mart_trips, s.staged_trips
+        FROM (SELECT year(date_key) AS year, SUM(total_trips) AS mart_trips
+              FROM marts_bi_daily_metrics GROUP BY year(date_key)) m
+        JOIN (SELECT year(pickup_datetime) AS year, COUNT(*) AS staged_trips
+              FROM staging_stg_trips GROUP BY year(pickup_datetime)) s ON m.year = s.year""")
+
+
 @register("high_water_mark_filter", O.select_all("stg_increment", O.two_load_ctes))
 def q_high_water_mark(spark, sf_dir):
     """Rows a later run stages: the whole raw table past staging's mark after load 1."""
@@ -196,6 +223,20 @@ def q_file_rejection(spark, sf_dir):
     return ingest_two_loads(spark, sf_dir, BLANK_NULL_MONTHS).select(*RAW_LOADED)
 
 
+@register("load_stamps", O.with_ctes(O.base_ctes(), """
+SELECT row_number() OVER (ORDER BY ingestion_ts) AS load_number, COUNT(*) AS row_count, 1::BIGINT AS stamps,
+  TRUE AS stamped_now FROM raw_trips GROUP BY ingestion_ts"""))
+def q_load_stamps(spark, sf_dir):
+    """Rows and distinct load stamps of each load of the ingested raw table."""
+    began = dt.datetime.now(dt.timezone.utc)
+    loads = ingest_two_loads(spark, sf_dir).groupBy("load_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("ingestion_ts").alias("stamps"),
+        F.min("ingestion_ts").alias("first"))
+    # One row a load: the window is over two rows.
+    return loads.select(F.row_number().over(Window.orderBy("first")).cast("long").alias("load_number"), "row_count",
+                        "stamps", (F.col("first") >= F.lit(began)).alias("stamped_now"))
+
+
 # --- data-quality checks and month completeness ----------------------------
 
 FRESHNESS_AS_OF = dt.datetime(2027, 3, 15, tzinfo=dt.timezone.utc)
@@ -277,12 +318,12 @@ def q_month_selection(spark, sf_dir):
 # --- dashboard slices -----------------------------------------------------
 
 def _mt(col: str) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) AS {col}"
+    return f"CAST(SUM(CAST({col} AS DECIMAL(18,8))) AS DOUBLE) AS {col}"
 
 
 _MONTHLY_SQL = f"""SELECT CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,
   COUNT(*) AS days, CAST(SUM(total_trips) AS BIGINT) AS total_trips,
-  SUM(total_trip_miles) AS total_trip_miles,
+  {_mt('total_trip_miles')},
   SUM(round(total_trip_time_days * 86400)) / 86400 AS total_trip_time_days,
   {', '.join(_mt(m) for m in slices.DAILY_MONEY)},
   SUM(round(percent_shared_rides * total_trips / 100)) / SUM(total_trips) * 100 AS percent_shared_rides
@@ -296,7 +337,7 @@ def q_monthly_overview(spark, sf_dir):
 
 
 _PEAK_SQL = f"""SELECT dd.hour_24, dd.is_peak_hour, dd.is_night, dd.is_weekend, dd.is_holiday,
-  COUNT(*) AS trip_count, AVG(trip_miles) AS avg_trip_miles, AVG(trip_time) AS avg_trip_time,
+  COUNT(*) AS trip_count, {O.mavg('trip_miles')} AS avg_trip_miles, AVG(trip_time) AS avg_trip_time,
   {O.mavg('base_passenger_fare')} AS avg_passenger_fare
 FROM fact_trips ft JOIN dim_datetime dd ON date_trunc('hour', ft.pickup_datetime) = dd.full_timestamp
 GROUP BY 1, 2, 3, 4, 5"""
@@ -310,7 +351,7 @@ def q_peak_hour(spark, sf_dir):
 
 _ECON_SQL = f"""SELECT dd.year, dd.month, COUNT(*) AS trips,
   {O.mavg('driver_pay')} AS avg_driver_pay, {O.mavg('driver_pay + tips')} AS avg_driver_total,
-  {O.mavg('driver_pay')} / AVG(trip_miles) AS avg_pay_per_mile,
+  {O.mavg('driver_pay')} / {O.mavg('trip_miles')} AS avg_pay_per_mile,
   {O.mavg('driver_pay')} / (AVG(trip_time) / 3600.0) AS avg_pay_per_hour,
   COUNT(*) FILTER (WHERE pf.shared_match_flag) AS shared_rides,
   COUNT(*) FILTER (WHERE pf.shared_match_flag) / COUNT(*) * 100 AS percent_shared_rides

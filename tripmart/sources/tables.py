@@ -5,19 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A Parquet file is split by row group; a small table written as one row
-    group is read by one task, and every narrow operator fused into that
-    scan stage (hashing, casts, partial aggregation) then runs single
-    threaded. Large inputs have far more splits than cores and pass through
-    unchanged, so no shuffle is added where the scan is already parallel.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+#: Partitions a caller asks for when it knows that the trip table is stored
+#: in fewer splits than it has cores (as the benchmark's single-row-group
+#: files are). None, the default, leaves the scan as it is: a round-robin
+#: shuffle of a large table would cost more than it gains.
+SPREAD: int | None = None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
@@ -25,9 +17,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
     """Read ``{sf_dir}/{name}.parquet``, selecting only ``columns`` if given.
 
     Selecting up front keeps the scan's ReadSchema to what the job uses even
-    before Catalyst's own pruning runs. ``parallel`` applies :func:`spread`
-    (for the large trip source, not for small lookup tables).
+    before Catalyst's own pruning runs. ``parallel`` marks the large trip
+    source, which :data:`SPREAD` applies to.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    return spread(df) if parallel else df
+    return df.repartition(SPREAD) if parallel and SPREAD else df
