@@ -14,7 +14,7 @@ from tripmart.plans.pipeline import run_models
 from tripmart.plans.warehouse import Warehouse
 from tripmart.schemas import DIM_LOCATION, FLAGS, RAW
 from tripmart.sources import seeds
-from tripmart.sources.ingest import read_raw
+from tripmart.sources.ingest import after_mark, read_loads, read_raw
 from tripmart.streaming.file_stream import ingest_landing
 
 UTC = dt.timezone.utc
@@ -178,6 +178,13 @@ def test_file_ingest_rejects_whole_files_and_loads_once(spark, workdir):
     assert all(r.cbd_congestion_fee is None for r in raw)  # absent column reads as NULL
     assert all(r.shared_request_flag is False for r in raw)
     assert len({r.ingestion_ts for r in raw}) == 1         # one stamp per load
+    # The list of loads prunes the raw table to those after a mark.
+    loads = read_loads(spark, raw_path)
+    assert [r.ingestion_ts for r in loads.collect()] == [raw[0].ingestion_ts]
+    later = after_mark(read_raw(spark, raw_path), loads, 0)
+    assert later.count() == 2 and after_mark(read_raw(spark, raw_path), loads, 1 << 60).count() == 0
+    import re
+    assert re.search(r"PartitionFilters: \[[^\n]*load_id", later._jdf.queryExecution().executedPlan().toString())
     # Re-scanning the folder loads nothing twice.
     rep2 = ingest_landing(spark, land, raw_path, rej, ck)
     assert rep2 == [] and read_raw(spark, raw_path).count() == 2

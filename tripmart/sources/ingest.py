@@ -115,9 +115,27 @@ def load_batch(spark: SparkSession, paths: list[str], raw_path: str, rejected_pa
     (out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pickup_period")
         .parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
+    # Written last: a load listed here is complete (a replay lists it again).
+    (spark.range(1).select(when).coalesce(1).write.mode("overwrite").parquet(f"{loads_path(raw_path)}/{LOAD_ID}={load_id}"))
     return {"load_id": load_id, "rejected_files": n_bad}
 
 
+def loads_path(raw_path: str) -> str:
+    return f"{raw_path}_loads"
+
+
+def read_loads(spark: SparkSession, raw_path: str) -> DataFrame:
+    """(ingestion_ts, load_id) of every load, one small row each."""
+    return spark.read.schema(f"ingestion_ts timestamp, {LOAD_ID} string").parquet(loads_path(raw_path))
+
+
+def after_mark(raw: DataFrame, loads: DataFrame, mark: int) -> DataFrame:
+    """The raw rows of loads stamped after ``mark`` (epoch micros): prunes
+    the partitions of all earlier loads. Loads after a mark are few."""
+    ids = [r[0] for r in loads.filter(F.unix_micros("ingestion_ts") > mark).select(LOAD_ID).collect()]
+    return raw.filter(F.col(LOAD_ID).isin(ids))
+
+
 def read_raw(spark, raw_path: str) -> DataFrame:
     """The raw table (all loads) with its declared schema."""
     schema = with_field(with_field(RAW, LOAD_ID, T.StringType()), "pickup_period", T.DateType())
