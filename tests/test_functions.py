@@ -113,3 +113,30 @@ def test_layer_names_and_paths(spark):
     wh = Warehouse(spark, "/shared/trips/")
     assert wh.path("stg_trips") == "/shared/trips/STAGING/stg_trips"
     assert wh.path("bi_daily_metrics") == "/shared/trips/MARTS/bi_daily_metrics"
+
+
+def test_fixed_values_stated_on_their_own():
+    """The SQL oracle shares these with the code, so they are pinned here."""
+    import calendar
+    import datetime as dt
+
+    from tripmart.functions import KEY_NULL
+    from tripmart.schemas import FLAGS
+    from tripmart.sources.seeds import US_HOLIDAYS
+
+    assert KEY_NULL == "_null_"
+    assert FLAGS == ["shared_request_flag", "shared_match_flag", "access_a_ride_flag", "wav_request_flag",
+                     "wav_match_flag"]
+
+    def nth(year, month, weekday, n):
+        days = [d for d in calendar.Calendar().itermonthdates(year, month) if d.month == month and d.weekday() == weekday]
+        return days[n]
+
+    want = []
+    for y in (2024, 2025, 2026):
+        want += [(dt.date(y, 1, 1), "New Year"), (nth(y, 1, 0, 2), "Martin Luther King"), (nth(y, 2, 0, 2), "Washington"),
+                 (nth(y, 5, 0, -1), "Memorial"), (dt.date(y, 6, 19), "Juneteenth"), (dt.date(y, 7, 4), "Independence"),
+                 (nth(y, 9, 0, 0), "Labor"), (nth(y, 10, 0, 1), "Columbus"), (dt.date(y, 11, 11), "Veterans"),
+                 (nth(y, 11, 3, 3), "Thanksgiving"), (dt.date(y, 12, 25), "Christmas")]
+    assert [d for d, _ in US_HOLIDAYS] == [str(d) for d, _ in want]
+    assert all(name.startswith(start) for (_, name), (_, start) in zip(US_HOLIDAYS, want, strict=True))
