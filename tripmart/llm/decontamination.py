@@ -79,13 +79,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     in text are each reported. An empty side gives an empty result.
     """
     # Words are a column of their own: a lambda must not compute them again.
-    items = stored(benchmark.select("item_id", words(F.col("text")).alias("words")).where("size(words) > 0")
+    worded = benchmark.select("item_id", words(F.col("text")).alias("words"))
+    short = stored(worded.where(F.size("words").between(1, SHINGLE - 1)).distinct(), "short-items")
+    items = stored(worded.where(F.size("words") >= SHINGLE)
                    .select("item_id", shingles(F.col("words")).alias("hashes")).distinct(), "items")
     items = items.withColumn("m", F.size("hashes"))
     # One row for each shingle and item size, not each item.
     wanted = items.select(F.explode("hashes").alias("h"), "m").distinct()
-    hashed = docs.select("doc_id", row_key().alias("key"), words(F.col("text")).alias("words")).select(
-        "doc_id", "key", shingles(F.col("words")).alias("hashes"))
+    keyed = docs.select("doc_id", row_key().alias("key"), words(F.col("text")).alias("words"))
+    hashed = keyed.select("doc_id", "key", shingles(F.col("words")).alias("hashes"))
 
     # The outer form: a filter on the array's size would be moved below it
     # and compute the array again.
@@ -128,10 +130,31 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     common = (counts.join(item_counts, ["item_id", "h"]).groupBy("doc_id", "key", "m", "s", "item_id", "w")
               .agg(F.sum(F.least("c", "ic")).alias("both")))
     similarity = F.col("both") / (F.col("w") + F.col("m") - F.col("both"))
-    return (common.withColumn("similarity", similarity).where(F.col("similarity") >= SIMILARITY)
+    close = common.withColumn("similarity", similarity).where(F.col("similarity") >= SIMILARITY)
+    return (close.select("doc_id", "key", "item_id", "similarity").unionByName(_whole(keyed, short))
             .groupBy("doc_id", "key", "item_id").agg(F.max("similarity").alias("similarity")))
 
 
+def _whole(keyed: DataFrame, short: DataFrame) -> DataFrame:
+    """Matches of items with fewer words than a shingle: one shingle of all,
+    so a window is equal or not at all similar."""
+    sizes = [r[0] for r in short.select(F.size("words")).distinct().collect()]  # at most SHINGLE - 1 numbers
+    found = keyed.select("doc_id", "key", F.lit(None).cast("long").alias("item_id"),
+                         F.lit(1.0).alias("similarity")).limit(0)
+    for n in sizes:
+        hit = keyed.select("doc_id", "key", F.explode_outer(_runs(n)).alias("run")).join(
+            bounded_broadcast(short.select("item_id", F.array_join("words", " ").alias("run"))), "run")
+        found = found.unionByName(hit.select("doc_id", "key", "item_id", F.lit(1.0).alias("similarity")))
+    return found
+
+
+def _runs(n: int) -> Column:
+    """The different runs of ``n`` words of a text, joined by blanks."""
+    some = F.transform(F.sequence(F.lit(1), F.size("words") - n + 1),
+                       lambda i: F.array_join(F.slice("words", i, n), " "))
+    return F.when(F.size("words") >= n, F.array_distinct(some))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id and the best similarity (see ``matches``)."""
     return matches(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
