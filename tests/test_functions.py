@@ -140,3 +140,16 @@ def test_fixed_values_stated_on_their_own():
                  (nth(y, 11, 3, 3), "Thanksgiving"), (dt.date(y, 12, 25), "Christmas")]
     assert [d for d, _ in US_HOLIDAYS] == [str(d) for d, _ in want]
     assert all(name.startswith(start) for (_, name), (_, start) in zip(US_HOLIDAYS, want, strict=True))
+
+
+def test_monthly_totals_pass_the_bound_of_single_amounts(spark):
+    from tripmart.plans.slices import DAILY_MONEY, monthly_overview
+
+    totals = ", ".join(f"{m} double" for m in ["total_trip_miles", *DAILY_MONEY])
+    days = [(dt.date(2024, 1, d), 10, 1.0, 50.0, *[x] * (1 + len(DAILY_MONEY)))
+            for d, x in ((1, 2.5e10), (2, 0.25), (3, 3e15), (4, None))]
+    daily = spark.createDataFrame(days, f"date_key date, total_trips long, total_trip_time_days double, "
+                                        f"percent_shared_rides double, {totals}")
+    row = monthly_overview(daily).first()
+    assert row["days"] == 4
+    assert {row[m] for m in ["total_trip_miles", *DAILY_MONEY]} == {3e15 + 2.5e10 + 0.25}

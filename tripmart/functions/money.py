@@ -23,5 +23,10 @@ def money_sum(c: Column) -> Column:
     return F.sum(exact(c)).cast("double")
 
 
+def total_sum(c: Column) -> Column:
+    """Sum of totals such as a mart's: they pass the bound of single amounts."""
+    return F.sum(c.try_cast("decimal(38,8)")).cast("double")
+
+
 def money_avg(c: Column) -> Column:
     return F.try_divide(money_sum(c), F.count(exact(c)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.money import money_avg, money_sum
+from tripmart.functions.money import money_avg, total_sum
 from tripmart.operators.joins import bounded_broadcast
 from tripmart.operators.marts import _by_hour, _positive
 
@@ -30,9 +30,9 @@ def monthly_overview(daily: DataFrame) -> DataFrame:
     out = daily.groupBy(F.year("date_key").alias("year"), F.month("date_key").alias("month")).agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("total_trips").alias("total_trips"),
-        money_sum(c("total_trip_miles")).alias("total_trip_miles"),
+        total_sum(c("total_trip_miles")).alias("total_trip_miles"),
         (F.sum(seconds) / F.lit(86400.0)).alias("total_trip_time_days"),
-        *[money_sum(c(m)).alias(m) for m in DAILY_MONEY],
+        *[total_sum(c(m)).alias(m) for m in DAILY_MONEY],
         (F.sum(shared) / F.sum("total_trips") * 100).alias("percent_shared_rides"),
     )
     return out
