@@ -151,3 +151,17 @@ def test_sql_matches(spark):
         got = sorted(map(str, (tuple(r[c] for c in columns) for r in frame.collect())))
         want = con.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
         assert got == sorted(map(str, want)), name
+
+
+def nearest_rows(spark, vectors):
+    vectors = [(i, np.asarray(v).astype(np.float32).tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    return nn_descent.nearest(frame, F.col("vec_id") % 20 == 0).collect(), vectors
+
+
+def test_nearest_recall_with_long_vectors(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 24))
+    x *= (rng.pareto(1.0, 1500) + 1)[:, None] / np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= 1e5 / np.linalg.norm(x[7])
+    check_nearest(*nearest_rows(spark, x), lambda i: i % 20 == 0, 20, 0.95)

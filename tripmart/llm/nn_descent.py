@@ -1,17 +1,19 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy search.
 
-The neighbour graph starts from random-hyperplane trees and is refined by
-rounds of Spark joins: every node's neighbours, out and in, meet at that
-node and are compared with each other (neighbours of neighbours); each keeps
-its best. A query walks the graph: in every hop its best nodes that are not
-expanded yet are joined with their adjacency rows, and the best
-``pool`` nodes are kept, until all of them are expanded.
-
-Inner products become cosines by one more component that gives all vectors
-the largest norm (zero in queries). Graph and walk use vectors rounded to
-eight bits; results are ranked by the exact inner product in double
-precision. Equal vectors are one node. A node keeps the ``k`` + 1 smallest of
-its ids, which is all that ties to smaller ids can ever return.
+The neighbour graph starts from random-hyperplane trees and is refined by rounds of Spark joins: every node's neighbours, out
+and in, meet at that node and are compared with each other (neighbours of
+neighbours); each keeps its best. A query walks the graph: in every hop its
+best nodes that are not expanded yet are joined with their adjacency rows,
+and the best ``pool`` nodes are kept, until all of them are expanded.
+
+Largest inner products become least distances by one more component that
+gives all vectors the largest norm (zero in queries). It is kept as what it
+lacks of that norm, which neither distances nor the order of inner products
+depend on, and so are vectors centred on the mean of the shorter half. Graph
+and walk use vectors rounded to sixteen bits, each in a scale of its own;
+results are ranked by the exact inner product in double precision. Equal
+vectors are one node. A node keeps the ``k`` + 1 smallest of its ids, which
+is all that ties to smaller ids can ever return.
 """
 
 from __future__ import annotations
@@ -59,8 +61,21 @@ def grouped(df: DataFrame, keys: list[str], order: list, fn: Callable, schema: s
     return map_batches(dealt, lambda it: by_group(it, keys, fn), schema)
 
 
+def _packed(x: np.ndarray) -> list[bytes]:
+    """Each row's scale (float32) and its components in sixteen bits."""
+    scale = (np.abs(x).max(axis=1) / 32767).astype(np.float32)
+    part = np.rint(x / np.where(scale > 0, scale, 1)[:, None].astype(np.float64)).clip(-32767, 32767).astype("<i2")
+    return [a.tobytes() + b.tobytes() for a, b in zip(scale.astype("<f4"), part, strict=True)]
+
+
+def _unpacked(data: bytes, rows: int) -> np.ndarray:
+    size = (len(data) // max(1, rows) - 4) // 2
+    given = np.frombuffer(data, [("scale", "<f4"), ("part", "<i2", (size,))])
+    return given["part"] * given["scale"][:, None]
+
+
 def _codes(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1).astype(np.float32)
+    return _unpacked(b"".join(column), len(column))
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -76,16 +91,28 @@ def _matrix(first: np.ndarray, width: int) -> np.ndarray:
     return np.where(np.arange(width) < size[:, None], at, -1)
 
 
-def _encode(batches: Iterator[pd.DataFrame], norm: float, scale: float) -> Iterator[pd.DataFrame]:
-    """Eight-bit codes of nodes (extended to the norm) and of queries."""
+def _extended(batch: pd.DataFrame, norm: float) -> np.ndarray:
+    """Vectors in units of the norm, and what their last component lacks."""
+    x = np.stack(batch["vec"]).astype(np.float64) / norm
+    square = np.minimum((x * x).sum(axis=1), 1)
+    return np.c_[x, square / (1 + np.sqrt(1 - square))]
+
+
+def _sums(batches: Iterator[pd.DataFrame], norm: float) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        if len(batch):
+            yield pd.DataFrame({"n": [len(batch)], "total": [_extended(batch, norm).sum(axis=0).tolist()]})
+
+
+def _encode(batches: Iterator[pd.DataFrame], norm: float, centre: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Codes of nodes (extended and centred) and of queries."""
     for batch in batches:
         if not len(batch):
             continue
         x = np.stack(batch["vec"]).astype(np.float64)
-        more = np.sqrt(np.maximum(norm * norm - (x * x).sum(axis=1), 0))
-        node = np.rint(np.c_[x, more] * scale).astype(np.int8)
-        asked = np.rint(np.c_[x, np.zeros(len(x))] * scale).astype(np.int8)
-        yield batch.assign(code=[r.tobytes() for r in node], asks=[r.tobytes() for r in asked])
+        asked = x / np.abs(x).max(axis=1)[:, None]
+        asked /= np.sqrt((asked * asked).sum(axis=1))[:, None]
+        yield batch.assign(code=_packed(_extended(batch, norm) - centre), asks=_packed(np.c_[asked, np.zeros(len(x))]))
 
 
 def _leaves(batches: Iterator[pd.DataFrame], depth: int, trees: int) -> Iterator[pd.DataFrame]:
@@ -95,19 +122,20 @@ def _leaves(batches: Iterator[pd.DataFrame], depth: int, trees: int) -> Iterator
         x = _codes(batch["code"])
         for tree in range(trees):
             plane = np.random.default_rng(tree).normal(size=(x.shape[1], depth))
-            leaf = ((x - 0) @ plane > 0) @ (1 << np.arange(depth, dtype=np.int64))
+            leaf = (x @ plane > 0) @ (1 << np.arange(depth, dtype=np.int64))
             yield batch.assign(tree=np.int32(tree), leaf=leaf.astype(np.int64))
 
 
 def _offers(rows: pd.DataFrame, first: np.ndarray, width: int, offers: int, ids: np.ndarray,
             least: np.ndarray | None) -> pd.DataFrame:
-    """The best ``offers`` others of each member of each group of rows."""
+    """The nearest ``offers`` others of each member of each group of rows."""
     found, code = [], _codes(rows["code"])
     step = max(1, (1 << 22) // (width * max(width, code.shape[1])))
     for a in range(0, len(first) - 1, step):
         at = _matrix(first[a:a + step + 1], width)
         x = code[np.maximum(at, 0)]
-        sim = x @ x.transpose(0, 2, 1)
+        square = (x * x).sum(axis=2)
+        sim = 2 * (x @ x.transpose(0, 2, 1)) - square[:, :, None] - square[:, None, :]
         sim[np.broadcast_to((at < 0)[:, None, :], sim.shape)] = -np.inf
         sim[:, np.arange(width), np.arange(width)] = -np.inf
         best = min(offers, width - 1)
@@ -206,7 +234,7 @@ def _look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             size = rows["nodes"].str.len().to_numpy() // 8
             node = np.frombuffer(b"".join(rows["nodes"]), np.int64)
             row = np.repeat(np.arange(len(rows)), size)
-            code = np.frombuffer(b"".join(rows["codes"]), np.int8).reshape(len(node), -1).astype(np.float32)
+            code = _unpacked(b"".join(rows["codes"]), len(node))
             sim = np.einsum("ij,ij->i", code, _codes(rows["asks"])[row])
             ok = sim > rows["least"].to_numpy()[row]
             yield pd.DataFrame({"query": rows["query"].to_numpy()[row[ok]], "node": node[ok], "sim": sim[ok],
@@ -255,6 +283,11 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, pool: int = P
     return table.select("query", "node", "sim")
 
 
+def _norm(a: Column) -> Column:
+    most = F.array_max(F.transform(a, lambda x: F.abs(x.cast("double"))))
+    return most * F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + (x / most) * (x / most)))
+
+
 def _product(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
                        lambda s, x: s + x)
@@ -277,9 +310,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     finite = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite
                       & F.exists("vec", lambda x: x != 0))
-    rows = stored(rows.groupBy("vec_id").agg(F.min("vec").alias("vec"), F.max("asks_it").alias("asks_it")), "vectors")
+    rows = stored(rows.groupBy("vec_id").agg(F.min("vec").alias("vec"), F.max("asks_it").alias("asks_it")).withColumn(
+        "norm", _norm(F.col("vec"))), "vectors")
     shape = rows.groupBy(F.size("vec").alias("n")).agg(
-        F.count("*").alias("c"), F.max(F.sqrt(_product(F.col("vec"), F.col("vec")))).alias("norm")).orderBy(
+        F.count("*").alias("c"), F.max("norm").alias("norm"), F.percentile_approx("norm", 0.5).alias("half")).orderBy(
         F.desc("c"), "n").first()
     result = "query_id long, rank int, vec_id long, score double"
     if shape is None:
@@ -287,18 +321,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     rows = rows.where(F.size("vec") == shape["n"])
     nth = Window.partitionBy("vec").orderBy("vec_id")
     ids = rows.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= k + 1)
-    nodes = ids.groupBy("vec").agg(F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    nodes = ids.groupBy("vec").agg(F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("ids"),
+                                   F.min("norm").alias("norm"))
     norm = float(shape["norm"])
-    scale = 127 / norm
     vec_type = rows.schema["vec"].dataType.simpleString()
-    nodes = stored(map_batches(nodes, lambda it: _encode(it, norm, scale),
-                               f"vec {vec_type}, node long, ids array<long>, code binary, asks binary"), "nodes")
+    sums = map_batches(rows.where(F.col("norm") <= shape["half"]).select("vec"), lambda it: _sums(it, norm),
+                       "n long, total array<double>")
+    sums = sums.select("n", F.posexplode("total").alias("at", "x")).groupBy("at").agg(
+        (F.sum("x") / F.sum("n")).alias("mean")).orderBy("at").collect()
+    centre = np.array([r["mean"] for r in sums])
+    nodes = stored(map_batches(nodes, lambda it: _encode(it, norm, centre), f"vec {vec_type}, node long, "
+                               "ids array<long>, norm double, code binary, asks binary"), "nodes")
     asking = rows.where("asks_it").select("vec_id", "vec").join(nodes.select("vec", "node"), "vec").select(
         F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
     asking = stored(asking, "asking")
     queries = stored(asking.select("query").distinct().join(
         nodes.select(F.col("node").alias("query"), "asks", F.col("vec").alias("query_vec")), "query"), "queries")
-    edges = build_graph(nodes, nodes.count())
+    count = nodes.count()
+    edges = build_graph(nodes, count)
     found = search(queries.select("query", "asks"), nodes, edges)
     found = found.unionByName(queries.select("query", F.col("query").alias("node"), F.lit(0.0).cast("float").alias("sim")))
     # Candidates by rounded vectors, then the exact product of the originals.
