@@ -165,3 +165,11 @@ def test_nearest_recall_with_long_vectors(spark):
     x *= (rng.pareto(1.0, 1500) + 1)[:, None] / np.linalg.norm(x, axis=1)[:, None]
     x[7] *= 1e5 / np.linalg.norm(x[7])
     check_nearest(*nearest_rows(spark, x), lambda i: i % 20 == 0, 20, 0.95)
+
+
+def test_nearest_finds_and_answers_the_odd_one_out(spark):
+    rng = np.random.default_rng(6)
+    x = np.r_[[[-1.0] + [0.0] * 15], np.c_[np.ones(1500), rng.normal(size=(1500, 15)) * 0.02]]
+    rows, vectors = nearest_rows(spark, x)
+    check_nearest(rows, vectors, lambda i: i % 20 == 0, 20, 0.95)
+    assert sum(r["query_id"] == 0 for r in rows) == 20

@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy search.
 
-The neighbour graph starts from random-hyperplane trees and is refined by rounds of Spark joins: every node's neighbours, out
+The neighbour graph starts from random-hyperplane trees and groups dealt at
+random, and is refined by rounds of Spark joins: every node's neighbours, out
 and in, meet at that node and are compared with each other (neighbours of
 neighbours); each keeps its best. A query walks the graph: in every hop its
 best nodes that are not expanded yet are joined with their adjacency rows,
-and the best ``pool`` nodes are kept, until all of them are expanded.
+and the best ``pool`` nodes are kept, until all of them are expanded. A walk
+also starts at nodes shared by all queries, and links dealt at random join
+parts of the graph that no neighbour joins.
 
 Largest inner products become least distances by one more component that
 gives all vectors the largest norm (zero in queries). It is kept as what it
@@ -33,6 +36,9 @@ from tripmart.llm.common import map_batches, shuffle_width, stored
 DEGREE, TREES, LEAF, ROUNDS, OFFERS = 32, 6, 64, 4, 8
 #: Nodes a query keeps and expands in a hop, and those ranked exactly.
 POOL, EXPAND, EXACT = 300, 60, 64
+#: Trees whose leaves are dealt at random; nodes, of the longest and of any,
+#: where every walk starts; rounds and group size of the random links.
+RANDOM, ENTRIES, LINKS, LINKED = 1, 32, 2, 6
 #: Rows handled at once.
 BLOCK = 1 << 16
 EDGE = "src long, dst long, sim float"
@@ -210,9 +216,13 @@ def build_graph(nodes: DataFrame, count: int) -> DataFrame:
     depth = max(0, int(np.ceil(np.log2(max(1, count) / LEAF))))
     leaves = map_batches(nodes.select("node", "code"), lambda it: _leaves(it, depth, TREES),
                          "node long, code binary, tree int, leaf long")
+    for tree in range(TREES, TREES + RANDOM):
+        leaves = leaves.unionByName(nodes.select("node", "code", F.lit(tree).alias("tree"), F.pmod(
+            F.xxhash64("node", F.lit(tree)), F.lit(count // LEAF + 1)).alias("leaf")))
     sizes = leaves.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / 4096).cast("int").alias("salts"))
-    leaves = leaves.join(sizes, ["tree", "leaf"]).withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")))
-    first = grouped(leaves.drop("salts"), ["tree", "leaf", "salt"], [], _first_edges, EDGE)
+    leaves = leaves.join(sizes, ["tree", "leaf"]).withColumn("deal", F.xxhash64("tree", "node"))
+    leaves = leaves.withColumn("salt", F.pmod(F.shiftrightunsigned("deal", 32), F.col("salts")))
+    first = grouped(leaves.drop("salts"), ["tree", "leaf", "salt"], ["deal"], _first_edges, EDGE)
     edges = stored(grouped(first, ["src"], [], _keep, EDGE), "graph")
     for _ in range(ROUNDS):
         least = edges.groupBy(F.col("src").alias("node")).agg(
@@ -259,18 +269,45 @@ def _pool(rows: pd.DataFrame, pool: int, expand: int) -> pd.DataFrame:
     return rows.assign(done=rows["done"].to_numpy() | now, now=now, least=np.repeat(least, size))
 
 
-def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, pool: int = POOL,
+def _enter(batches: Iterator[pd.DataFrame], node: np.ndarray, code: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Similarity of the shared first nodes to the queries."""
+    for batch in batches:
+        for a in range(0, len(batch), 2048):
+            rows = batch.iloc[a:a + 2048]
+            sim = _codes(rows["asks"]) @ code.T
+            yield pd.DataFrame({"query": np.repeat(rows["query"].to_numpy(), len(node)), "node": np.tile(node, len(rows)),
+                                "sim": sim.ravel(), "done": np.zeros(sim.size, bool)})
+
+
+def _links(nodes: DataFrame, count: int) -> DataFrame:
+    """center, node: both ways between members of small random groups."""
+    some = nodes.select("node", F.explode(F.array(*[F.lit(-1 - i) for i in range(LINKS)])).alias("deal"))
+    some = some.withColumn("at", F.pmod(F.xxhash64("node", "deal"), F.lit(count // LINKED + 1)))
+    return some.withColumnRenamed("node", "center").join(some, ["deal", "at"]).where("center != node").select(
+        "center", "node")
+
+
+def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, count: int, k: int, pool: int = POOL,
            expand: int = EXPAND) -> DataFrame:
-    """query, node, sim: the pool of each query (query: a node; asks: its code)."""
+    """query, node, sim: the pool of each query (query: a node; asks: its code).
+
+    The shared first nodes are more than ``k``, or all there are, so that no
+    pool is too small.
+    """
     state = "query long, node long, sim float, done boolean, now boolean, least float"
-    spark, width = nodes.sparkSession, shuffle_width(nodes.sparkSession)
-    around = grouped(_neighbours(edges).join(nodes.select("node", "code"), "node"), ["center"], [], _adjacent,
-                     "center long, nodes binary, codes binary")
+    spark, width, pool = nodes.sparkSession, shuffle_width(nodes.sparkSession), max(pool, k + 1)
+    around = grouped(_neighbours(edges).unionByName(_links(nodes, count)).join(nodes.select("node", "code"), "node"),
+                     ["center"], [], _adjacent, "center long, nodes binary, codes binary")
     # Dealt by node once and kept; every hop joins it where it is.
     around = stored(around, "adjacency").repartition(width, "center").persist()
-    table = stored(queries.select("query", F.col("query").alias("node"), F.lit(float("inf")).cast("float").alias("sim"),
-                                  F.lit(True).alias("done"), F.lit(True).alias("now"),
-                                  F.lit(float("-inf")).cast("float").alias("least")), "pool")
+    first = {r["node"]: bytes(r["code"]) for order, n in ((F.desc("norm"), ENTRIES), (F.xxhash64("node"), max(ENTRIES, k + 1)))
+             for r in nodes.orderBy(order, "node").select("node", "code").limit(n).collect()}
+    node, code = np.array(list(first), np.int64), _unpacked(b"".join(first.values()), len(first))
+    entered = map_batches(queries.select("query", "asks"), lambda it: _enter(it, node, code),
+                          "query long, node long, sim float, done boolean")
+    own = queries.select("query", F.col("query").alias("node"), F.lit(float("inf")).cast("float").alias("sim"),
+                         F.lit(False).alias("done"))
+    table = stored(grouped(own.unionByName(entered), ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool")
     while table.where("now").limit(1).count():
         ahead = table.where("now").join(queries, "query").select("query", "node", "least", "asks")
         opened = around.join(ahead.hint("shuffle_hash"), F.col("center") == F.col("node")).select(
@@ -339,12 +376,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         nodes.select(F.col("node").alias("query"), "asks", F.col("vec").alias("query_vec")), "query"), "queries")
     count = nodes.count()
     edges = build_graph(nodes, count)
-    found = search(queries.select("query", "asks"), nodes, edges)
+    found = search(queries.select("query", "asks"), nodes, edges, count, k)
     found = found.unionByName(queries.select("query", F.col("query").alias("node"), F.lit(0.0).cast("float").alias("sim")))
     # Candidates by rounded vectors, then the exact product of the originals.
     best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
     found = found.groupBy("query", "node").agg(F.max("sim").alias("sim")).withColumn(
-        "nth", F.row_number().over(best)).where((F.col("nth") <= EXACT + 1) | (F.col("query") == F.col("node")))
+        "nth", F.row_number().over(best)).where((F.col("nth") <= max(EXACT, k) + 1) | (F.col("query") == F.col("node")))
     scored = (found.select("query", "node").join(nodes.select("node", "vec", "ids"), "node")
               .join(queries.select("query", "query_vec"), "query")
               .select("query", _product(F.col("query_vec"), F.col("vec")).alias("score"),
