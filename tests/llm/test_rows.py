@@ -236,3 +236,22 @@ def test_page_text(spark):
     rows = {r["page_id"]: r for r in html_text.extract(pages).collect()}
     assert rows[99]["text"] is None and rows[99]["n_chars"] is None and rows[9]["text"] == ""
     assert rows[1]["n_chars"] == len(PAGES[1][1])
+
+
+SHOWN = [
+    ("<html><head><title>T</title>\n Text <b>bold</b> on", "Text bold on"),
+    ("<head><title>T</title><font><p>shown</p></font>more", "shown\n\nmore"),
+    ("<head><meta charset=x><style>p{}</style><link href=y></head>a", "a"),
+    ("<head><script>x</script></p>a", "a"),
+    ("<p title=John's>Hello <b>big</b> world, it's late</p>", "Hello big world, it's late"),
+    ("<a href=x=\"y>z</a> <a title = 'a>b' alt=\"c>d\" b>e</a><i \"x\">f</i>", "z ef"),
+    ("<p style=display:none;x='1'>no</p><p style='display: none'>no</p>yes", "yes"),
+    ("<svg width=1><title>t</title><desc/><desc>d</desc><path d='M0'/><g><text>one</text><text>two</text></g></svg> three",
+     "one two three"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>TeX</annotation></math> b", "a x=1 b"),
+]
+
+
+@pytest.mark.parametrize("page, text", SHOWN)
+def test_page_text_shows_all_that_is_visible(page, text):
+    assert html_text.page_text(page) == text

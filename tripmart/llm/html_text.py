@@ -20,9 +20,15 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import map_batches
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
+# An attribute: a quote opens a quoted value straight after the = only.
+_NAME = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"\s*+=\s*+(?:\"{0}\"|'{1}'|{2})?+"
+_ANY = _VALUE.format(r"[^\"]*+", r"[^']*+", r"[^\s>\"'][^\s>]*+")
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:{_ANY})?+)*+)>"
                    r"|[^<]++|<", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+ATTRIBUTE = re.compile(rf"({_NAME})(?:" + _VALUE.format(r"([^\"]*+)", r"([^']*+)", r"([^\s>\"'][^\s>]*+)") + ")?+")
+#: Tags that end themselves; the slash is no part of an unquoted value.
+SELF_ENDED = re.compile(r"(?:^|[\s\"']|[\s/][^\s=\"'/]++)/$")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 #: Elements below this depth join their ancestor's children there.
@@ -31,8 +37,12 @@ DEPTH = 200
 # Element classes of the HTML standard.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = set("head script style template title noscript iframe noembed noframes xmp object audio video canvas svg math "
+UNSEEN = set("head script style template title noscript iframe noembed noframes xmp object audio video canvas "
              "datalist".split())
+#: Elements a head holds; anything else, and any text, ends it.
+IN_HEAD = set("base basefont bgsound link meta title noscript noframes style script template head html".split())
+#: Drawings and formulas, where tags can end themselves, and what they do not show.
+FOREIGN = {"svg": set("desc metadata defs symbol".split()), "math": set("annotation annotation-xml mphantom".split())}
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 BLOCK = SPACED | set("html body address article aside center details dialog dd div dt figcaption footer form header "
                      "hgroup legend li main menu nav option optgroup search section summary tr caption".split())
@@ -79,8 +89,13 @@ def parse(page: str) -> Node:
         end, tag, attrs = m[1], (m[2] or "").lower(), m[3]
         if not tag:
             if not m[0].startswith(("<!", "<?")):
-                stack[-1].children.append(html.unescape(m[0]))
+                text = html.unescape(m[0])
+                if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+                    stack.pop()
+                stack[-1].children.append(text)
         elif end:
+            if stack[-1].tag == "head" and tag in ("p", "br"):
+                stack.pop()
             if tag == "p" and not any(n.tag == "p" for n in stack):
                 stack[-1].children.append(Node("p", {}))
             elif tag == "br":
@@ -93,12 +108,19 @@ def parse(page: str) -> Node:
                 _close(stack, {"p"}, CLOSES_P_UP_TO)
             if tag in IMPLIED:
                 _close(stack, *IMPLIED[tag])
-            if stack[-1].tag == "head" and tag in BLOCK:
+            if stack[-1].tag == "head" and tag not in IN_HEAD:
                 stack.pop()
             if tag == "html":
                 continue
+            foreign = next((n.tag for n in reversed(stack) if n.tag in FOREIGN), None)
+            if foreign and tag in FOREIGN[foreign]:
+                given["hidden"] = ""
+            if foreign == "svg" and tag == "text":
+                stack[-1].children.append(" ")  # texts of a drawing stand apart
             node = Node(tag, given)
             stack[-1].children.append(node)
+            if (foreign or tag in FOREIGN) and SELF_ENDED.search(attrs):
+                continue
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 node.children.append(html.unescape(page[at:stop.start() if stop else len(page)]))
