@@ -255,3 +255,20 @@ SHOWN = [
 @pytest.mark.parametrize("page, text", SHOWN)
 def test_page_text_shows_all_that_is_visible(page, text):
     assert html_text.page_text(page) == text
+
+
+def test_license_further_texts(spark):
+    from tripmart.llm import license_texts
+
+    bsd = dict(license_texts.further([]))
+    rights = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n"
+    isc = dict(license_scan.KNOWN[:2])["ISC"]
+    texts = [rights + dict(license_texts._BSD)["BSD-2-Clause"], "BSD 3-Clause License\n\n" + rights + dict(
+        license_texts._BSD)["BSD-3-Clause"], "ISC License\n\nCopyright 2020 Some One\n\n" + isc, rights + license_scan.KNOWN[0][1],
+        license_texts._UNLICENSE.format("https://unlicense.org/"), "mine"]
+    own = [("LicenseRef-mine", hashlib.sha256(b"mine").hexdigest())]
+    known = license_scan.known_licenses(spark, digests=[*license_texts.DIGESTS, *own])
+    rows = license_scan.scan(frame(spark, texts), known).where("unit = 0").orderBy("doc_id").collect()
+    assert [r["license_id"] for r in rows] == ["BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Unlicense", "LicenseRef-mine"]
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Unlicense"} == set(bsd)
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {i for i, _ in license_texts.DIGESTS}

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import documents
+from tripmart.llm.license_texts import DIGESTS, further
 from tripmart.operators.joins import bounded_broadcast
 
 # Words that licence-matching guidelines treat as equal (the
@@ -104,11 +105,18 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
-def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """license_id and digest of each known text; the first id of a digest."""
-    given = spark.createDataFrame(texts, "license_id string, text string")
-    return given.groupBy(F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256")).agg(
-        F.min("license_id").alias("license_id"))
+def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None,
+                   digests: list[tuple[str, str]] = DIGESTS) -> DataFrame:
+    """license_id and digest of each known text; the first id of a digest.
+
+    Without ``texts``, those of KNOWN and of ``license_texts``. A caller adds
+    licences as texts, or as digests of canonical texts.
+    """
+    texts = [*KNOWN, *further(KNOWN)] if texts is None else texts
+    given = spark.createDataFrame(texts, "license_id string, text string").select(
+        "license_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"))
+    more = spark.createDataFrame(digests, "license_id string, canonical_sha256 string")
+    return given.unionByName(more).groupBy("canonical_sha256").agg(F.min("license_id").alias("license_id"))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
