@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tripmart.llm import (decontamination, html_text, language_id, license_scan, nn_descent, packing, pii,
-                          simhash_dedup, substring_dedup, suffix_dedup)
+from tripmart.llm import (centroid_clustering, decontamination, html_text, language_id, lexical_search, license_scan,
+                          nn_descent, packing, pii, simhash_dedup, substring_dedup, suffix_dedup, url_reputation)
 
 QUERIES: dict[str, Callable] = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -18,6 +18,9 @@ QUERIES: dict[str, Callable] = {
     "op8_html_text": html_text.op8_html_text,
     "op9_nn_descent": nn_descent.op9_nn_descent,
     "op10_language_id": language_id.op10_language_id,
+    "op11_url_reputation": url_reputation.op11_url_reputation,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_centroid_clustering": centroid_clustering.op13_centroid_clustering,
 }
 
 #: Suffix arrays, EM, SimHash, NN-descent and fitted models have no plain SQL;
@@ -25,4 +28,7 @@ QUERIES: dict[str, Callable] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_scan.OP1_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
+    "op11_url_reputation": url_reputation.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
+    "op13_centroid_clustering": centroid_clustering.OP13_SQL,
 }
