@@ -56,6 +56,15 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def row_digest(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """128-bit digest of a document row, id and text together (nulls apart
+    from empty values): for joins whose result follows from equal keys."""
+    def marked(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat_ws("|", marked(id_col), marked(text_col)))).alias("key")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partition count, for repartition(n, key)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

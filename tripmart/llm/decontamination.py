@@ -21,7 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import documents, row_key, stored
+from tripmart.llm.common import documents, row_digest, stored
 from tripmart.operators.joins import bounded_broadcast
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -72,7 +72,7 @@ def _needed(mine: Column, other: Column) -> Column:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, key, item_id, similarity of contaminated documents and items.
 
-    ``key`` is the row key of id and text. ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are
+    ``key`` is the row digest of id and text. ``docs``: doc_id, text; ``benchmark``: item_id, text; other columns are
     ignored. The similarity is the best of all windows of the item's size (a
     shorter document is one window). Null, empty and wordless texts match
     nothing. Rows equal in doc_id and text give one row an item. Items equal
@@ -82,57 +82,86 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     worded = benchmark.select("item_id", words(F.col("text")).alias("words"))
     short = stored(worded.where(F.size("words").between(1, SHINGLE - 1)).distinct(), "short-items")
     items = stored(worded.where(F.size("words") >= SHINGLE)
-                   .select("item_id", shingles(F.col("words")).alias("hashes")).distinct(), "items")
+                   .select("item_id", shingles(F.col("words")).alias("hashes")).distinct()
+                   .withColumn("item", F.monotonically_increasing_id()), "items")
     items = items.withColumn("m", F.size("hashes"))
+    keyed = docs.select("doc_id", row_digest(), words(F.col("text")).alias("words"))
+    candidates = stored(_candidates(docs.select("doc_id", "text"), keyed, items), "candidates")
+    windows = stored(_windows(candidates), "windows").withColumns(
+        {"a": F.xxhash64("window"), "b": F.xxhash64(F.lit(1), "window")})
+    # A passage that many documents share is judged once.
+    kinds = stored(windows.groupBy("m", "a", "b").agg(F.first("window").alias("window")), "kinds")
+    close = stored(_similar(kinds, items), "similar")
+    found = windows.select("doc_id", "key", "m", "a", "b").distinct().join(
+        bounded_broadcast(close), ["m", "a", "b"]).select("doc_id", "key", "item_id", "similarity")
+    return (found.unionByName(_whole(keyed, short))
+            .groupBy("doc_id", "key", "item_id").agg(F.max("similarity").alias("similarity")))
+
+
+def _candidates(docs: DataFrame, keyed: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, key, text, sizes: documents with starts of windows that hold
+    enough of the items' shingles to reach the threshold, rows alike once.
+
+    Only positions of known shingles are shuffled, and then the texts of
+    documents that have such a window.
+    """
     # One row for each shingle and item size, not each item.
     wanted = items.select(F.explode("hashes").alias("h"), "m").distinct()
-    keyed = docs.select("doc_id", row_key().alias("key"), words(F.col("text")).alias("words"))
-    hashed = keyed.select("doc_id", "key", shingles(F.col("words")).alias("hashes"))
-
+    hashed = keyed.select("key", shingles(F.col("words")).alias("hashes"))
     # The outer form: a filter on the array's size would be moved below it
     # and compute the array again.
     hits = hashed.select("key", F.size("hashes").alias("n"), F.posexplode_outer("hashes").alias("p", "h")).join(
         bounded_broadcast(wanted), "h")
     found = hits.groupBy("key", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("p"))
     found = found.withColumn("w", F.least("n", "m")).withColumn("need", _needed(F.col("w"), F.col("m")))
-    last = F.col("n") - F.col("w")
-    starts = F.flatten(F.transform(F.sequence(F.lit(0), F.size("p") - F.col("need")), lambda i: F.when(
-        F.get("p", i + F.col("need") - 1) - F.get("p", i) < F.col("w"),
-        F.sequence(F.greatest(F.lit(0), F.get("p", i + F.col("need") - 1) - F.col("w") + 1),
-                   F.greatest(F.least(F.get("p", i), last),
-                              F.get("p", i + F.col("need") - 1) - F.col("w") + 1, F.lit(0)))).otherwise(
-        F.array().cast("array<int>"))))
-    placed = found.where("need > 0 and size(p) >= need").select(
-        "key", "m", "w", F.array_distinct(F.filter(starts, lambda s: s <= last)).alias("starts")).where(
-        "size(starts) > 0")
-    per_doc = placed.groupBy("key").agg(F.collect_list(F.struct("m", "w", "starts")).alias("sizes"))
-    windows = (hashed.join(per_doc, "key").select("doc_id", "key", "hashes", F.explode("sizes").alias("z"))
-               .select("doc_id", "key", "hashes", "z.m", "z.w", F.explode("z.starts").alias("s")).distinct()
-               .select("doc_id", "key", "m", "s", F.slice("hashes", F.col("s") + 1, F.col("w")).alias("window")))
-    windows = stored(windows.withColumn("fp", simhash(F.col("window"))), "windows")
 
+    def starts(i: Column) -> Column:
+        """Starts of windows that hold hits i to i + need - 1 and not hit i - 1."""
+        low = F.greatest(F.lit(0), F.get("p", i + F.col("need") - 1) - F.col("w") + 1,
+                         F.coalesce(F.get("p", i - 1) + 1, F.lit(0)))
+        high = F.least(F.get("p", i), F.col("n") - F.col("w"))
+        return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
+
+    placed = found.where("need > 0 and size(p) >= need").select("key", "m", "w", F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size("p") - F.col("need")), starts)).alias("starts")).where("size(starts) > 0")
+    per_doc = stored(placed.groupBy("key").agg(F.collect_list(F.struct("m", "w", "starts")).alias("sizes")), "placed")
+    keys = bounded_broadcast(per_doc.select("key"), basis=per_doc)
+    held = docs.withColumn("key", row_digest()).join(keys, "key", "left_semi")
+    once = held.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    return once.join(per_doc, "key")
+
+
+def _windows(candidates: DataFrame) -> DataFrame:
+    """doc_id, key, m, window: a row for each window to look up."""
+    worded = candidates.select("doc_id", "key", "sizes", words(F.col("text")).alias("words"))
+    hashed = worded.select("doc_id", "key", "sizes", shingles(F.col("words")).alias("hashes"))
+    return (hashed.select("doc_id", "key", "hashes", F.explode("sizes").alias("z"))
+            .select("doc_id", "key", "hashes", "z.m", "z.w", F.explode("z.starts").alias("s"))
+            .select("doc_id", "key", "m", F.slice("hashes", F.col("s") + 1, F.col("w")).alias("window")))
+
+
+def _similar(kinds: DataFrame, items: DataFrame) -> DataFrame:
+    """m, a, b, item_id, similarity of windows and items at SIMILARITY or more."""
     filed = items.withColumn("fp", simhash(F.col("hashes")))
-    index = filed.select("item_id", "m", F.col("fp").alias("item_fp"), F.explode(F.array(*[
+    index = filed.select("item", "m", F.col("fp").alias("item_fp"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("block"), _near(_block(F.col("fp"), i)).alias("values")) for i in range(BLOCKS)]))
-        .alias("e")).select("item_id", "m", "item_fp", "e.block", F.explode("e.values").alias("value"))
-    asked = windows.select("doc_id", "key", "m", "s", "fp", F.explode(F.array(*[
+        .alias("e")).select("item", "m", "item_fp", "e.block", F.explode("e.values").alias("value"))
+    prints = kinds.select("m", "a", "b", simhash(F.col("window")).alias("fp"))
+    asked = prints.select("m", "a", "b", "fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("block"), _block(F.col("fp"), i).alias("value")) for i in range(BLOCKS)])).alias("e"))
-    near = (asked.select("doc_id", "key", "m", "s", "fp", "e.*").join(index, ["m", "block", "value"])
+    near = (asked.select("m", "a", "b", "fp", "e.*").join(index, ["m", "block", "value"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-            .select("doc_id", "key", "m", "s", "item_id").distinct())
-
-    counts = (near.join(windows.drop("fp", "doc_id").distinct(), ["key", "m", "s"])
-              .select("doc_id", "key", "m", "s", "item_id", F.size("window").alias("w"),
-                      F.explode("window").alias("h"))
-              .groupBy("doc_id", "key", "m", "s", "item_id", "w", "h").agg(F.count("*").alias("c")))
-    item_counts = items.select("item_id", F.explode("hashes").alias("h")).groupBy("item_id", "h").agg(
+            .select("m", "a", "b", "item").distinct())
+    counts = (near.join(kinds, ["m", "a", "b"])
+              .select("m", "a", "b", "item", F.size("window").alias("w"), F.explode("window").alias("h"))
+              .groupBy("m", "a", "b", "item", "w", "h").agg(F.count("*").alias("c")))
+    item_counts = items.select("item", F.explode("hashes").alias("h")).groupBy("item", "h").agg(
         F.count("*").alias("ic"))
-    common = (counts.join(item_counts, ["item_id", "h"]).groupBy("doc_id", "key", "m", "s", "item_id", "w")
+    common = (counts.join(item_counts, ["item", "h"]).groupBy("m", "a", "b", "item", "w")
               .agg(F.sum(F.least("c", "ic")).alias("both")))
     similarity = F.col("both") / (F.col("w") + F.col("m") - F.col("both"))
-    close = common.withColumn("similarity", similarity).where(F.col("similarity") >= SIMILARITY)
-    return (close.select("doc_id", "key", "item_id", "similarity").unionByName(_whole(keyed, short))
-            .groupBy("doc_id", "key", "item_id").agg(F.max("similarity").alias("similarity")))
+    close = common.select("m", "a", "b", "item", similarity.alias("similarity")).where(F.col("similarity") >= SIMILARITY)
+    return close.join(items.select("item", "item_id"), "item").drop("item")
 
 
 def _whole(keyed: DataFrame, short: DataFrame) -> DataFrame:

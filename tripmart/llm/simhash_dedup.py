@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import documents, map_batches, row_key, shuffle_width, stored
+from tripmart.llm.common import documents, map_batches, row_digest, shuffle_width, stored
 from tripmart.llm.components import components
 
 #: Items of one tree; larger shards are cut into chunks.
@@ -59,9 +59,9 @@ def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, row key and fp, the signed form of the SimHash, a row each."""
-    return map_batches(docs.select("doc_id", row_key().alias("key"), F.col("text").cast("binary").alias("text")),
-                       lambda it: _fingerprints(it, shingle), "doc_id long, key long, fp long")
+    """doc_id, row digest (key) and fp, the signed form of the SimHash, a row each."""
+    return map_batches(docs.select("doc_id", row_digest(), F.col("text").cast("binary").alias("text")),
+                       lambda it: _fingerprints(it, shingle), "doc_id long, key binary, fp long")
 
 
 def shard_keys(fp: Column, radius: int, blocks: int) -> Column:
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     """doc_id, fingerprint (hex), component_id, component and key, a row each.
 
     ``component`` names a component whatever its ids are; ``key`` is the
-    row's key (its id and text together).
+    row's digest (its id and text together).
 
     ``blocks`` (more than ``radius``) sets the shards: 5 blocks keep 25 or 26
     bits in each of 10 keys, so a shard of random fingerprints holds about one
