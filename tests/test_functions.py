@@ -1,4 +1,4 @@
-"""Column functions: keys, calendar, money, casts."""
+"""Column functions: keys, calendar, casts."""
 
 from __future__ import annotations
 
@@ -9,8 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripmart.functions import (KEY_NULL, calendar_columns, exact, hour_floor, money_avg, money_sum,
-                                period_of, range_checked_int, surrogate_key, text_to_bool)
+from tripmart.functions import (KEY_NULL, calendar_columns, hour_floor, period_of, range_checked_int, surrogate_key, text_to_bool)
 
 
 def test_surrogate_key_contract(spark):
@@ -64,24 +63,6 @@ def test_calendar_flags(spark):
     assert (fri.day_of_week, fri.day_name, fri.is_weekend, fri.quarter) == (5, "Fri", False, 3)
 
 
-def test_money_is_exact_and_null_skipping(spark):
-    vals = [0.1] * 10 + [0.2] * 10 + [None]
-    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
-    row = df.agg(money_sum(F.col("x")).alias("s"), money_avg(F.col("x")).alias("a")).first()
-    assert row.s == 3.0
-    assert row.a == 3.0 / 20
-    empty = spark.createDataFrame([(None,)], "x double").agg(money_sum(F.col("x")).alias("s")).first()
-    assert empty.s is None
-
-
-def test_money_keeps_sub_cent_amounts_and_skips_nan(spark):
-    vals = [0.285, 1.005, 1.0125, 0.7801, 2.0014]
-    df = spark.createDataFrame([(v,) for v in [*vals, float("nan"), float("inf"), None, 1e300]], "x double")
-    row = df.agg(money_sum(F.col("x")).alias("s"), money_avg(F.col("x")).alias("a")).first()
-    assert row.s == 5.084 and row.a == 5.084 / 5
-    assert [str(r.x) for r in df.limit(2).select(exact(F.col("x")).alias("x")).collect()] == ["0.28500000", "1.00500000"]
-
-
 def test_text_to_bool_and_ranges(spark):
     df = spark.createDataFrame([("Y", "1"), ("N", "-999"), ("yes", "1000"), (" ", None), ("on", "12")],
                                "t string, n string")

@@ -3,9 +3,8 @@
 from tripmart.functions.calendar import calendar_columns, hour_floor, period_of
 from tripmart.functions.casts import range_checked_int, text_to_bool
 from tripmart.functions.keys import KEY_NULL, surrogate_key
-from tripmart.functions.money import exact, money_avg, money_sum
 
 __all__ = [
-    "KEY_NULL", "calendar_columns", "exact", "hour_floor", "money_avg", "money_sum",
+    "KEY_NULL", "calendar_columns", "hour_floor",
     "period_of", "range_checked_int", "surrogate_key", "text_to_bool",
 ]

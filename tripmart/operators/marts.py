@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import hour_floor
-from tripmart.functions.money import exact, money_avg, money_sum
+from tripmart.operators.exact_sum import exact_sums, limbs, totals
 from tripmart.operators.joins import bounded_broadcast
 from tripmart.schemas import BI_DAILY, BI_DRIVER, BI_FLAG, BI_GEO
 
@@ -56,31 +56,55 @@ def _positive(fact: DataFrame) -> DataFrame:
     return fact.filter((c("trip_miles") > 0) & (c("trip_time") > 0))
 
 
+def _money() -> dict[str, Column]:
+    """The daily mart's sums; a NULL term makes a sum's value NULL."""
+    fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
+    cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
+                                c("sales_tax"), c("bcf"), c("driver_pay"))
+    return {
+        "total_trip_miles": c("trip_miles"),
+        "passenger_total_spend": fare + tips + tolls + apt + cong + cbd + tax + bcf,
+        "platform_gross_revenue": fare + cong + cbd,
+        "driver_total_earnings": pay + tips,
+        "fees_and_taxes": tax + bcf + cong + cbd + apt,
+        "platform_net_earnings": (fare + cong + cbd) - pay,
+    }
+
+
+def _driver_terms() -> dict[str, Column]:
+    return {"miles": c("trip_miles"), "pay": c("driver_pay"), "tips": c("tips"), "earned": c("driver_pay") + c("tips")}
+
+
+def mean(name: str) -> Column:
+    """Average from an exact sum and its count."""
+    return F.try_divide(c(name), c(f"{name}_n"))
+
+
+def _driver_columns(seconds: Column) -> list[Column]:
+    return [mean("miles").alias("avg_trip_miles"), seconds.alias("avg_trip_time_seconds"),
+            mean("pay").alias("avg_driver_pay"), mean("tips").alias("avg_tips"),
+            mean("earned").alias("avg_driver_total"), F.try_divide(mean("pay"), mean("miles")).alias("avg_pay_per_mile"),
+            F.try_divide(mean("pay"), seconds / F.lit(3600.0)).alias("avg_pay_per_hour")]
+
+
+def _daily_columns() -> list[Column]:
+    return ["date_key", c("trips").alias("total_trips"), (c("time") / F.lit(86400.0)).alias("total_trip_time_days"),
+            (c("shared") / c("trips") * 100).alias("percent_shared_rides"), *_money()]
+
+
 def build_daily(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame,
                 skip_dates: DataFrame | None = None) -> DataFrame:
     """Trips, distance, time and money totals and the shared-ride share per date.
 
     A NULL money term removes the row from the sums that use it (no
     coalesce); trips with an unknown flag combination drop out at the join.
+    Sums are exact (see ``exact_sum``).
     """
     j = _skip(_by_hour(fact, dim_datetime, ["date_key"]), skip_dates, dim_datetime)
     flags = bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"), basis=dim_trip_flags)
-    j = j.join(flags, "trip_flags_id")
-    fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
-    cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
-                                c("sales_tax"), c("bcf"), c("driver_pay"))
-    out = j.groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        money_sum(c("trip_miles")).alias("total_trip_miles"),
-        (F.sum("trip_time") / F.lit(86400.0)).alias("total_trip_time_days"),
-        money_sum(fare + tips + tolls + apt + cong + cbd + tax + bcf).alias("passenger_total_spend"),
-        money_sum(fare + cong + cbd).alias("platform_gross_revenue"),
-        money_sum(pay + tips).alias("driver_total_earnings"),
-        money_sum(tax + bcf + cong + cbd + apt).alias("fees_and_taxes"),
-        money_sum((fare + cong + cbd) - pay).alias("platform_net_earnings"),
-        (_flag_count("shared_match_flag") / F.count(F.lit(1)) * 100).alias("percent_shared_rides"),
-    )
-    return _typed(out, BI_DAILY)
+    out = exact_sums(j.join(flags, "trip_flags_id"), ["date_key"], _money(), {
+        "trips": F.count(F.lit(1)), "time": F.sum("trip_time"), "shared": _flag_count("shared_match_flag")})
+    return _typed(out.select(*_daily_columns()), BI_DAILY)
 
 
 def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame,
@@ -93,17 +117,8 @@ def build_driver(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataF
     j = _skip(_by_hour(_positive(fact), dim_datetime, ["date_key"]), skip_dates, dim_datetime)
     j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id"), basis=dim_trip_flags),
                "trip_flags_id", "left_semi")
-    pay, tips = c("driver_pay"), c("tips")
-    out = j.groupBy("date_key").agg(
-        money_avg(c("trip_miles")).alias("avg_trip_miles"),
-        F.avg("trip_time").alias("avg_trip_time_seconds"),
-        money_avg(pay).alias("avg_driver_pay"),
-        money_avg(tips).alias("avg_tips"),
-        money_avg(pay + tips).alias("avg_driver_total"),
-        F.try_divide(money_avg(pay), money_avg(c("trip_miles"))).alias("avg_pay_per_mile"),
-        F.try_divide(money_avg(pay), F.avg("trip_time") / F.lit(3600.0)).alias("avg_pay_per_hour"),
-    )
-    return _typed(out, BI_DRIVER)
+    out = exact_sums(j, ["date_key"], _driver_terms(), {"time": F.sum("trip_time"), "time_n": F.count("trip_time")})
+    return _typed(out.select("date_key", *_driver_columns(mean("time"))), BI_DRIVER)
 
 
 def build_flag(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame,
@@ -143,47 +158,15 @@ def build_date_marts(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
     def p(x: Column) -> Column:          # value for positive trips, else NULL
         return F.when(pos, x)
 
-    fare, tips, tolls, apt = c("base_passenger_fare"), c("tips"), c("tolls"), c("airport_fee")
-    cong, cbd, tax, bcf, pay = (c("congestion_surcharge"), c("cbd_congestion_fee"),
-                                c("sales_tax"), c("bcf"), c("driver_pay"))
-    sums = {
-        "n": F.count(F.lit(1)), "miles": money_sum(c("trip_miles")), "time": F.sum("trip_time"),
-        "spend": F.sum(exact(fare + tips + tolls + apt + cong + cbd + tax + bcf)),
-        "gross": F.sum(exact(fare + cong + cbd)), "earn": F.sum(exact(pay + tips)),
-        "fees": F.sum(exact(tax + bcf + cong + cbd + apt)), "net": F.sum(exact((fare + cong + cbd) - pay)),
-        "shared": _flag_count("shared_match_flag"),
-        "n_pos": F.count_if(pos),
-        "p_miles": money_sum(p(c("trip_miles"))), "p_n_miles": F.count(p(exact(c("trip_miles")))),
-        "p_time": F.sum(p(c("trip_time"))), "p_n_time": F.count(p(c("trip_time"))),
-        "p_pay": F.sum(p(exact(pay))), "p_n_pay": F.count(p(exact(pay))),
-        "p_tips": F.sum(p(exact(tips))), "p_n_tips": F.count(p(exact(tips))),
-        "p_total": F.sum(p(exact(pay + tips))), "p_n_total": F.count(p(exact(pay + tips))),
-        **{f"p_{f}": F.count_if(pos & c(f)) for f in ["shared_request_flag", "shared_match_flag",
-                                                     "wav_request_flag", "wav_match_flag",
-                                                     "access_a_ride_flag"]},
-    }
-    agg = j.groupBy("date_key").agg(*[v.alias(k) for k, v in sums.items()]).persist()
-
-    def money(s: str, n: str | None = None) -> Column:
-        total = c(s).cast("double")
-        return total if n is None else F.try_divide(total, c(n))
-
-    avg_pay = money("p_pay", "p_n_pay")
-    avg_time = F.try_divide(c("p_time"), c("p_n_time"))
+    flags = ["shared_request_flag", "shared_match_flag", "wav_request_flag", "wav_match_flag", "access_a_ride_flag"]
+    agg = exact_sums(j, ["date_key"], _money() | {n: p(x) for n, x in _driver_terms().items()}, {
+        "trips": F.count(F.lit(1)), "time": F.sum("trip_time"), "shared": _flag_count("shared_match_flag"),
+        "n_pos": F.count_if(pos), "p_time": F.sum(p(c("trip_time"))), "p_time_n": F.count(p(c("trip_time"))),
+        **{f"p_{f}": F.count_if(pos & c(f)) for f in flags}}).persist()
     out = {
-        "bi_daily_metrics": _typed(agg.select(
-            "date_key", c("n").alias("total_trips"), c("miles").alias("total_trip_miles"),
-            (c("time") / F.lit(86400.0)).alias("total_trip_time_days"),
-            money("spend").alias("passenger_total_spend"), money("gross").alias("platform_gross_revenue"),
-            money("earn").alias("driver_total_earnings"), money("fees").alias("fees_and_taxes"),
-            money("net").alias("platform_net_earnings"),
-            (c("shared") / c("n") * 100).alias("percent_shared_rides")), BI_DAILY),
-        "bi_driver_metrics": _typed(agg.filter(c("n_pos") > 0).select(
-            "date_key", F.try_divide(c("p_miles"), c("p_n_miles")).alias("avg_trip_miles"),
-            avg_time.alias("avg_trip_time_seconds"), avg_pay.alias("avg_driver_pay"),
-            money("p_tips", "p_n_tips").alias("avg_tips"), money("p_total", "p_n_total").alias("avg_driver_total"),
-            F.try_divide(avg_pay, F.try_divide(c("p_miles"), c("p_n_miles"))).alias("avg_pay_per_mile"),
-            F.try_divide(avg_pay, avg_time / F.lit(3600.0)).alias("avg_pay_per_hour")), BI_DRIVER),
+        "bi_daily_metrics": _typed(agg.select(*_daily_columns()), BI_DAILY),
+        "bi_driver_metrics": _typed(agg.filter(c("n_pos") > 0).select("date_key", *_driver_columns(mean("p_time"))),
+                                    BI_DRIVER),
         "bi_flag_metrics": _typed(agg.filter(c("n_pos") > 0).select(
             "date_key", c("n_pos").alias("total_trips"),
             c("p_shared_request_flag").alias("total_shared_rides_requested"),
@@ -210,13 +193,9 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
     9-column grouping then touch partials instead of fact rows. Averages are
     rebuilt from sums and non-NULL counts, so they equal one-pass AVGs.
     """
-    fare = c("base_passenger_fare")
-    part = fact.groupBy(hour_floor("pickup_datetime").alias("_hour"), "pulocation_id", "dolocation_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(exact(c("trip_miles"))).alias("_miles"), F.count(exact(c("trip_miles"))).alias("_n_miles"),
-        F.sum("trip_time").alias("_time"), F.count("trip_time").alias("_n_time"),
-        F.sum(exact(fare)).alias("_fare"), F.count(exact(fare)).alias("_n_fare"),
-    )
+    part = limbs(fact.withColumn("_hour", hour_floor("pickup_datetime")), ["_hour", "pulocation_id", "dolocation_id"],
+                 {"miles": c("trip_miles"), "fare": c("base_passenger_fare")},
+                 {"trip_count": F.count(F.lit(1)), "time": F.sum("trip_time"), "time_n": F.count("trip_time")})
     j = _skip(_by_hour(part, dim_datetime, ["date_key", "year", "month", "day_of_week", "hour_24"],
                        ts="_hour"), skip_dates, dim_datetime)
     loc = dim_location.select("location_id", "borough", "zone")
@@ -224,10 +203,7 @@ def build_geo(fact: DataFrame, dim_datetime: DataFrame, dim_location: DataFrame,
     do = bounded_broadcast(loc.toDF("_do_id", "do_borough", "do_zone"), basis=dim_location)
     j = (j.join(pu, c("pulocation_id") == c("_pu_id"))
           .join(do, c("dolocation_id") == c("_do_id")))
-    out = j.groupBy(*GEO_KEYS).agg(
-        F.sum("_n").alias("trip_count"),
-        F.try_divide(F.sum("_miles").cast("double"), F.sum("_n_miles")).alias("avg_trip_miles"),
-        F.try_divide(F.sum("_time"), F.sum("_n_time")).alias("avg_trip_time"),
-        F.try_divide(F.sum("_fare").cast("double"), F.sum("_n_fare")).alias("avg_passenger_fare"),
-    )
+    out = totals(j.drop("pulocation_id", "dolocation_id", "_pu_id", "_do_id"), GEO_KEYS).select(
+        *GEO_KEYS, "trip_count", mean("miles").alias("avg_trip_miles"), mean("time").alias("avg_trip_time"),
+        mean("fare").alias("avg_passenger_fare"))
     return _typed(out, BI_GEO)

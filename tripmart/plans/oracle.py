@@ -2,8 +2,8 @@
 
 Written from the model definitions, not from the Spark code: each function
 returns a SELECT over named inputs, and :func:`with_ctes` strings them into
-one statement over the pre-registered benchmark views. Money sums go
-through DECIMAL(18,8), without rounding to cents, and are cast to DOUBLE at the end.
+one statement over the pre-registered benchmark views. Money sums are exact
+sums of doubles (see msum).
 """
 
 from __future__ import annotations
@@ -26,8 +26,14 @@ def key(*exprs: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
+#: 2^68: amounts of the benchmark tables are multiples of its inverse.
+_UNITS = f"CAST({2 ** 68} AS DOUBLE)"
+
+
 def msum(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,8))) AS DOUBLE)"
+    """Exact sum of doubles: whole multiples of 2^-68 add up as HUGEINT, and
+    the total's decimal text is read back as the nearest double."""
+    return f"(CAST(CAST(SUM(CAST(({expr}) * {_UNITS} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {_UNITS})"
 
 
 def mavg(expr: str) -> str:

@@ -318,7 +318,7 @@ def q_month_selection(spark, sf_dir):
 # --- dashboard slices -----------------------------------------------------
 
 def _mt(col: str) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,8))) AS DOUBLE) AS {col}"
+    return f"{O.msum(col)} AS {col}"
 
 
 _MONTHLY_SQL = f"""SELECT CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.money import money_avg, total_sum
+from tripmart.operators.exact_sum import exact_sums
 from tripmart.operators.joins import bounded_broadcast
-from tripmart.operators.marts import _by_hour, _positive
+from tripmart.operators.marts import _by_hour, _positive, mean
 
 c = F.col
 DAILY_MONEY = ["passenger_total_spend", "platform_gross_revenue", "driver_total_earnings",
@@ -27,27 +27,22 @@ def monthly_overview(daily: DataFrame) -> DataFrame:
     """
     shared = F.round(c("percent_shared_rides") * c("total_trips") / 100).cast("bigint")
     seconds = F.round(c("total_trip_time_days") * 86400).cast("bigint")
-    out = daily.groupBy(F.year("date_key").alias("year"), F.month("date_key").alias("month")).agg(
-        F.count(F.lit(1)).alias("days"),
-        F.sum("total_trips").alias("total_trips"),
-        total_sum(c("total_trip_miles")).alias("total_trip_miles"),
-        (F.sum(seconds) / F.lit(86400.0)).alias("total_trip_time_days"),
-        *[total_sum(c(m)).alias(m) for m in DAILY_MONEY],
-        (F.sum(shared) / F.sum("total_trips") * 100).alias("percent_shared_rides"),
-    )
-    return out
+    by = daily.select(F.year("date_key").alias("year"), F.month("date_key").alias("month"), "*")
+    out = exact_sums(by, ["year", "month"], {m: c(m) for m in ["total_trip_miles", *DAILY_MONEY]}, {
+        "days": F.count(F.lit(1)), "total_trips": F.sum("total_trips"), "seconds": F.sum(seconds), "shared": F.sum(shared)})
+    return out.select("year", "month", "days", "total_trips", "total_trip_miles",
+                      (c("seconds") / F.lit(86400.0)).alias("total_trip_time_days"), *DAILY_MONEY,
+                      (c("shared") / c("total_trips") * 100).alias("percent_shared_rides"))
 
 
 def peak_hour_demand(fact: DataFrame, dim_datetime: DataFrame) -> DataFrame:
     """Trips and averages by hour of day and the peak/night/weekend/holiday flags."""
     keys = ["hour_24", "is_peak_hour", "is_night", "is_weekend", "is_holiday"]
     j = _by_hour(fact, dim_datetime, keys)
-    return j.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        money_avg(c("trip_miles")).alias("avg_trip_miles"),
-        F.avg("trip_time").alias("avg_trip_time"),
-        money_avg(c("base_passenger_fare")).alias("avg_passenger_fare"),
-    )
+    out = exact_sums(j, keys, {"miles": c("trip_miles"), "fare": c("base_passenger_fare")}, {
+        "trip_count": F.count(F.lit(1)), "time": F.sum("trip_time"), "time_n": F.count("trip_time")})
+    return out.select(*keys, "trip_count", mean("miles").alias("avg_trip_miles"), mean("time").alias("avg_trip_time"),
+                      mean("fare").alias("avg_passenger_fare"))
 
 
 def driver_economics(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: DataFrame) -> DataFrame:
@@ -55,13 +50,12 @@ def driver_economics(fact: DataFrame, dim_datetime: DataFrame, dim_trip_flags: D
     j = _by_hour(_positive(fact), dim_datetime, ["year", "month"])
     j = j.join(bounded_broadcast(dim_trip_flags.select("trip_flags_id", "shared_match_flag"),
                                  basis=dim_trip_flags), "trip_flags_id")
-    pay = c("driver_pay")
-    return j.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("trips"),
-        money_avg(pay).alias("avg_driver_pay"),
-        money_avg(pay + c("tips")).alias("avg_driver_total"),
-        F.try_divide(money_avg(pay), money_avg(c("trip_miles"))).alias("avg_pay_per_mile"),
-        F.try_divide(money_avg(pay), F.avg("trip_time") / F.lit(3600.0)).alias("avg_pay_per_hour"),
-        F.count_if(c("shared_match_flag")).alias("shared_rides"),
-        (F.count_if(c("shared_match_flag")) / F.count(F.lit(1)) * 100).alias("percent_shared_rides"),
-    )
+    out = exact_sums(j, ["year", "month"], {
+        "miles": c("trip_miles"), "pay": c("driver_pay"), "earned": c("driver_pay") + c("tips")}, {
+        "trips": F.count(F.lit(1)), "time": F.sum("trip_time"), "time_n": F.count("trip_time"),
+        "shared_rides": F.count_if(c("shared_match_flag"))})
+    return out.select(
+        "year", "month", "trips", mean("pay").alias("avg_driver_pay"), mean("earned").alias("avg_driver_total"),
+        F.try_divide(mean("pay"), mean("miles")).alias("avg_pay_per_mile"),
+        F.try_divide(mean("pay"), mean("time") / F.lit(3600.0)).alias("avg_pay_per_hour"),
+        "shared_rides", (c("shared_rides") / c("trips") * 100).alias("percent_shared_rides"))

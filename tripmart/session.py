@@ -19,6 +19,9 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Exact sums list what lies outside the common window, nearly always
+    # nothing: aggregate by hash up to this many groups of a task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 
