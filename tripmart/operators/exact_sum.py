@@ -149,30 +149,32 @@ def _nearest(parts: Column) -> Column:
     return _let(at, lambda x: _let(F.element_at(_digits(x), -1) < 0, lambda negative: signed(x, negative)))
 
 
-def _total(name: str, i: int) -> Column:
-    """Sum ``name``, the ``i``-th: of its limbs in the common window and of
-    ``_parts``, the group's partial sums in other windows."""
+def _plain(name: str) -> tuple[Column, Column]:
+    """Sum ``name`` of a group whose values are all in the common window, and
+    whether it is that and fits 38 digits."""
     limb = [F.col(c) for c in _names(name)]
-    plain = F.lit(Decimal(0)).cast("decimal(38,0)")
+    total = F.lit(Decimal(0)).cast("decimal(38,0)")
     for j, c in enumerate(limb):
-        plain = (plain + c.cast("decimal(20,0)") * F.lit(Decimal(1 << (LIMB * j)))).cast("decimal(38,0)")
-    usual = (F.size("_parts") == 0) & (F.abs(limb[-1]) < F.lit(1 << 50))  # and fits 38 digits
+        total = (total + c.cast("decimal(20,0)") * F.lit(Decimal(1 << (LIMB * j)))).cast("decimal(38,0)")
+    usual = (F.size("_parts") == 0) & (F.abs(limb[-1]) < F.lit(1 << 50))
+    return usual, total.cast("double") * F.lit(2.0 ** UNIT)
 
-    def listed(k: Column, v: list[Column]) -> Column:
+
+def _listed(name: str, i: int) -> Column:
+    """Limb sums of ``name``, the ``i``-th sum, in every window that a group's values lie in."""
+    def one(k: Column, v: list[Column]) -> Column:
         return F.struct(k.cast("int").alias("k"), F.array(*[F.coalesce(x, F.lit(0)) for x in v]).alias("v"))
 
-    parts = F.concat(F.array(listed(F.lit(0), limb)), F.transform("_parts", lambda p: listed(
+    return F.concat(F.array(one(F.lit(0), [F.col(c) for c in _names(name)])), F.transform("_parts", lambda p: one(
         F.get(p[WINDOWS], F.lit(i)), [p[c] for c in _names(name)])))
 
-    def unusual(parts: Column) -> Column:
-        def has(mark: int) -> Column:
-            return F.exists(parts, lambda p: p["k"] == mark)
 
-        return (F.when(has(NAN) | has(PLUS) & has(MINUS), F.lit(float("nan"))).when(has(PLUS), F.lit(float("inf")))
-                .when(has(MINUS), F.lit(float("-inf"))).otherwise(_nearest(parts)))
+def _unusual(parts: Column) -> Column:
+    def has(mark: int) -> Column:
+        return F.exists(parts, lambda p: p["k"] == mark)
 
-    return (F.when(F.col(f"{name}_n") == 0, F.lit(None).cast("double"))
-            .when(usual, plain.cast("double") * F.lit(2.0 ** UNIT)).otherwise(_let(parts, unusual)))
+    return (F.when(has(NAN) | has(PLUS) & has(MINUS), F.lit(float("nan"))).when(has(PLUS), F.lit(float("inf")))
+            .when(has(MINUS), F.lit(float("-inf"))).otherwise(_nearest(parts)))
 
 
 def totals(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -190,7 +192,15 @@ def totals(parts: DataFrame, keys: list[str]) -> DataFrame:
         *[F.sum(c).alias(c) for c in others],
         *[F.coalesce(F.sum(F.when(common, F.col(c))), F.lit(0).cast("long")).alias(c) for c in limb],
         F.collect_list(F.when(~common, F.struct(WINDOWS, *limb))).alias("_parts"))
-    return met.select(*keys, *others, *[_total(n, i).alias(n) for i, n in enumerate(names)])
+    plain = {n: _plain(n) for n in names}
+    usual = F.lit(True)
+    for known, _ in plain.values():
+        usual = usual & known
+    every = F.transform(F.array(*[_listed(n, i) for i, n in enumerate(names)]), _unusual)
+    met = met.withColumn("_unusual", F.when(~usual, every))
+    return met.select(*keys, *others, *[
+        F.when(F.col(f"{n}_n") > 0, F.when(plain[n][0], plain[n][1]).otherwise(F.get("_unusual", F.lit(i)))).alias(n)
+        for i, n in enumerate(names)])
 
 
 def exact_sums(df: DataFrame, keys: list[str], sums: dict[str, Column], others: dict[str, Column]) -> DataFrame:
