@@ -135,7 +135,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
@@ -173,3 +173,81 @@ def test_nearest_finds_and_answers_the_odd_one_out(spark):
     rows, vectors = nearest_rows(spark, x)
     check_nearest(rows, vectors, lambda i: i % 20 == 0, 20, 0.95)
     assert sum(r["query_id"] == 0 for r in rows) == 20
+
+
+def odd_documents(spark, extra="_row string, _t int, lang_pred string, score int, key int"):
+    """Few documents with nulls, copies and columns whose names clash with helpers."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect()
+    rows = [tuple(r) for r in rows] + [(900, None, None, None, None), (901, "", "en", "s", 0), (902, " 12 ", None, "s", 4),
+                                       (None, "some words of a null id", "en", None, 1)]
+    rows += [rows[3], rows[3], (rows[5][0], "same id, other words entirely", "en", "s", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + extra
+    return spark.createDataFrame([(*r, "x", 1, "y", 2, 3) for r in rows], schema), rows
+
+
+def test_stages_keep_clashing_columns_and_odd_rows(spark):
+    import corpus_pipeline
+
+    docs, rows = odd_documents(spark)
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert {(r["_row"], r["_t"], r["lang_pred"], r["score"], r["key"]) for r in got} == {("x", 1, "y", 2, 3)}, name
+        if name == "language_id":
+            assert len(got) == len(rows) - 3 and all(r["lang"] for r in got)  # null, empty and letterless go
+        elif name == "simhash_near_dedup":
+            assert len({(r["doc_id"], r["text"]) for r in got}) == len(got) < len(rows)
+        elif name == "pii":
+            assert len(got) == len(rows) and sum(r["text"] is None for r in got) == 1
+            assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in got)
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0
+
+
+def test_language_sample_takes_distinct_texts(spark):
+    from tripmart.llm import language_id
+
+    seen = {}
+    fit = language_id.fit
+    try:
+        language_id.fit = lambda texts, langs, *rest: seen.update(rows=list(zip(langs, texts, strict=True))) or fit(
+            texts, langs, *rest)
+        rows = [(i, "the very same text of english words", "en") for i in range(3000)]
+        rows += [(5000 + i, f"other english words number {'abcdefghij'[i % 10]} {i}", "en") for i in range(60)]
+        rows += [(7000 + i, f"quelques mots en français {i}", "fr") for i in range(9)] + [(9000, "ein " * 9000, "de"),
+                                                                                       (9001, "zwei " * 9000, "de")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        model = language_id.train(docs, per_language=40)
+        by = {lang: [t for x, t in seen["rows"] if x == lang] for lang, _ in seen["rows"]}
+        assert len(by["en"]) == len(set(by["en"])) == 40 and len(by["de"]) == 1 and len(set(by["fr"])) >= 5
+        found = language_id.identify(docs.where("lang = 'de'"), model).collect()
+        assert found and all(r["lang_pred"] == "de" for r in found)
+    finally:
+        language_id.fit = fit
+
+
+def test_language_kernel_is_that_of_all_shared_grams(spark):
+    """Scores against ridge regression on plain sets of grams, every text a landmark."""
+    from tripmart.llm import language_id
+
+    texts = ["the cat sat on a mat", "le chat est la", "der hund ist da", "a dog on the mat", "la la chat", "da ist der hund"]
+    langs = np.array(["en", "fr", "de", "en", "fr", "de"])
+    asked = [*texts, "the dog", "le la", "hund da", "Ein HUND"]
+    names, max_n, ridge = sorted(set(langs)), 3, 0.1
+
+    def plain(text):
+        t = text.lower()
+        return {t[i:i + n] for n in range(1, max_n + 1) for i in range(len(t) - n + 1)}
+
+    order = [0, 1, 2, 3, 4, 5]
+    kernel = np.array([[len(plain(a) & plain(b)) / np.sqrt(len(plain(a)) * len(plain(b))) for b in texts] for a in asked])
+    inner, weigh = kernel[order], np.diag([len(texts) / len(names) / (langs == x).sum() for x in langs])
+    wanted = np.where(langs[:, None] == np.array(names), 1.0, -1.0)
+    left = inner.T @ weigh @ inner + ridge * inner + 1e-8 * np.eye(len(texts))
+    scores = kernel @ np.linalg.solve(left, inner.T @ weigh @ wanted)
+    model = language_id.fit(texts, list(langs), len(texts), max_n, ridge)
+    got, score = language_id.predict(model, [*asked, None, "123"], np.zeros(1 << language_id.BITS, np.int32))
+    assert got == [names[i] for i in scores.argmax(axis=1)] + ["und", "und"]
+    assert np.allclose(score, [*np.clip((scores.max(axis=1) + 1) / 2, 0, 1), 0, 0], atol=2e-4)

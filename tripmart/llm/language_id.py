@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import documents, map_batches
+from tripmart.llm.common import documents, map_batches, stored
 
 #: n-grams are numbered by a hash of so many bits.
 BITS = 20
@@ -99,13 +99,13 @@ def predict(model: Model | None, texts: list[str | None], stamp: np.ndarray) ->
     return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)], score
 
 
-def _scored(batches: Iterator[pd.DataFrame], model, batch_rows: int = 256) -> Iterator[pd.DataFrame]:
+def _scored(batches: Iterator[pd.DataFrame], model, pred: str, score: str, batch_rows: int = 256) -> Iterator[pd.DataFrame]:
     stamp = np.zeros(1 << BITS, np.int32)
     for batch in batches:
         texts = [t if isinstance(t, str) else None for t in batch["text"]]
         parts = [predict(model.value, texts[i:i + batch_rows], stamp) for i in range(0, len(texts), batch_rows)]
-        yield batch.assign(lang_pred=[x for p in parts for x in p[0]],
-                           score=np.concatenate([p[1] for p in parts]) if parts else [])
+        yield batch.assign(**{pred: [x for p in parts for x in p[0]],
+                              score: np.concatenate([p[1] for p in parts]) if parts else []})
 
 
 def held_out(doc_id) -> F.Column:
@@ -117,43 +117,44 @@ def train(docs: DataFrame, sample_rows: int = 2000, per_language: int = 400, max
           landmarks: int = 240, max_n: int = 4, ridge: float = 0.1) -> Model | None:
     """Fit on a sample of at most ``sample_rows`` labelled texts.
 
-    Documents held out, without lang or with a text longer than ``max_chars``
-    are no training rows. A language gives up to ``per_language`` rows, fewer
-    if there are many languages, chosen by a hash of the text. None if there
-    are no training rows.
+    Documents held out or without lang are no training rows. A language gives
+    up to ``per_language`` different texts, fewer if there are many
+    languages, chosen by a hash of the text; copies of a text count once.
+    Texts longer than ``max_chars`` are passed over where the language has
+    shorter ones; else its shortest text is taken whole. None if there are no
+    training rows.
     """
-    rows = docs.select("lang", "text", F.length("text").alias("n")).where(
-        F.col("lang").isNotNull() & (F.col("n") > 0) & (F.col("n") <= max_chars) & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(sample_rows)
-    share = {r["lang"]: r["rows"] for r in counts.collect()}
-    if not share:
+    n = F.length("text")
+    rows = docs.select("lang", "text", F.when(n > max_chars, n).otherwise(0).alias("over"),
+                       F.xxhash64("text", F.lit(7)).alias("draw")).where(
+        F.col("lang").isNotNull() & (n > 0) & ~held_out(F.col("doc_id")))
+    kinds = stored(rows.select("lang", "over", "draw").distinct(), "draws")
+    languages = kinds.groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(sample_rows)
+    names = [r["lang"] for r in languages.collect()]
+    if not names:
         return None
-    each = max(1, min(per_language, sample_rows // len(share)))
-    # Twice the share by hash, then the smallest hashes: no sort of all rows.
-    chance = docs.sparkSession.createDataFrame([(k, min(1.0, 2.0 * each / v)) for k, v in share.items()],
-                                               "lang string, chance double")
-    draw = (F.xxhash64("text", F.lit(7)) / F.lit(2.0**63) + 1) / 2
-    drawn = (rows.withColumn("draw", draw).join(F.broadcast(chance), "lang")
-             .where((F.col("draw") < F.col("chance")) | (F.col("chance") == 1)).select("lang", "text", "draw")
-             .orderBy("draw", "lang", "text").limit(2 * sample_rows).collect())
-    taken, seen = [], dict.fromkeys(share, 0)
-    for r in drawn:
-        if seen[r["lang"]] < each:
-            seen[r["lang"]] += 1
-            taken.append(r)
+    each = max(1, min(per_language, sample_rows // len(names)))
+    # The first of each language by hash: tasks pass on no more than that.
+    ranked = kinds.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("over", "draw")))
+    chosen = ranked.where(F.col("place") <= each).where("over = 0 OR place = 1").join(
+        F.broadcast(languages.select("lang")), "lang").select("lang", "draw")  # sample_rows rows at most
+    taken = (rows.join(F.broadcast(chosen), ["lang", "draw"]).groupBy("lang", "draw")
+             .agg(F.min("text").alias("text")).orderBy("draw", "lang").collect())
     return fit([r["text"] for r in taken], [r["lang"] for r in taken], landmarks, max_n, ridge)
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred and score (columns of that name are replaced).
+def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with ``pred`` and ``score`` (columns of those names are replaced).
 
     Only the text is read. ``und`` with score 0 for a null text, one without
-    a letter, or if there is no model. Every row is scored on its own.
+    a letter, or if there is no model. Every row, repeated or not, is scored
+    on its own; an empty table gives no rows.
     """
-    keep = docs.drop("lang_pred", "score")
+    keep = docs.drop(pred, score)
     given = docs.sparkSession.sparkContext.broadcast(model)
     out = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema]
-    return map_batches(keep, lambda it: _scored(it, given), ", ".join([*out, "lang_pred string", "score double"]))
+    return map_batches(keep, lambda it: _scored(it, given, pred, score),
+                       ", ".join([*out, f"`{pred}` string", f"`{score}` double"]))
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -28,9 +28,9 @@ from pyspark.sql.window import Window
 
 from tripmart.llm.common import documents, map_batches, stored
 
-#: Pre-tokens kept with their ids in a Python worker (it starts afresh
-#: beyond that), and the longest kept.
-CACHE_PARTS, CACHE_CHARS = 1_000_000, 48
+#: Bytes of pre-tokens kept with their ids in a Python worker (it starts
+#: afresh beyond that), what one takes besides its characters, and the longest kept.
+CACHE_BYTES, PART_BYTES, CACHE_CHARS = 96 << 20, 200, 48
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -57,14 +57,17 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.held = 0
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, part: str) -> bytes:
         ids = self.tokenizer.encode(part, add_special_tokens=False).ids
         found = struct.pack(f"<{len(ids)}I", *ids)
         if len(part) <= CACHE_CHARS:
-            if len(self) >= CACHE_PARTS:
+            self.held += PART_BYTES + len(part) + len(found)
+            if self.held > CACHE_BYTES:
                 self.clear()
+                self.held = 0
             self[part] = found
         return found
 

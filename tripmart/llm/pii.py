@@ -332,18 +332,20 @@ def redact(docs: DataFrame) -> DataFrame:
     Kinds are replaced one after the other in the order of KINDS and ADDED,
     so of two overlapping spans the first kind's is replaced. A null text
     stays null; all other columns are kept as they are. In texts with hits,
-    the noncharacters U+FDD0 to U+FDD2 become question marks.
+    the noncharacters U+FDD0 to U+FDD2 become question marks. Repeated rows are
+    redacted each; an empty table stays empty.
     """
     found = stored(_candidates(docs.select("doc_id", "text")), "spans")
     weights = _model(found)
-    columns = docs.columns
+    # The caller's row is one column, so that no name of its columns clashes.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
     for kind in KINDS + ADDED:
-        docs = _gaps_and_hits(docs, kind, "text")
+        row = _gaps_and_hits(row, kind, "text")
 
         text = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size("_h") - 1), _shown(kind, weights)), ""),
                         F.element_at("_g", -1))
-        docs = docs.withColumn("text", F.when(F.size("_h") > 0, text).otherwise(F.col("text"))).drop("_g", "_h")
-    return docs.select(*columns)
+        row = row.withColumn("text", F.when(F.size("_h") > 0, text).otherwise(F.col("text"))).drop("_g", "_h")
+    return row.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
