@@ -11,48 +11,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import decontamination, language_id, packing, pii, simhash_dedup
-from tripmart.llm.common import row_key, stored
+from tripmart.llm.common import row_digest, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _spare(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no language: a null text, or one without a letter.
 
     The others keep all their columns; lang becomes the predicted language
     where it was null. The classifier is fitted on the labelled documents of
-    the input itself.
+    the input itself. Repeated rows stay; an empty table stays empty.
     """
-    found = language_id.identify(docs, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    name = _spare(docs)
+    found = language_id.identify(docs, language_id.train(docs), name, f"{name}score").where(F.col(name) != language_id.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each SimHash component: the smallest doc_id.
 
     Ids come before nulls; of rows that share that id the one with the
-    smallest row key stays, and of rows equal in id and text one.
+    smallest row digest stays, and of rows equal in id and text one. Null and
+    empty texts are one component. An empty table stays empty.
     """
+    name = _spare(docs)
     groups = simhash_dedup.near_duplicates(docs, shingle=3, radius=3)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    first = groups.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.key").alias("_key"))
-    return docs.withColumn("_key", row_key()).join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    first = groups.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.key").alias(name))
+    kept = docs.withColumn(name, row_digest()).join(first, name, "left_semi")
+    return kept.dropDuplicates([name]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item.
+
+    Null, empty and wordless texts hold none and stay, as do repeated rows
+    of clean documents. An empty table stays empty.
+    """
+    name = _spare(docs)
     hits = decontamination.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = hits.select(F.col("key").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").drop("_key")
+    gone = hits.select(F.col("key").alias(name)).distinct()
+    return docs.withColumn(name, row_digest()).join(gone, name, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in text by its kind; n_chars follows."""
+    """Replace personal data in text by its kind; n_chars follows (null for a null text)."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of 4096-token sequences, as in op6_packing."""
+    """Pieces of 4096-token sequences, as in op6_packing.
+
+    A null or empty text is one end token; repeated rows are packed each; an
+    empty table gives no pieces.
+    """
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
