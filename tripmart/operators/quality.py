@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import hour_floor
 from tripmart.operators.joins import bounded_broadcast
+from tripmart.schemas import RAW_NOT_NULL
 
 log = logging.getLogger(__name__)
 
-# The raw table's declared checks.
-RAW_NOT_NULL = ["pickup_datetime", "PULocationID", "DOLocationID"]
+# The raw table's declared freshness.
 WARN_AFTER_DAYS, ERROR_AFTER_DAYS = 30, 90
 
 
@@ -33,6 +33,38 @@ def not_null_check(df: DataFrame, columns: list[str] = RAW_NOT_NULL) -> DataFram
     return rows.withColumn("status", _status(F.col("null_rows") > 0))
 
 
+def not_null_by_load(loads: DataFrame, columns: list[str] = RAW_NOT_NULL) -> DataFrame:
+    """(load_id, ingestion_ts, row_count, column_name, null_rows, status) a load and column.
+
+    From the metrics each load observed while it was written: no raw data is
+    read. A load without metrics has NULL counts and the status ``unknown``.
+    """
+    counts = [F.col(f"null_{c}").alias(c) for c in columns]
+    rows = loads.select("load_id", "ingestion_ts", "row_count", *counts).unpivot(
+        ["load_id", "ingestion_ts", "row_count"], columns, "column_name", "null_rows")
+    return rows.withColumn("status", F.when(F.col("null_rows").isNull(), "unknown").otherwise(
+        _status(F.col("null_rows") > 0)))
+
+
+def not_null_total(loads: DataFrame, raw: DataFrame, present: list[str] | None = None,
+                   columns: list[str] = RAW_NOT_NULL) -> DataFrame:
+    """:func:`not_null_check` of the whole raw table, from its loads' metrics.
+
+    Only loads without metrics are scanned, by their own partitions: those
+    written before metrics were kept, and those in ``present`` (ids of the
+    loads that have a folder) which the list of loads lacks. Loads are few:
+    their ids reach the driver.
+    """
+    rows = not_null_by_load(loads, columns).where("null_rows IS NOT NULL").select("column_name", "null_rows")
+    known = {r[0]: r[1] for r in loads.select("load_id", "row_count").collect()}
+    old = sorted(i for i in {*known, *(present or [])} if known.get(i) is None)
+    if old:
+        scanned = not_null_check(raw.where(F.col("load_id").isin(old)), columns)
+        rows = rows.unionByName(scanned.select("column_name", "null_rows"))
+    total = rows.groupBy("column_name").agg(F.sum("null_rows").alias("null_rows"))
+    return total.withColumn("status", _status(F.col("null_rows") > 0))
+
+
 def freshness_check(df: DataFrame, as_of=None, loaded_at: str = "ingestion_ts",
                     warn_days: int = WARN_AFTER_DAYS, error_days: int = ERROR_AFTER_DAYS) -> DataFrame:
     """Age of the newest load against ``as_of`` (default: now).

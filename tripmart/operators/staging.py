@@ -24,6 +24,11 @@ def high_water_mark(stg: DataFrame):
     return stg.agg(F.unix_micros(F.max("ingestion_ts"))).first()[0]
 
 
+def newest_load(stg: DataFrame) -> DataFrame:
+    """The high-water mark as a table of one row, for a subquery (see :func:`stage_trips`)."""
+    return stg.agg(F.max("ingestion_ts"))
+
+
 def stage_trips(raw: DataFrame, after=FIRST_RUN, licence: str = LICENCE) -> DataFrame:
     """Staging rows from raw rows.
 
@@ -31,12 +36,14 @@ def stage_trips(raw: DataFrame, after=FIRST_RUN, licence: str = LICENCE) -> Data
     each trip by ``surrogate_key(pickup, dropoff)`` and renames the location
     columns. On later runs pass ``after`` = :func:`high_water_mark` of the
     target: only rows loaded strictly later pass, and a NULL mark (empty
-    target) passes nothing. The filters are plain column predicates, so they
+    target) passes nothing. A table of one value, as :func:`newest_load` gives,
+    becomes a scalar subquery: it is computed inside the same job and its
+    value filters the scan. The filters are plain column predicates, so they
     reach the Parquet scan as pushed filters.
     """
     df = raw
     if after is not FIRST_RUN:
-        mark = F.timestamp_micros(F.lit(after).cast("bigint"))
+        mark = after.scalar() if isinstance(after, DataFrame) else F.timestamp_micros(F.lit(after).cast("bigint"))
         df = df.filter(F.col("ingestion_ts") > mark)
     df = df.filter((F.col("hvfhs_license_num") == licence)
                    & F.col("pickup_datetime").isNotNull()

@@ -21,7 +21,8 @@ from tripmart.operators import quality
 from tripmart.plans.pipeline import run_models
 from tripmart.plans.warehouse import Warehouse
 from tripmart.sources import seeds
-from tripmart.sources.ingest import after_mark, read_loads, read_raw
+from tripmart.sources.ingest import after_mark, load_ids, read_loads, read_raw
+from tripmart.sources.month_files import missing_month_files
 from tripmart.streaming.file_stream import ingest_landing
 
 
@@ -30,18 +31,21 @@ def raw_paths(root: str) -> dict[str, str]:
             "checkpoint": f"{root}/RAW/_checkpoints/landing"}
 
 
-def run_checks(wh: Warehouse, raw: DataFrame, loads: DataFrame, as_of=None) -> dict[str, list[dict]]:
+def run_checks(wh: Warehouse, raw: DataFrame, loads: DataFrame, as_of=None,
+               present: list[str] | None = None) -> dict[str, list[dict]]:
     """Data tests: raw not-null, raw freshness, key uniqueness, fact relationships.
 
     Every test covers its whole table: a dimension row that went missing, or
-    an old load with NULLs, is found by any later run. The scans are narrow
-    (three raw columns in one pass; the fact's ids and hour); freshness comes
-    from the list of loads.
+    an old load with NULLs, is found by any later run. The not-null test and
+    freshness come from the list of loads, which holds what each load
+    observed of itself; of the raw table only loads without metrics are read
+    (``present``: the loads that have a folder). The scans of the fact are
+    narrow (ids and hour).
     """
     spark = wh.spark
     fact = wh.logical("fact_trips")
     out = {
-        "not_null": quality.not_null_check(raw),
+        "not_null": quality.not_null_total(loads, raw, present),
         "freshness": quality.freshness_check(loads, as_of=as_of),
         "unique_fact_trip_id": quality.unique_check(fact, "trip_id"),
         "unique_dim_datetime_key": quality.unique_check(wh.logical("dim_datetime"), "datetime_key"),
@@ -71,8 +75,13 @@ def failures(report: dict) -> list[str]:
 
 def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: str,
                 holidays_csv: str | None = None, grain: str = "day", as_of=None,
-                key_buckets: int = 1, months: list[tuple[int, int]] | None = None) -> dict:
-    """One run; ``months`` are those the raw table should hold by now."""
+                key_buckets: int = 1, months: list[tuple[int, int]] | None = None,
+                full_refresh: list[str] | None = None) -> dict:
+    """One run; ``months`` are those the landing folder should have a good file of by now.
+
+    ``full_refresh`` names models to build anew, with all that follows from
+    them (see :func:`tripmart.plans.pipeline.run_models`).
+    """
     wh = Warehouse(spark, warehouse, grain=grain, key_buckets=key_buckets)
     paths = raw_paths(wh.root)
     loads = ingest_landing(spark, landing, paths["raw"], paths["rejected"], paths["checkpoint"],
@@ -80,13 +89,15 @@ def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: st
     raw = read_raw(spark, paths["raw"])
     report: dict = {"loads": loads}
     if months is not None:
-        report["missing_months"] = [r.month for r in quality.missing_months(spark, raw, months).collect()]
+        missing = missing_month_files(spark, landing, paths["rejected"], months)
+        report["missing_months"] = [r.month for r in missing.collect()]
     zones = seeds.read_zone_lookup_csv(spark, zones_csv)
     hol = seeds.read_holidays_csv(spark, holidays_csv) if holidays_csv else seeds.holidays(spark)
     stamps = read_loads(spark, paths["raw"])
-    mark = wh.high_water_mark() if wh.exists("stg_trips") else None
-    rep = run_models(wh, raw if mark is None else after_mark(raw, stamps, mark), zones, hol)
-    report |= {"models": rep.__dict__, "checks": run_checks(wh, raw, stamps, as_of)}
+    later = wh.exists("stg_trips") and "stg_trips" not in (full_refresh or [])
+    mark = wh.high_water_mark() if later else None
+    rep = run_models(wh, raw if mark is None else after_mark(raw, stamps, mark), zones, hol, full_refresh)
+    report |= {"models": rep.__dict__, "checks": run_checks(wh, raw, stamps, as_of, load_ids(spark, paths["raw"]))}
     return report | {"failures": failures(report)}
 
 
@@ -112,13 +123,15 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     ap.add_argument("--dates", help="months that must be present, e.g. 2025-01,2025-02 (bad ones are skipped)")
     ap.add_argument("--years", help="years that must be present, e.g. 2025-2026")
     ap.add_argument("--months", default="1-12", help="months of each of these years")
+    ap.add_argument("--full-refresh", default="", help="models to build anew, e.g. fact_trips,bi_daily_metrics")
     args = ap.parse_args(argv)
     try:
         months = target_months(args.dates, args.years, args.months)
     except ValueError as e:
         ap.error(str(e))
     report = run_monthly(spark or build_session(), args.landing, args.warehouse, args.zones, args.holidays,
-                         args.grain, key_buckets=args.key_buckets, months=months)
+                         args.grain, key_buckets=args.key_buckets, months=months,
+                         full_refresh=[m for m in args.full_refresh.split(",") if m])
     print(json.dumps(report, default=str, indent=2))
     return 1 if report["failures"] else 0
 

@@ -62,16 +62,46 @@ def open_periods(wh: Warehouse, periods: list, marts_done) -> list:
     return [p for p in periods if any(d not in closed for d in days(p))]
 
 
+#: What each model is built from.
+PARENTS = {
+    "stg_trips": [], "dim_location": [], "dim_trip_flags": [],
+    "fact_trips": ["stg_trips"], "dim_datetime": ["stg_trips"],
+    **{m: ["fact_trips", "dim_datetime", "dim_trip_flags"] for m in DATE_MARTS},
+    "bi_geo_time_metrics": ["fact_trips", "dim_datetime", "dim_location"],
+}
+
+
+def with_descendants(names) -> set[str]:
+    """The models and all that are built from them, directly or not."""
+    unknown = set(names) - PARENTS.keys()
+    if unknown:
+        raise ValueError(f"no such models: {sorted(unknown)}")
+    found = set(names)
+    while more := {m for m, parents in PARENTS.items() if found & set(parents)} - found:
+        found |= more
+    return found
+
+
 def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
-               holidays: DataFrame) -> RunReport:
-    """Bring every model in ``wh`` up to date with ``raw``."""
+               holidays: DataFrame, full_refresh: list[str] | None = None) -> RunReport:
+    """Bring every model in ``wh`` up to date with ``raw``.
+
+    The models in ``full_refresh`` and their descendants are built from
+    scratch, each beside its old table, which stays readable until the new
+    one is whole. To refresh staging, ``raw`` must hold all loads.
+    """
+    refresh = with_descendants(full_refresh or [])
+
+    def has(name: str) -> bool:
+        return name not in refresh and wh.exists(name)
+
     spark = wh.spark
     wh.recover()
     rep = RunReport()
     increment = None
 
     # Staging: high-water mark + keyed upsert.
-    if not wh.exists("stg_trips"):
+    if not has("stg_trips"):
         rep.first_run["stg_trips"] = True
         wh.overwrite("stg_trips", stage_trips(raw, FIRST_RUN))
         wh.set_high_water_mark(high_water_mark(wh.read("stg_trips")))
@@ -92,7 +122,7 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     # Fact: add staged trips whose key is new (pruned to touched periods).
     # A missing target is built from all of staging, whatever ran before.
     stg = wh.read("stg_trips", periods)
-    if wh.exists("fact_trips"):
+    if has("fact_trips"):
         rep.first_run["fact_trips"] = False
         fact_new = wh.with_period(core.build_fact(stg))
         existing = wh.read("fact_trips", periods)
@@ -105,7 +135,7 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
     wh.overwrite("dim_location", core.build_dim_location(zone_lookup))
     flags = core.build_dim_trip_flags(spark)   # 32 rows by construction; reused below
     wh.overwrite("dim_trip_flags", flags)
-    if wh.exists("dim_datetime"):
+    if has("dim_datetime"):
         # The calendar already spans every earlier staged pickup; widen it by
         # the touched periods only (staging's range only grows).
         rep.first_run["dim_datetime"] = False
@@ -120,7 +150,7 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
 
     # Marts: new dates only. The three date-grain marts come from one pass.
     dd = wh.read("dim_datetime")
-    done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if wh.exists(name)}
+    done = {name: wh.read(name) for name in [*DATE_MARTS, "bi_geo_time_metrics"] if has(name)}
     # New dates live in the touched periods; a missing mart needs the whole fact.
     mart_periods = None
     if periods is not None and len(done) == len(DATE_MARTS) + 1:

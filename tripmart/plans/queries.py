@@ -13,17 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.operators import core, quality
-from tripmart.operators.staging import high_water_mark, stage_trips
+from tripmart.operators import core, quality, reconcile
+from tripmart.operators.staging import high_water_mark, newest_load, stage_trips
 from tripmart.plans import oracle as O
-from tripmart.plans import slices
+from tripmart.plans import catalog, slices
 from tripmart.plans.models import FullBuild
 from tripmart.plans.pipeline import run_models
 from tripmart.plans.warehouse import Warehouse
 from tripmart.session import configure, scratch_dir
 from tripmart.sources import fixtures, seeds
-from tripmart.sources.ingest import read_raw
+from tripmart.schemas import RAW_NOT_NULL
+from tripmart.sources.ingest import read_loads, read_raw
 from tripmart.sources.landing import write_landing
+from tripmart.sources.month_files import missing_month_files
 from tripmart.streaming.file_stream import ingest_landing
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +132,60 @@ def two_load_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return wh
 
 
+@register("stg_fact_drift", O.with_ctes(O.two_load_ctes(), """
+SELECT coalesce(s.trip_id, f.trip_id) AS trip_id, coalesce(s.n, 0) AS staged_rows, coalesce(f.n, 0) AS fact_rows
+FROM (SELECT trip_id, COUNT(*) AS n FROM stg_2 GROUP BY 1) s
+FULL OUTER JOIN (SELECT trip_id, COUNT(*) AS n FROM fact_2 GROUP BY 1) f ON s.trip_id = f.trip_id
+WHERE s.n IS DISTINCT FROM f.n"""))
+def q_stg_fact_drift(spark, sf_dir):
+    """Keys that staging and the fact hold differently often after two loads."""
+    wh = two_load_warehouse(spark, sf_dir)
+    return reconcile.stg_fact_drift(wh.logical("stg_trips"), wh.logical("fact_trips"))
+
+
+@register("frozen_date_gap", O.with_ctes(O.two_load_ctes(), """
+SELECT * FROM (
+  SELECT coalesce(f.date_key, m.date_key) AS date_key, coalesce(f.n, 0) AS fact_trips,
+    coalesce(f.unknown, 0) AS unknown_flag_trips, coalesce(m.total_trips, 0) AS mart_trips,
+    coalesce(f.n, 0) - coalesce(f.unknown, 0) - coalesce(m.total_trips, 0) AS gap
+  FROM (SELECT CAST(pickup_datetime AS DATE) AS date_key, COUNT(*) AS n,
+          COUNT(*) FILTER (WHERE trip_flags_id NOT IN (SELECT trip_flags_id FROM dim_trip_flags)) AS unknown
+        FROM fact_2 GROUP BY 1) f FULL OUTER JOIN daily_2 m ON f.date_key = m.date_key)
+WHERE gap <> 0"""))
+def q_frozen_date_gap(spark, sf_dir):
+    """Dates whose daily mart was frozen before all their trips came."""
+    wh = two_load_warehouse(spark, sf_dir)
+    return reconcile.frozen_date_gap(wh.logical("fact_trips"), wh.logical("dim_trip_flags"),
+                                     wh.logical("bi_daily_metrics"))
+
+
+@register("layer_databases", O.with_ctes(O.two_load_ctes(), """
+SELECT d.day_name, CAST(SUM(m.total_trips) AS BIGINT) AS total_trips, COUNT(*) AS dates
+FROM daily_2 m JOIN (SELECT DISTINCT date_key, day_name FROM dd_2) d ON m.date_key = d.date_key GROUP BY 1"""))
+def q_layer_databases(spark, sf_dir):
+    """SQL over the layers as databases: trips by day of the week."""
+    catalog.register_databases(two_load_warehouse(spark, sf_dir))
+    return spark.sql("""
+        SELECT d.day_name, SUM(m.total_trips) AS total_trips, COUNT(*) AS dates
+        FROM MARTS.BI_DAILY_METRICS m
+        JOIN (SELECT DISTINCT date_key, day_name FROM MARTS.DIM_DATETIME) d ON m.date_key = d.date_key
+        GROUP BY d.day_name""")
+
+
+@register("full_refresh", O.with_ctes(
+    [*O.two_load_ctes(), ("fact_all", O.fact_sql("stg_2")),
+     ("daily_all", O.daily_sql("fact_all", "dd_2", "dim_trip_flags"))], "SELECT * FROM daily_all"))
+def q_full_refresh(spark, sf_dir):
+    """The daily mart after two loads and a full refresh of the fact: no date is frozen."""
+    configure(spark)
+    wh = Warehouse(spark, scratch_dir(spark, "refresh"), grain="month")
+    raw = fixtures.raw_trips(spark, sf_dir)
+    zones, hol = fixtures.zone_lookup(spark, sf_dir), seeds.holidays(spark)
+    run_models(wh, fixtures.raw_trips_load(spark, sf_dir, 1), zones, hol)
+    run_models(wh, raw, zones, hol, full_refresh=["fact_trips"])
+    return wh.logical("bi_daily_metrics")
+
+
 def _two_load(table: str) -> Builder:
     def build(spark, sf_dir):
         return two_load_warehouse(spark, sf_dir).logical(table)
@@ -173,7 +229,7 @@ def q_layer_views(spark, sf_dir):
 def q_high_water_mark(spark, sf_dir):
     """Rows a later run stages: the whole raw table past staging's mark after load 1."""
     configure(spark)
-    mark = high_water_mark(stage_trips(fixtures.raw_trips_load(spark, sf_dir, 1)))
+    mark = newest_load(stage_trips(fixtures.raw_trips_load(spark, sf_dir, 1)))
     return stage_trips(fixtures.raw_trips(spark, sf_dir), after=mark)
 
 
@@ -183,13 +239,27 @@ RAW_LOADED = [c for c in O.RAW_COLUMNS if c != "ingestion_ts"]
 BLANK_NULL_MONTHS = (6,)   # June files write a missing flag as ' '
 
 
+_INGESTED: dict[tuple, dict[str, str]] = {}
+
+
 def ingest_two_loads(spark: SparkSession, sf_dir: str, blank_null_months=()) -> DataFrame:
     """Write each load's monthly files, then run the file stream after each.
 
     Returns the raw table. The load stamp is the wall clock of each run, so
     results compare on the loaded columns.
     """
+    return read_raw(spark, ingest_folders(spark, sf_dir, blank_null_months)["raw"])
+
+
+def ingest_folders(spark: SparkSession, sf_dir: str, blank_null_months=()) -> dict[str, str]:
+    """The landing, raw and quarantine folders after both loads were ingested.
+
+    Built once per session, input folder and kind of files.
+    """
     configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(blank_null_months))
+    if key in _INGESTED:
+        return _INGESTED[key]
     root = scratch_dir(spark, "ingest")
     raw_path, rejected = f"{root}/RAW/fhv_trips", f"{root}/RAW/_rejected_files"
     for load in (1, 2):
@@ -197,7 +267,8 @@ def ingest_two_loads(spark: SparkSession, sf_dir: str, blank_null_months=()) ->
                       blank_null_months)
         ingest_landing(spark, f"{root}/landing", raw_path, rejected, f"{root}/_checkpoints/landing",
                        grain="month")
-    return read_raw(spark, raw_path)
+    _INGESTED[key] = {"landing": f"{root}/landing", "raw": raw_path, "rejected": rejected}
+    return _INGESTED[key]
 
 
 _FILE_GROUPS = """
@@ -229,6 +300,7 @@ SELECT row_number() OVER (ORDER BY ingestion_ts) AS load_number, COUNT(*) AS row
 def q_load_stamps(spark, sf_dir):
     """Rows and distinct load stamps of each load of the ingested raw table."""
     began = dt.datetime.now(dt.timezone.utc)
+    _INGESTED.clear()  # loads of this call, not of an earlier query
     loads = ingest_two_loads(spark, sf_dir).groupBy("load_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.countDistinct("ingestion_ts").alias("stamps"),
         F.min("ingestion_ts").alias("first"))
@@ -237,6 +309,22 @@ def q_load_stamps(spark, sf_dir):
                         "stamps", (F.col("first") >= F.lit(began)).alias("stamped_now"))
 
 
+@register("not_null_by_load", O.with_ctes(
+    [*O.base_ctes(), ("per_load", "SELECT ingestion_ts, COUNT(*) AS row_count, "
+      + ", ".join(f"COUNT(*) FILTER (WHERE {col} IS NULL) AS {col}" for col in RAW_NOT_NULL)
+      + " FROM raw_trips GROUP BY 1")], "\nUNION ALL\n".join(
+        f"SELECT row_number() OVER (ORDER BY ingestion_ts) AS load_number, row_count, '{col}' AS column_name, "
+        f"{col} AS null_rows, CASE WHEN {col} > 0 THEN 'fail' ELSE 'pass' END AS status FROM per_load"
+        for col in RAW_NOT_NULL)))
+def q_not_null_by_load(spark, sf_dir):
+    """Not-null checks of each load, from the metrics it observed while it was written."""
+    loads = read_loads(spark, ingest_folders(spark, sf_dir)["raw"])
+    # One row a load and column: the window is over the list of loads.
+    number = F.row_number().over(Window.partitionBy("column_name").orderBy("ingestion_ts")).cast("long")
+    return quality.not_null_by_load(loads).select(number.alias("load_number"), "row_count", "column_name", "null_rows",
+                                                  "status")
+
+
 # --- data-quality checks and month completeness ----------------------------
 
 FRESHNESS_AS_OF = dt.datetime(2027, 3, 15, tzinfo=dt.timezone.utc)
@@ -308,6 +396,22 @@ def q_missing_months(spark, sf_dir):
     return quality.missing_months(spark, FullBuild(spark, sf_dir).raw, months)
 
 
+@register("missing_month_files", O.with_ctes(
+    [*O.base_ctes(), ("files", _FILE_GROUPS),
+     ("bad_files", _BAD_FILES.format(months=", ".join(map(str, BLANK_NULL_MONTHS))))], """
+SELECT m AS month, COUNT(f.file_month) AS files, COUNT(b.file_month) AS rejected
+FROM (SELECT strftime(make_date(CAST(y AS INTEGER), CAST(mo AS INTEGER), 1), '%Y-%m') AS m
+      FROM range(2023, 2028) t(y), range(1, 13) s(mo)) target
+LEFT JOIN (SELECT DISTINCT load_key, file_month FROM files WHERE file_month IS NOT NULL) f ON f.file_month = m
+LEFT JOIN bad_files b ON b.load_key = f.load_key AND b.file_month = f.file_month
+GROUP BY m HAVING COUNT(f.file_month) = COUNT(b.file_month)"""))
+def q_missing_month_files(spark, sf_dir):
+    """Months without a good file after both loads were ingested, files of June with blanks refused."""
+    at = ingest_folders(spark, sf_dir, BLANK_NULL_MONTHS)
+    months = quality.month_range(MISSING_MONTHS_YEARS, MISSING_MONTHS_MONTHS)
+    return missing_month_files(spark, at["landing"], at["rejected"], months)
+
+
 @register("month_selection", O.with_ctes(
     O.base_ctes(), f"SELECT {', '.join(O.RAW_COLUMNS)} FROM raw_trips "
                    "WHERE strftime(pickup_datetime, '%Y-%m') IN ('2024-02', '2026-07')"))

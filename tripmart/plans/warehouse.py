@@ -54,6 +54,7 @@ STATE: dict[str, str] = {
     "_pending_copy": "copy string, target string",
     "_high_water_mark": "ingestion_micros long",
     "_layout": "key_buckets int, grain string",
+    "_tables": "name string, folder string",
 }
 
 
@@ -73,6 +74,7 @@ class Warehouse:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self._layout, self._layout_read = (key_buckets, grain), False
+        self._tables: dict[str, str] | None = None
 
     def _stored_layout(self) -> tuple[int, str]:
         if not self._layout_read:
@@ -125,8 +127,17 @@ class Warehouse:
         return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex}"
 
     # -- layout -------------------------------------------------------------
+    def _folders(self) -> dict[str, str]:
+        """Folder of each table that a full refresh has switched; others have their name."""
+        if self._tables is None:
+            self._tables = {r[0]: r[1] for r in self.read_state("_tables") or []}
+        return self._tables
+
+    def _layer(self, name: str) -> str:
+        return f"{self.root}/{layer_name(TABLES[name].layer, 'PUBLIC')}"
+
     def path(self, name: str) -> str:
-        return f"{self.root}/{layer_name(TABLES[name].layer, 'PUBLIC')}/{name}"
+        return f"{self._layer(name)}/{self._folders().get(name, name)}"
 
     def exists(self, name: str) -> bool:
         return path_exists(self.spark, f"{self.path(name)}/_SUCCESS")
@@ -193,9 +204,25 @@ class Warehouse:
 
         The commit writes ``_SUCCESS`` at the table root, which is what
         :meth:`exists` looks for, so a first build that dies midway counts
-        as not built.
+        as not built. A table that exists is built beside itself and then
+        switched to by one small state write: a stop at any point leaves the
+        old or the new table, whole. The folder switched from stays until the
+        next refresh, for those who still read it.
         """
-        self._writer(name, df, "overwrite").parquet(self.path(name))
+        if not self.exists(name):
+            self._writer(name, df, "overwrite").parquet(self.path(name))
+            return
+        before, folder = self._folders().get(name, name), f"{name}-{uuid.uuid4().hex}"
+        self._writer(name, df, "errorifexists").parquet(f"{self._layer(name)}/{folder}")
+        self._switch(name, folder)
+        for other in child_names(self.spark, self._layer(name)):
+            if (other == name or other.startswith(f"{name}-")) and other not in (before, folder):
+                self.drop_scratch(f"{self._layer(name)}/{other}")
+
+    def _switch(self, name: str, folder: str) -> None:
+        folders = {**self._folders(), name: folder}
+        self.write_state("_tables", sorted(folders.items()))
+        self._tables = folders
 
     def replace_periods(self, name: str, df: DataFrame) -> None:
         """Replace only the partitions ((period, bucket) cells) present in ``df``."""

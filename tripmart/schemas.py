@@ -14,6 +14,9 @@ MEASURES = ["trip_miles", "trip_time", *MONEY]
 FLAGS = ["shared_request_flag", "shared_match_flag", "access_a_ride_flag",
          "wav_request_flag", "wav_match_flag"]
 
+# The raw table's declared not-null checks.
+RAW_NOT_NULL = ["pickup_datetime", "PULocationID", "DOLocationID"]
+
 
 def _struct(fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])

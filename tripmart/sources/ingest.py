@@ -20,19 +20,28 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.calendar import period_of
 from tripmart.functions.casts import range_checked_int, text_to_bool
 from tripmart.operators.joins import bounded_broadcast
-from tripmart.schemas import FLAGS, LANDING, RAW, with_field
+from tripmart.schemas import FLAGS, LANDING, RAW, RAW_NOT_NULL, with_field
+from tripmart.session import child_names
 
 FILE = "_file"      # the unit of acceptance
 PATH = "_path"      # a Parquet file of it
 LOAD_ID = "load_id"
 
+#: What a load says of itself: its rows, and rows without a value that must be there.
+METRICS = ["row_count", *[f"null_{c}" for c in RAW_NOT_NULL]]
+
+
+def load_metrics() -> list[Column]:
+    return [F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in RAW_NOT_NULL]]
+
+
 def _typed(name: str) -> Column:
     src = F.col(name)
     if name in FLAGS:
@@ -45,16 +54,14 @@ def _typed(name: str) -> Column:
     return src.try_cast(RAW[name].dataType)
 
 
-def cast_batch(batch: DataFrame) -> DataFrame:
-    """Typed raw columns, the source file and a per-row ``_bad`` marker.
+def bad_row() -> Column:
+    """Whether some source value is non-NULL but its typed value is NULL (the cast failed)."""
+    return reduce(lambda a, b: a | b, [F.col(n).isNotNull() & _typed(n).isNull() for n in LANDING.fieldNames()])
 
-    A row is bad when some source value is non-NULL but its typed value is
-    NULL (the cast failed).
-    """
-    names = [f.name for f in LANDING.fields]
-    typed = {n: _typed(n) for n in names}
-    bad = reduce(lambda a, b: a | b, [F.col(n).isNotNull() & typed[n].isNull() for n in names])
-    return batch.select(*[typed[n].alias(n) for n in names], F.col(FILE), bad.alias("_bad"))
+
+def cast_batch(batch: DataFrame) -> DataFrame:
+    """Typed raw columns and the unit they come from."""
+    return batch.select(*[_typed(n).alias(n) for n in LANDING.fieldNames()], F.col(FILE))
 
 
 def unit_of(path: Column) -> Column:
@@ -64,30 +71,37 @@ def unit_of(path: Column) -> Column:
 
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Rows of the files with their path; a file that cannot be read ends
-    early instead of failing the job, which :func:`unreadable` finds."""
+    early instead of failing the job, which :func:`refused` finds."""
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
     return rows.withColumn(PATH, F.col("_metadata.file_path")).withColumn(FILE, unit_of(F.col(PATH)))
 
 
-def unreadable(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(unit, reason) of files whose rows cannot all be read.
+def refused(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(unit, reason, bad_rows) of units to skip, from one pass over the files.
 
     A count without columns comes from the footers alone; reading every
-    column as declared must give as many rows. Both run on the executors.
+    column as declared must give as many rows, else the file is unreadable.
+    The same pass counts the rows with a value that does not fit its type.
+    Both run on the executors.
     """
     listed = spark.createDataFrame([(p,) for p in paths], f"{PATH} string")
     stated = _read(spark, paths, T.StructType()).groupBy(PATH).agg(F.count(F.lit(1)).alias("stated"))
-    typed = _read(spark, paths, LANDING)
     # Rows counted by a hash of all columns, so that the reader decodes each
     # of them (a plain count of the hash would be planned without columns).
     even = F.xxhash64(*LANDING.fieldNames()) % 2 == 0
-    decoded = (typed.select(PATH, even.alias("even")).groupBy(PATH)
-               .agg((F.count_if("even") + F.count_if(~F.col("even"))).alias("decoded")))
-    seen = listed.join(stated, PATH, "left").join(decoded, PATH, "left")
+    seen = (_read(spark, paths, LANDING).select(PATH, even.alias("even"), bad_row().alias("bad")).groupBy(PATH)
+            .agg((F.count_if("even") + F.count_if(~F.col("even"))).alias("decoded"), F.count_if("bad").alias("bad")))
+    files = listed.join(stated, PATH, "left").join(seen, PATH, "left")
     empty = (F.col("stated") == 0) & F.col("decoded").isNull()
-    bad = F.col("stated").isNull() | (F.coalesce("decoded", F.lit(0)) < F.col("stated")) & ~empty
-    return seen.filter(bad).select(unit_of(F.col(PATH)).alias(FILE), F.lit("unreadable").alias("reason"),
-                                   F.lit(None).cast("long").alias("bad_rows"))
+    broken = F.col("stated").isNull() | (F.coalesce("decoded", F.lit(0)) < F.col("stated")) & ~empty
+    units = files.groupBy(unit_of(F.col(PATH)).alias(FILE)).agg(F.max(broken).alias("broken"), F.sum("bad").alias("bad"))
+
+    def reason(name: str, rows: Column) -> Column:
+        return F.struct(F.lit(name).alias("reason"), rows.cast("long").alias("bad_rows"))
+
+    reasons = F.array_compact(F.array(F.when(F.col("broken"), reason("unreadable", F.lit(None))),
+                                      F.when(F.col("bad") > 0, reason("value", F.col("bad")))))
+    return units.select(FILE, F.explode(reasons).alias("r")).select(FILE, "r.*")
 
 
 def load_batch(spark: SparkSession, paths: list[str], raw_path: str, rejected_path: str, load_id: str,
@@ -97,26 +111,28 @@ def load_batch(spark: SparkSession, paths: list[str], raw_path: str, rejected_pa
 
     Bad units are found first and written as the load's quarantine rows (at
     most one a file and reason); the good ones are then read again, so no
-    batch has to fit in memory. ``stamp`` is the load's ``ingestion_ts``.
+    batch has to fit in memory. The load's metrics are observed while it is
+    written, and kept with its row in the list of loads. ``stamp`` is the load's ``ingestion_ts``.
     """
-    typed = cast_batch(_read(spark, paths, LANDING))
-    wrong = typed.filter("_bad").groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows")).select(
-        FILE, F.lit("value").alias("reason"), "bad_rows")
     when = F.lit(stamp).cast("timestamp").alias("ingestion_ts")
     rejected = f"{rejected_path}/{LOAD_ID}={load_id}"
-    (unreadable(spark, paths).unionByName(wrong).distinct().select("*", when).coalesce(1)
-        .write.mode("overwrite").parquet(rejected))
+    refused(spark, paths).select("*", when).coalesce(1).write.mode("overwrite").parquet(rejected)
     bad = spark.read.parquet(rejected).select(FILE).distinct()
     n_bad = bad.count()
-    good = typed.join(bounded_broadcast(bad, rows=n_bad), FILE, "left_anti")
+    good = cast_batch(_read(spark, paths, LANDING)).join(bounded_broadcast(bad, rows=n_bad), FILE, "left_anti")
     out = good.select(*[F.col(f.name) for f in RAW.fields if f.name != "ingestion_ts"], when)
     out = out.withColumn("pickup_period", period_of("pickup_datetime", grain))
+    out = out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
+    # Observed above the last shuffle: only the tasks that write are counted,
+    # and a task that is run again counts once.
+    seen = Observation(f"load {load_id}")
     # Static: a replay must not keep partitions it no longer writes.
-    (out.hint("rebalance", "pickup_period").sortWithinPartitions("pickup_period", "pickup_datetime")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("pickup_period")
-        .parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
+    (out.observe(seen, *load_metrics()).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("pickup_period").parquet(f"{raw_path}/{LOAD_ID}={load_id}"))
+    metrics = seen.get
     # Written last: a load listed here is complete (a replay lists it again).
-    (spark.range(1).select(when).coalesce(1).write.mode("overwrite").parquet(f"{loads_path(raw_path)}/{LOAD_ID}={load_id}"))
+    (spark.range(1).select(when, *[F.lit(metrics.get(m) or 0).cast("long").alias(m) for m in METRICS])
+        .coalesce(1).write.mode("overwrite").parquet(f"{loads_path(raw_path)}/{LOAD_ID}={load_id}"))
     return {"load_id": load_id, "rejected_files": n_bad}
 
 
@@ -125,8 +141,17 @@ def loads_path(raw_path: str) -> str:
 
 
 def read_loads(spark: SparkSession, raw_path: str) -> DataFrame:
-    """(ingestion_ts, load_id) of every load, one small row each."""
-    return spark.read.schema(f"ingestion_ts timestamp, {LOAD_ID} string").parquet(loads_path(raw_path))
+    """(ingestion_ts, METRICS, load_id) of every load, one small row each.
+
+    Loads written before metrics were kept have NULL metrics.
+    """
+    metrics = ", ".join(f"{m} long" for m in METRICS)
+    return spark.read.schema(f"ingestion_ts timestamp, {metrics}, {LOAD_ID} string").parquet(loads_path(raw_path))
+
+
+def load_ids(spark: SparkSession, raw_path: str) -> list[str]:
+    """Ids of the loads that have a folder, from its listing."""
+    return [n.split("=", 1)[1] for n in child_names(spark, raw_path) if n.startswith(f"{LOAD_ID}=")]
 
 
 def after_mark(raw: DataFrame, loads: DataFrame, mark: int) -> DataFrame:
