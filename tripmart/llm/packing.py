@@ -30,7 +30,7 @@ from tripmart.llm.common import documents, map_batches, stored
 
 #: Bytes of pre-tokens kept with their ids in a Python worker (it starts
 #: afresh beyond that), what one takes besides its characters, and the longest kept.
-CACHE_BYTES, PART_BYTES, CACHE_CHARS = 96 << 20, 200, 48
+CACHE_BYTES, PART_BYTES, CACHE_CHARS = 192 << 20, 200, 48
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
