@@ -92,6 +92,39 @@ def test_words_like_brute_force(spark, monkeypatch, shard):
     assert Counter((r["doc_id"], *tuple(r)[1:]) for r in found) == Counter((r[0], *want[r]) for r in rows)
 
 
+def test_only_shared_windows_are_sent(spark, monkeypatch):
+    """Near copies over several shards: rows that the shards exchange follow
+    what the copies share, not their windows; results stay exact."""
+    monkeypatch.setattr(repeats, "SHARD_PIECES", 8)
+    rng = random.Random(8)
+    body = "".join(rng.choices("abcdefgh", k=500))
+    rows = []
+    for i in range(60):  # an edit of its own in each copy
+        at = rng.randrange(100, 400)
+        rows.append((i, body[:at] + f"<{i:04d}>" + body[at:]))
+    tables, stored = {}, repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, name: tables.setdefault(name, stored(df, name)))
+    docs = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], SCHEMA)
+    got = suffix_dedup.remove_repeats(docs, span=100, gram=16).collect()
+    want = brute_bytes([t.encode() for _, t in rows], 100)
+    assert sorted(tuple(r) for r in got) == sorted((i, *x) for (i, _), x in zip(rows, want, strict=True))
+    found = tables["found"]
+    pieces, filters = found.where("body is not null"), found.where("hashes is not null")
+    assert pieces.count() > 8 and filters.count() > 1
+    assert pieces.groupBy("fp", "ph").count().where("count > 1").count() == 0
+    assert filters.selectExpr("sum(length(hashes) / 4)").first()[0] <= pieces.selectExpr("sum(n)").first()[0]
+
+
+def test_window_hashes_follow_windows():
+    rng = np.random.default_rng(4)
+    text = rng.integers(0, 3, 300).astype(np.uint64)
+    for span in (1, 2, 3, 7, 20, 64, 100):
+        hashes = repeats.window_hashes(text * np.uint64(0x9E3779B97F4A7C15), span)
+        windows = [text[i:i + span].tobytes() for i in range(300 - span + 1)]
+        assert len(hashes) == len(windows)
+        assert len(set(zip(windows, hashes.tolist(), strict=True))) == len(set(windows)) == len(set(hashes.tolist()))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.remove_repeats(docs).count() == 0

@@ -9,8 +9,9 @@ period, can hold a repeat. Equal
 pieces are counted, not repeated; of each different piece one copy goes to
 the index shard of its file number, where the operator's own index finds the
 repeated windows. A file number with more pieces than a shard may hold is
-dealt to several shards, which then exchange the digests of their windows in
-sorted order.
+dealt to several shards. Those first exchange 32-bit filters of their windows,
+packed and cut into slices; only windows that another shard may hold as well
+then send a digest, and the digests are merged in sorted order.
 
 Positions count symbols from the start of a document. Every step is exact:
 no window is dropped, and hashes have at least 128 bits in all where equality
@@ -36,6 +37,7 @@ from tripmart.llm.common import map_batches, shuffle_width, stored
 SLICE, RUN, SHARD_PIECES, BLOCK = 1 << 21, 512, 4096, 1 << 20
 GROUP_BYTES = 1 << 20
 KEY = ["fp", "ph"]
+FOUND = ["fp", "ph", "lo", "hi", "salt", "salts", "ord", "key", "start", "n", "body", "stands", "part", "hashes"]
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,22 @@ def gram_hashes(h: np.ndarray, gram: int) -> np.ndarray:
     return mix(h)
 
 
+def window_hashes(h: np.ndarray, span: int) -> np.ndarray:
+    """Hash of every ``span`` consecutive symbols, for any ``span``: runs of
+    1, 2, 4, ... symbols, put together by the binary digits of ``span``."""
+    factor, size, done, out = 0x9E3779B97F4A7C15, 1, 0, None
+    n = len(h) - span + 1
+    while True:
+        if span & size:
+            part = h[done:done + n]
+            out = part.copy() if out is None else out * np.uint64(factor) + part
+            done += size
+        if 2 * size > span:
+            return mix(out)
+        h = h[:-size] * np.uint64(factor) + h[size:]
+        factor, size = factor * factor % (1 << 64), size * 2
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     size = 1
     while size * 2 <= width:
@@ -151,13 +169,33 @@ def _bodies(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFram
             yield pd.DataFrame(out, columns=["fp", "ph", "salt", "salts", "ord", "key", "start", "n", "body"])
 
 
+def _runs(hit: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive windows of one piece."""
+    if not len(hit):
+        return hit, hit
+    edge = np.r_[True, (np.diff(hit) > 1) | (np.diff(row[hit]) != 0)]
+    return hit[edge], hit[np.r_[edge[1:], True]]
+
+
+def _filter_hashes(rows: pd.DataFrame, n: np.ndarray, spec: Spec) -> np.ndarray:
+    """Hash of every window of the pieces, in order of rows."""
+    size = n + spec.span - 1
+    body = b"".join(rows["body"])
+    symbols = np.frombuffer(body, np.dtype(f"u{len(body) // int(size.sum())}"))
+    end = np.repeat(np.cumsum(size), size)
+    inside = np.flatnonzero(end - np.arange(len(symbols)) >= spec.span)
+    return window_hashes(spec.hashed(symbols), spec.span)[inside]
+
+
 def _index(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFrame]:
     """Index blocks of whole shards, rows sorted by (fp, salt).
 
     ``spec.index`` returns, for the windows of a block in order of its rows,
     whether each is to be removed, and whether it stands for its equals in
     the block. Rows out: removed windows [lo, hi) of a piece; and, for file
-    numbers with several shards, each different window once with its digest.
+    numbers with several shards, the pieces themselves, a bit a window for
+    those that stand for their equals, and each shard's filter, a row a
+    slice: 32 bits of each different window.
     """
     held: list[pd.DataFrame] = []
 
@@ -167,19 +205,28 @@ def _index(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFrame
         n = rows["n"].to_numpy().astype(np.int64)
         row = np.repeat(np.arange(len(rows)), n)
         at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        hit = np.flatnonzero(removed)
-        edge = np.r_[True, (np.diff(hit) > 1) | (np.diff(row[hit]) != 0)] if len(hit) else np.empty(0, bool)
-        first = hit[edge]
-        last = hit[np.r_[edge[1:], True]] if len(hit) else hit
-        shared = np.flatnonzero(stands & (rows["salts"].to_numpy() > 1)[row])
-        size = len(rows["body"].iloc[0]) // (n[0] + spec.span - 1)
-        body = rows["body"].tolist()
-        digests = [xxhash.xxh3_128_digest(memoryview(body[r])[a * size:(a + spec.span) * size])
-                   for r, a in zip(row[shared].tolist(), at[shared].tolist(), strict=True)]
-        pick = np.r_[row[first], row[shared]]
-        out = rows[["fp", "ph", "ord", "key", "start"]].iloc[pick].reset_index(drop=True)
-        return out.assign(lo=np.r_[at[first], at[shared]], hi=np.r_[at[last] + 1, at[shared] + 1],
-                          digest=[None] * len(first) + digests)
+        first, last = _runs(np.flatnonzero(removed), row)
+        out = [rows[KEY].iloc[row[first]].assign(lo=at[first], hi=at[last] + 1)]
+        split = (rows["salts"] > 1).to_numpy()
+        if split.any():
+            end = np.cumsum(n)
+            bits = [np.packbits(stands[e - k:e]).tobytes() for e, k in zip(end[split], n[split], strict=True)]
+            out.append(rows.loc[split, [*KEY, "salt", "salts", "ord", "key", "start", "n", "body"]].assign(stands=bits))
+            sent = stands[split[row]]
+            of, rows, n = row[split[row]][sent], rows[split], n[split]
+            hashes = _filter_hashes(rows, n, spec)[sent]
+            of = (np.cumsum(split) - 1)[of]
+            shard = pd.DataFrame({c: rows[c].to_numpy()[of] for c in ("fp", "salt")})
+            shard["part"] = ((hashes >> np.uint64(32)) % rows["salts"].to_numpy().astype(np.uint64)[of]).astype(np.int32)
+            low = hashes.astype(np.uint32)
+            filters = [(*key, np.unique(low[which]).tobytes())
+                       for key, which in shard.groupby(["fp", "salt", "part"]).indices.items()]
+            out.append(pd.DataFrame(filters, columns=["fp", "salt", "part", "hashes"]))
+        types = {c: object if c in ("body", "stands", "hashes") else "Int64" for c in FOUND}
+        done = pd.concat([o.reindex(columns=FOUND).astype(types) for o in out], ignore_index=True)
+        for c in ("body", "stands", "hashes"):
+            done[c] = done[c].where(done[c].notna(), None)
+        return done
 
     for batch in batches:
         held.append(batch)
@@ -202,11 +249,46 @@ def _index(batches: Iterator[pd.DataFrame], spec: Spec) -> Iterator[pd.DataFrame
         yield solve(pd.concat(held, ignore_index=True))
 
 
+def _shared(filters: pd.DataFrame) -> pd.DataFrame:
+    """One slice of one file number: what of each shard's filter another holds too."""
+    lists = [np.frombuffer(h, np.uint32) for h in filters["hashes"]]
+    values, shards = np.unique(np.concatenate(lists), return_counts=True)
+    values = values[shards > 1]
+    both = [values[np.isin(values, own, assume_unique=True)].tobytes() for own in lists]
+    out = filters[["fp", "salt", "part"]].assign(hashes=both)
+    return out[out["hashes"].str.len() > 0]
+
+
+def _digests(pieces: pd.DataFrame, shared: pd.DataFrame, spec: Spec) -> pd.DataFrame:
+    """The different windows of one shard that its shared filter lets through, with digests."""
+    columns = ["fp", "ph", "ord", "key", "start", "lo", "hi", "digest"]
+    if not len(pieces) or not len(shared):
+        return pd.DataFrame(columns=columns)
+    n = pieces["n"].to_numpy().astype(np.int64)
+    hashes = _filter_hashes(pieces, n, spec)
+    row = np.repeat(np.arange(len(pieces)), n)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    part, low = (hashes >> np.uint64(32)) % np.uint64(pieces["salts"].iloc[0]), hashes.astype(np.uint32)
+    sent = np.zeros(len(row), bool)
+    for p, known in zip(shared["part"].tolist(), shared["hashes"], strict=True):
+        mine = np.flatnonzero(part == np.uint64(p))
+        sent[mine] = np.isin(low[mine], np.frombuffer(known, np.uint32))
+    sent &= np.concatenate([np.unpackbits(np.frombuffer(bits, np.uint8), count=k).astype(bool)
+                            for bits, k in zip(pieces["stands"], n.tolist(), strict=True)])
+    row, at = row[sent], at[sent]
+    body = pieces["body"].tolist()
+    size = len(body[0]) // (int(n[0]) + spec.span - 1)
+    out = pieces[["fp", "ph", "ord", "key", "start"]].iloc[row].reset_index(drop=True)
+    return out.assign(lo=at, hi=at + 1, digest=[
+        xxhash.xxh3_128_digest(memoryview(body[r])[a * size:(a + spec.span) * size])
+        for r, a in zip(row.tolist(), at.tolist(), strict=True)])
+
+
 def _merge(batches: Iterator[pd.DataFrame], keep_first: bool) -> Iterator[pd.DataFrame]:
     """Merge the shards' windows, sorted by digest, then document order.
 
-    Binary search of each digest in the merged order tells how many shards
-    hold it. The last digest's rows wait for the next batch.
+    Binary search of each digest in the merged order tells how often it
+    occurs. The last digest's rows wait for the next batch.
     """
     held = None
     columns = ["fp", "ph", "lo", "hi"]
@@ -261,13 +343,19 @@ def repeated(docs: DataFrame, spec: Spec, store_pieces: bool) -> DataFrame:
     bodies = map_batches(docs.join(asked, "key").select("key", "ord", "text", "asked"), lambda it: _bodies(it, spec),
                          "fp long, ph long, salt int, salts int, ord long, key long, start long, n int, body binary")
     shards = bodies.repartition(n, "fp", "salt").sortWithinPartitions("fp", "salt")
-    found = stored(map_batches(shards, lambda it: _index(it, spec), "fp long, ph long, ord long, key long, "
-                               "start long, lo int, hi int, digest binary"), "found")
-    merged = found.where("digest is not null").repartition(n, "digest").sortWithinPartitions(
-        "digest", "ord", "key", F.col("start") + F.col("lo"))
+    found = stored(map_batches(shards, lambda it: _index(it, spec), "fp long, ph long, lo int, hi int, salt int, "
+                               "salts int, ord long, key long, start long, n int, body binary, stands binary, part int, "
+                               "hashes binary"), "found")
+    shared = found.where("hashes is not null").select("fp", "salt", "part", "hashes").groupBy(
+        "fp", "part").applyInPandas(_shared, "fp long, salt int, part int, hashes binary")
+    split = found.where("body is not null").drop("lo", "hi", "part", "hashes")
+    sent = split.groupBy("fp", "salt").cogroup(shared.groupBy("fp", "salt")).applyInPandas(
+        lambda a, b: _digests(a, b, spec),
+        "fp long, ph long, ord long, key long, start long, lo int, hi int, digest binary")
+    merged = sent.repartition(n, "digest").sortWithinPartitions("digest", "ord", "key", F.col("start") + F.col("lo"))
     keep_first = spec.keep_first
     across = map_batches(merged, lambda it: _merge(it, keep_first), "fp long, ph long, lo int, hi int")
-    inside = (found.where("digest is null").select("fp", "ph", "lo", "hi").unionByName(across)
+    inside = (found.where("lo is not null").select("fp", "ph", "lo", "hi").unionByName(across)
               .groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
     told = kinds.join(inside, KEY, "left").where("copies > 1 or runs is not null")
     whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))
