@@ -47,12 +47,30 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
     return F.broadcast(df) if n <= limit else df
 
 
-def anti_join_keys(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+def anti_join_keys(df: DataFrame, existing: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``keys`` do not occur in ``existing``.
 
     Equals ``NOT IN`` for the non-NULL keys it is used with, without the
     null-aware broadcast plan ``NOT IN`` forces. The existing side is cut to
     its distinct keys first: a partial aggregate collapses a hot key before
-    the shuffle, and AQE splits a skewed partition of the probe side.
+    the shuffle, and AQE splits a skewed partition of the probe side. With
+    ``rows``, a known bound on the rows of ``existing``, a small existing
+    side is broadcast and ``df`` is not shuffled.
     """
-    return df.join(existing.select(*keys).distinct(), keys, "left_anti")
+    held = existing.select(*keys).distinct()
+    return df.join(held if rows is None else bounded_broadcast(held, rows=rows), keys, "left_anti")
+
+
+def anti_join_increment(df: DataFrame, existing: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``anti_join_keys`` for an increment of at most ``rows`` rows against a
+    much larger ``existing``.
+
+    The large side is cut to the keys it shares with the increment first, a
+    semi-join. Up to the broadcast limit that join moves no row of the large
+    side. Beyond it, Spark's run-time Bloom filter of the increment's keys
+    (``SQL_CONF``; the increment must carry a filter) drops rows of the large
+    side before the shuffle. What is left is no more than the increment.
+    """
+    asked = bounded_broadcast(df.select(*keys).distinct(), rows=rows)
+    shared = existing.select(*keys).join(asked, keys, "left_semi")
+    return anti_join_keys(df, shared, keys, rows)

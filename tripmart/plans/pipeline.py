@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators import core, marts
-from tripmart.operators.joins import anti_join_keys
+from tripmart.operators.joins import anti_join_increment, anti_join_keys
 from tripmart.operators.staging import FIRST_RUN, high_water_mark, stage_trips
 from tripmart.plans.warehouse import Warehouse
 
@@ -111,18 +111,27 @@ def run_models(wh: Warehouse, raw: DataFrame, zone_lookup: DataFrame,
         rep.high_water_mark = wh.high_water_mark()
         # Written once: periods, cells, mark and merge all read the copy.
         increment, new, cells, touched, new_mark = wh.store_increment(stage_trips(raw, after=rep.high_water_mark))
-        periods = sorted(set(touched) | set(wh.pending_periods()))
+        pending = wh.pending_periods()
+        periods = sorted(set(touched) | set(pending))
         wh.set_pending_periods(periods)
-        wh.upsert_cells("stg_trips", new, cells, touched, "trip_id")
+        rows = new.count()
+        wh.upsert_cells("stg_trips", new, cells, touched, "trip_id", rows)
         if touched:
             # Written after the upsert commits, so the mark never runs ahead of staging.
             wh.set_high_water_mark(new_mark, previous=rep.high_water_mark)
     rep.periods = periods or []
 
-    # Fact: add staged trips whose key is new (pruned to touched periods).
+    # Fact: add staged trips whose key is new. After a finished run only the
+    # increment can hold such trips, and only its cells the keys to compare;
+    # after a run that stopped midway, all of staging's touched periods can.
     # A missing target is built from all of staging, whatever ran before.
     stg = wh.read("stg_trips", periods)
-    if has("fact_trips"):
+    if has("fact_trips") and increment and not pending:
+        rep.first_run["fact_trips"] = False
+        fact_new = wh.with_period(core.build_fact(new.filter(F.col("pickup_period").isin(periods))))
+        existing = wh.read("fact_trips", periods, cells)
+        wh.append("fact_trips", anti_join_increment(fact_new, existing, ["pickup_period", "trip_id"], rows))
+    elif has("fact_trips"):
         rep.first_run["fact_trips"] = False
         fact_new = wh.with_period(core.build_fact(stg))
         existing = wh.read("fact_trips", periods)

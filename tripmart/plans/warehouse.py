@@ -269,13 +269,16 @@ class Warehouse:
         Returns the touched periods.
         """
         path, new, cells, periods, _ = self.store_increment(updates)
-        self.upsert_cells(name, new, cells, periods, key)
+        self.upsert_cells(name, new, cells, periods, key, new.count())
         self.drop_scratch(path)
         return periods
 
-    def upsert_cells(self, name: str, new: DataFrame, cells: DataFrame, periods: list, key: str) -> None:
+    def upsert_cells(self, name: str, new: DataFrame, cells: DataFrame, periods: list, key: str,
+                     rows: int | None = None) -> None:
         """Upsert a stored increment: only the (period, bucket) cells it
-        touches are read and rewritten; a key lives in exactly one cell.
+        touches are read and rewritten; a key lives in exactly one cell. With
+        ``rows``, the increment's row count, the keys of a small increment are
+        broadcast and the target's rows are not shuffled for the comparison.
 
         Every target row whose key appears in ``new`` is replaced (duplicate
         keys in ``new`` are all kept). The merged cells are written to a copy
@@ -288,7 +291,7 @@ class Warehouse:
         if not self.exists(name):
             self.overwrite(name, new)
             return
-        keep = anti_join_keys(self.read(name, periods, cells), new, [PERIOD, BUCKET, key])
+        keep = anti_join_keys(self.read(name, periods, cells), new, [PERIOD, BUCKET, key], rows)
         merged = keep.unionByName(new.select(*keep.columns))
         copy = self.scratch(f"upsert-{name}")
         merged.select(*self.read_schema(name).fieldNames()).write.parquet(copy)

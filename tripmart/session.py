@@ -19,6 +19,10 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Semi-joins of a large table with an increment: a Bloom filter of the
+    # increment's keys, for increments of up to this size.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     # Exact sums list what lies outside the common window, nearly always
     # nothing: aggregate by hash up to this many groups of a task.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
