@@ -76,11 +76,13 @@ def failures(report: dict) -> list[str]:
 def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: str,
                 holidays_csv: str | None = None, grain: str = "day", as_of=None,
                 key_buckets: int = 1, months: list[tuple[int, int]] | None = None,
-                full_refresh: list[str] | None = None) -> dict:
+                full_refresh: list[str] | None = None, recluster: bool = False) -> dict:
     """One run; ``months`` are those the landing folder should have a good file of by now.
 
     ``full_refresh`` names models to build anew, with all that follows from
-    them (see :func:`tripmart.plans.pipeline.run_models`).
+    them (see :func:`tripmart.plans.pipeline.run_models`). With ``recluster``
+    the fact's touched periods (all of it, if it was built anew) are laid out
+    by pickup time and zone (see :meth:`Warehouse.recluster`).
     """
     wh = Warehouse(spark, warehouse, grain=grain, key_buckets=key_buckets)
     paths = raw_paths(wh.root)
@@ -97,6 +99,8 @@ def run_monthly(spark: SparkSession, landing: str, warehouse: str, zones_csv: st
     later = wh.exists("stg_trips") and "stg_trips" not in (full_refresh or [])
     mark = wh.high_water_mark() if later else None
     rep = run_models(wh, raw if mark is None else after_mark(raw, stamps, mark), zones, hol, full_refresh)
+    if recluster:
+        wh.recluster("fact_trips", periods=None if rep.first_run["fact_trips"] else rep.periods)
     report |= {"models": rep.__dict__, "checks": run_checks(wh, raw, stamps, as_of, load_ids(spark, paths["raw"]))}
     return report | {"failures": failures(report)}
 
@@ -124,6 +128,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     ap.add_argument("--years", help="years that must be present, e.g. 2025-2026")
     ap.add_argument("--months", default="1-12", help="months of each of these years")
     ap.add_argument("--full-refresh", default="", help="models to build anew, e.g. fact_trips,bi_daily_metrics")
+    ap.add_argument("--recluster", action="store_true", help="lay out the fact's touched periods by time and zone")
     args = ap.parse_args(argv)
     try:
         months = target_months(args.dates, args.years, args.months)
@@ -131,7 +136,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         ap.error(str(e))
     report = run_monthly(spark or build_session(), args.landing, args.warehouse, args.zones, args.holidays,
                          args.grain, key_buckets=args.key_buckets, months=months,
-                         full_refresh=[m for m in args.full_refresh.split(",") if m])
+                         full_refresh=[m for m in args.full_refresh.split(",") if m], recluster=args.recluster)
     print(json.dumps(report, default=str, indent=2))
     return 1 if report["failures"] else 0
 

@@ -186,6 +186,24 @@ def q_full_refresh(spark, sf_dir):
     return wh.logical("bi_daily_metrics")
 
 
+_ZONE_WINDOW = ("pulocation_id IN (3, 17) AND pickup_datetime >= TIMESTAMP_NTZ '2025-02-10 06:00:00' "
+                "AND pickup_datetime < TIMESTAMP_NTZ '2025-08-20 18:00:00'")
+
+
+@register("zone_window_scan", O.with_ctes(
+    O.base_ctes(), "SELECT * FROM fact_trips WHERE " + _ZONE_WINDOW.replace("TIMESTAMP_NTZ", "TIMESTAMP")))
+def q_zone_window_scan(spark, sf_dir):
+    """Trips of two zones in a time window, from a fact laid out by time and zone: as a
+    whole first, then its newest two periods once more by the cells' copy."""
+    configure(spark)
+    wh = Warehouse(spark, scratch_dir(spark, "recluster"), grain="month")
+    wh.overwrite("fact_trips", FullBuild(spark, sf_dir).fact)
+    wh.recluster("fact_trips")
+    periods = wh.periods_of(wh.logical("fact_trips"))
+    wh.recluster("fact_trips", periods=periods[-2:])
+    return wh.logical("fact_trips").where(_ZONE_WINDOW)
+
+
 def _two_load(table: str) -> Builder:
     def build(spark, sf_dir):
         return two_load_warehouse(spark, sf_dir).logical(table)

@@ -20,11 +20,14 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.calendar import period_of
+from tripmart.functions.interleave import interleave, place
 from tripmart.operators.joins import anti_join_keys, bounded_broadcast
 from tripmart.session import child_names, configure, delete_path, path_exists
 
 PERIOD = "pickup_period"
 BUCKET = "key_bucket"
+# Place of a row in the order of a reclustered table; not stored in it.
+ORDER = "cluster_order"
 log = logging.getLogger(__name__)
 
 
@@ -51,7 +54,7 @@ TABLES: dict[str, TableSpec] = {
 # Small state tables, one folder a version (see Warehouse.write_state).
 STATE: dict[str, str] = {
     "_pending_periods": "pickup_period date",
-    "_pending_copy": "copy string, target string",
+    "_pending_copy": "copy string, target string, ordered boolean",
     "_high_water_mark": "ingestion_micros long",
     "_layout": "key_buckets int, grain string",
     "_tables": "name string, folder string",
@@ -181,6 +184,11 @@ class Warehouse:
         cols = spec.schema.fieldNames() + ([PERIOD, BUCKET] if spec.partitioned else [])
         if spec.partitioned and BUCKET not in df.columns:
             df = self.with_period(df)
+        if ORDER in df.columns:
+            # Ranges of the order: a cell's files hold disjoint ranges, and a
+            # hot cell is cut into several. The sampling reads a stored table.
+            keys = [PERIOD, BUCKET, ORDER]
+            return df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*cols)
         df = df.select(*cols)
         if spec.partitioned:
             # Rebalance by partition value: AQE splits a hot period into
@@ -212,6 +220,10 @@ class Warehouse:
         if not self.exists(name):
             self._writer(name, df, "overwrite").parquet(self.path(name))
             return
+        self._refresh(name, df)
+
+    def _refresh(self, name: str, df: DataFrame) -> None:
+        """Build an existing table anew beside itself, and switch to it."""
         before, folder = self._folders().get(name, name), f"{name}-{uuid.uuid4().hex}"
         self._writer(name, df, "errorifexists").parquet(f"{self._layer(name)}/{folder}")
         self._switch(name, folder)
@@ -295,17 +307,60 @@ class Warehouse:
         merged = keep.unionByName(new.select(*keep.columns))
         copy = self.scratch(f"upsert-{name}")
         merged.select(*self.read_schema(name).fieldNames()).write.parquet(copy)
-        self.write_state("_pending_copy", [(copy, name)])
+        self.write_state("_pending_copy", [(copy, name, False)])
         self.recover()
 
     def recover(self) -> None:
         """Replay a recorded upsert copy, if one is complete, and forget it."""
-        for copy, name in self.read_state("_pending_copy") or []:
+        for copy, name, ordered in self.read_state("_pending_copy") or []:
             if path_exists(self.spark, f"{copy}/_SUCCESS"):
-                self.replace_periods(name, self.spark.read.schema(self.read_schema(name)).parquet(copy))
+                schema = self.read_schema(name)
+                if ordered:
+                    schema = schemas.with_field(schema, ORDER, T.LongType())
+                self.replace_periods(name, self.spark.read.schema(schema).parquet(copy))
             self.write_state("_pending_copy", [])
             self.drop_scratch(copy)
 
+    def recluster(self, name: str, by: tuple[str, ...] = ("pickup_datetime", "pulocation_id"),
+                  periods: list | None = None, bits: int = 12) -> None:
+        """Lay out a trip table so that filters on any of ``by`` skip row groups.
+
+        Rows of a (period, bucket) cell are ordered by the interleaved bits of
+        their places in the columns ``by`` (numbers, or wall-clock times, which
+        count from their period's start): each row group, and each file of a
+        cell cut into several, then spans a short range of every column, not
+        of the first one only. The rows stay the same, NULLs included.
+
+        Without ``periods`` the table is built beside itself and switched to;
+        with them, only their cells are rewritten, from a recorded copy, as in
+        an upsert. Later upserts and appends write their cells by time again,
+        so this is run for the periods a load has touched.
+        """
+        if not TABLES[name].partitioned:
+            raise ValueError(f"{name} has no cells to order")
+        if periods is not None and not periods:
+            return
+        rows = self.read(name, periods)
+        kinds = dict(rows.dtypes)
+
+        def number(c: str):
+            if kinds[c] != "timestamp_ntz":
+                return F.col(c)
+            days = F.date_diff(F.col(c).cast("date"), F.col(PERIOD))
+            return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+        # One row: the span of each column.
+        span = rows.agg(*[f(number(c)).alias(f"{c}{k}") for c in by for k, f in enumerate((F.min, F.max))]).first()
+        places = [place(number(c), F.lit(span[f"{c}0"]), F.lit(span[f"{c}1"]), bits) for c in by]
+        ordered = rows.withColumn(ORDER, interleave(places, bits))
+        if periods is None:
+            self._refresh(name, ordered)
+            return
+        copy = self.scratch(f"recluster-{name}")
+        ordered.select(*self.read_schema(name).fieldNames(), ORDER).write.parquet(copy)
+        self.write_state("_pending_copy", [(copy, name, True)])
+        self.recover()
+
     def register_views(self) -> list[str]:
         """Expose every built table as a temp view ``<layer>_<name>`` and ``<name>``
         so the marts can be queried with ``spark.sql``."""
