@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -272,3 +273,48 @@ def test_license_further_texts(spark):
     assert [r["license_id"] for r in rows] == ["BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Unlicense", "LicenseRef-mine"]
     assert {"BSD-2-Clause", "BSD-3-Clause", "Unlicense"} == set(bsd)
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {i for i, _ in license_texts.DIGESTS}
+
+
+def seconds(page: str) -> tuple[float, str]:
+    began = time.perf_counter()
+    text = html_text.page_text(page)
+    return time.perf_counter() - began, text
+
+
+def test_hostile_pages_stay_small_and_quick():
+    # Tags that never end: the standard shows nothing of them.
+    took, text = seconds("shown" + "<a href='x " * 20_000)
+    assert text == "shown" and took < 5
+    assert html_text.page_text("<p>a <b>c</b> <i x='1") == "a c"
+    # One long cell among many short ones: no text is lost, padding is bounded.
+    long = "w" * 60_000
+    page = "<table><tr><td>" + long + "<td>end" + "".join(f"<tr><td>r{i}<td>c{i}" for i in range(2000)) + "</table>"
+    took, text = seconds(page)
+    assert took < 5 and len(text) < 10 * len(page)
+    lines = text.split("\n")
+    assert lines[0] == f"{long} | end" and len(lines) == 2001
+    assert [x.split() for x in lines[1:]] == [[f"r{i}", "|", f"c{i}"] for i in range(2000)]
+    assert len({x.index("|") for x in lines[1:]}) == 1
+    # Cells over very many columns and rows.
+    page = "<table>" + "".join(f"<tr><td colspan=1000 rowspan=65534>a{i}<td colspan=1000>b{i}" for i in range(200)) + "</table>"
+    took, text = seconds(page)
+    assert took < 5 and len(text) < 10 * len(page)
+    assert text.split() == [x for i in range(200) for x in (f"a{i}", "|", f"b{i}")]
+
+
+def test_table_spans():
+    # A cell covers rows below it beyond 1,000, and columns in every one.
+    page = "<table><tr><td rowspan=1500>a<td>b" + "<tr><td>c" * 1499 + "<tr><td>d</table>"
+    lines = html_text.page_text(page).split("\n")
+    assert lines[0] == "a | b" and set(lines[1:1500]) == {"  | c"} and lines[1500] == "d"
+    assert html_text.page_text("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>") == (
+        "a | b |  | c\nd |   |  | e")
+
+
+def test_pages_with_other_columns_copies_and_none(spark):
+    schema = "page_id long, html string, text string, n_chars string"
+    rows = [(1, "<p>a", "mine", "x"), (1, "<p>a", "mine", "x"), (None, "<b>n", None, None), (2, None, "t", "1")]
+    got = html_text.extract(spark.createDataFrame(rows, schema))
+    assert got.columns == ["page_id", "text", "n_chars"]
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "a", 1), (1, "a", 1), (2, None, None), (None, "n", 1)]
+    assert html_text.extract(spark.createDataFrame([], schema)).count() == 0

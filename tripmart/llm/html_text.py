@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,6 +28,7 @@ _ANY = _VALUE.format(r"[^\"]*+", r"[^']*+", r"[^\s>\"'][^\s>]*+")
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:{_ANY})?+)*+)>"
                    r"|[^<]++|<", re.DOTALL)
 ATTRIBUTE = re.compile(rf"({_NAME})(?:" + _VALUE.format(r"([^\"]*+)", r"([^']*+)", r"([^\s>\"'][^\s>]*+)") + ")?+")
+OPENED = re.compile("</?[a-zA-Z]")
 #: Tags that end themselves; the slash is no part of an unquoted value.
 SELF_ENDED = re.compile(r"(?:^|[\s\"']|[\s/][^\s=\"'/]++)/$")
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -80,11 +82,17 @@ def _close(stack: list[Node], tags: set[str], stop: set[str]) -> None:
 
 
 def parse(page: str) -> Node:
-    """Tree of a page; every tag and character is accepted."""
+    """Tree of a page; every tag and character is accepted.
+
+    A tag without its end takes all that follows it, as in a browser; so no
+    part of a page is read more than a fixed number of times.
+    """
     root = Node("html", {})
     stack, at = [root], 0
     while at < len(page):
         m = TOKEN.match(page, at)
+        if m[0] == "<" and OPENED.match(page, at):
+            break  # a tag that the page ends in: nothing of it is shown
         at = m.end()
         end, tag, attrs = m[1], (m[2] or "").lower(), m[3]
         if not tag:
@@ -184,6 +192,63 @@ def _number(text: str | None, default: int) -> int:
     return int(text) if text and re.fullmatch(r"-?\d{1,6}", text.strip()) else default
 
 
+# The most columns and rows that a cell covers.
+SPANS = (("colspan", 1000), ("rowspan", 65534))
+#: The padding of a table's cells, and the marks between them, take at most
+#: so many characters for each one of its text, and a part that any may have.
+SLACK, ALLOWANCE = 4, 4096
+
+
+def _widths(lengths: dict[int, set[int]], height: int, budget: int) -> dict[int, int]:
+    """Width of each column: that of its widest line.
+
+    If the padding would exceed the budget, that of its widest line up to a
+    common limit, the largest one that keeps to it; longer lines then move
+    what follows them to the right.
+    """
+    ranked = {k: sorted(x) for k, x in lengths.items()}
+
+    def up_to(limit: int) -> dict[int, int]:
+        return {k: x[i - 1] if (i := bisect_right(x, limit)) else 0 for k, x in ranked.items()}
+
+    low, high = 0, max((x[-1] for x in ranked.values()), default=0)
+    if sum(up_to(high).values()) * height <= budget:
+        return up_to(high)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if sum(up_to(middle).values()) * height <= budget else (low, middle)
+    return up_to(low)
+
+
+def _aligned(grid: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Lines of rows of cells (first column, column after the last, lines).
+
+    Columns that a row's cells do not start in stay empty in it. If the marks
+    between columns alone would exceed the budget, each row has its own cells
+    only, not aligned.
+    """
+    lengths: dict[int, set[int]] = {}
+    text = 0
+    for row in grid:
+        for k, _, cell in row:
+            lengths.setdefault(k, set()).update(map(len, cell))
+            text += sum(map(len, cell))
+    heights = [max((len(cell) for *_, cell in row), default=0) for row in grid]
+    budget = SLACK * text + ALLOWANCE
+    marks = sum(3 * row[-1][1] * h for row, h in zip(grid, heights, strict=True) if row)
+    width = _widths(lengths, sum(heights), budget) if marks <= budget else None
+    out = []
+    for row, height in zip(grid, heights, strict=True):
+        for i in range(height):
+            own = {k: cell[i] if i < len(cell) else "" for k, _, cell in row}
+            if width is None:
+                cells = list(own.values())
+            else:
+                cells = [own.get(k, "").ljust(width.get(k, 0)) for k in range(row[-1][1])]
+            out.append(" | ".join(cells).rstrip())
+    return out
+
+
 def _table(node: Node) -> tuple[list[str], list[str]]:
     """Caption lines and the lines of the aligned rows."""
     caption, rows, stray = [], [], []
@@ -203,29 +268,25 @@ def _table(node: Node) -> tuple[list[str], list[str]]:
             todo += reversed(c.children)
         else:
             stray += render(c)
-    grid: list[list[list[str]]] = []
-    held: dict[int, int] = {}  # column to rows still covered from above
-    for row in rows:
-        line: list[list[str]] = []
+    grid: list[list[tuple[int, int, list[str]]]] = []
+    held: list[tuple[int, int, int]] = []  # columns from, to, and the row they are covered up to
+    for at, row in enumerate(rows):
+        line, column = [], 0
+        held = sorted(h for h in held if h[2] > at)
+        covered = iter(list(held))
+        over = next(covered, None)
         for c in [x for x in row.children if isinstance(x, Node) and x.seen()]:
-            while held.get(len(line), 0) > 0:
-                line.append([])
-            wide, tall = (max(1, min(1000, _number(c.attrs.get(a), 1))) for a in ("colspan", "rowspan"))
-            for i in range(wide):
-                if tall > 1:
-                    held[len(line)] = tall
-                line.append(render(c) if i == 0 else [])
+            while over and over[0] <= column:
+                column = max(column, over[1])
+                over = next(covered, None)
+            wide, tall = (max(1, min(most, _number(c.attrs.get(a), 1))) for a, most in SPANS)
+            line.append((column, column + wide, render(c)))
+            if tall > 1:
+                held.append((column, column + wide, at + tall))
+            column += wide
         stray += [SPACE.sub(" ", x).strip() for x in row.children if isinstance(x, str) and x.strip()]
-        held = {k: v - 1 for k, v in held.items()}
         grid.append(line)
-    columns = max(map(len, grid), default=0)
-    width = [max((len(x) for line in grid if k < len(line) for x in line[k]), default=0) for k in range(columns)]
-    out = []
-    for line in grid:
-        for i in range(max(map(len, line), default=0)):
-            cells = [(c[i] if i < len(c) else "").ljust(width[k]) for k, c in enumerate(line)]
-            out.append(" | ".join(cells).rstrip() if columns > 1 else cells[0].rstrip())
-    return stray + caption, out
+    return stray + caption, _aligned(grid)
 
 
 def _write(node: Node, out: Lines, pre: bool) -> None:
