@@ -21,7 +21,6 @@ replaced by characters of the private use area.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -275,15 +274,19 @@ def _accepted(weights: dict, span: Column) -> Column:
     return odds >= math.log(ACCEPT / (1 - ACCEPT))
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base (sorted spans) and more (candidates off the base)."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def _with_spans(rows: DataFrame) -> DataFrame:
+    """Adds base (sorted spans of text) and more (candidates off the base)."""
+    kept = rows.columns
     for kind in KINDS + ADDED:
-        docs = _found(docs, kind, "text")
-    base = F.array_sort(F.concat(*KINDS))
-    docs = docs.select("doc_id", base.alias("base"), F.array_sort(F.concat(*ADDED)).alias("more"))
+        rows = _found(rows, kind, "text")
+    rows = rows.select(*kept, F.array_sort(F.concat(*KINDS)).alias("base"), F.array_sort(F.concat(*ADDED)).alias("more"))
     apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return docs.withColumn("more", apart)
+    return rows.withColumn("more", apart)
+
+
+def _candidates(docs: DataFrame) -> DataFrame:
+    """doc_id, base and more of each row."""
+    return _with_spans(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).drop("text")
 
 
 def _listed(spans: Column) -> Column:
@@ -314,38 +317,76 @@ def find(docs: DataFrame) -> DataFrame:
                         _listed(F.array_sort(F.concat("base", more))).alias("spans"))
 
 
-def _shown(kind: str, weights: dict) -> Callable[[Column], Column]:
-    """What stands for the i-th gap and hit of a kind in redacted text."""
-    def shown(i: Column) -> Column:
-        hit, gap = F.get("_h", i), F.get("_g", i)
-        keep = _valid(kind, hit)
-        if kind in ADDED:
-            keep = keep & _accepted(weights, _labels(kind, hit, F.right(gap, F.lit(CONTEXT))))
-        return F.concat(gap, F.when(keep, f"[{kind.split('_')[0].upper()}]").otherwise(hit))
+def _with_runs(rows: DataFrame) -> DataFrame:
+    """Adds _r: the runs (start, end, kind) that the sorted spans _s cover
+    together, each with the kind of its first span.
 
-    return shown
+    A span begins a run if it starts at or after every end before it; those
+    largest ends are found STEP spans at a time, so that no long array is
+    built element by element.
+    """
+    steps = F.sequence(F.lit(0), F.floor((F.size("_s") - 1) / STEP).cast("int"))
+    rows = rows.withColumn("_p", F.transform("_s", lambda s: s["end"]))
+
+    def chunk(g: Column) -> Column:
+        return F.slice("_p", g * STEP + 1, STEP)
+
+    none = F.array().cast("array<int>")
+    rows = rows.withColumn("_b", F.aggregate(
+        F.transform(steps, lambda g: F.array_max(chunk(g))), F.array(F.lit(0)),
+        lambda a, t: F.concat(a, F.array(F.greatest(F.element_at(a, -1), t)))))
+    inner = F.transform(steps, lambda g: F.aggregate(
+        chunk(g), F.struct(F.get("_b", g).alias("at"), none.alias("out")),
+        lambda a, e: F.struct(F.greatest(a["at"], e).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))["out"])
+    # The largest end before each span, and that of all.
+    rows = rows.withColumn("_m", F.concat(F.flatten(inner), F.array(F.array_max("_p"))))
+    rows = rows.withColumn("_k", F.filter(F.sequence(F.lit(0), F.size("_s") - 1),
+                                          lambda i: F.get("_s", i)["start"] >= F.get("_m", i)))
+    run = F.transform("_k", lambda i, at: F.struct(
+        F.get("_s", i)["start"].alias("start"),
+        F.get("_m", F.coalesce(F.get("_k", at + 1), F.size("_s"))).alias("end"), F.get("_s", i)["kind"].alias("kind")))
+    return rows.withColumn("_r", run).drop("_p", "_b", "_m", "_k")
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span in text replaced by its kind, as [EMAIL].
+    """``docs`` with every span that ``find`` reports replaced by its kind, as [EMAIL].
 
-    Kinds are replaced one after the other in the order of KINDS and ADDED,
-    so of two overlapping spans the first kind's is replaced. A null text
-    stays null; all other columns are kept as they are. In texts with hits,
-    the noncharacters U+FDD0 to U+FDD2 become question marks. Repeated rows are
+    The text is cut once: spans that overlap are one piece, which becomes the
+    kind of the first of them (the earlier start, then the order of KINDS and
+    ADDED), so that no part of any span stays. All other characters and
+    columns are kept as they are; a null text stays null. Repeated rows are
     redacted each; an empty table stays empty.
     """
-    found = stored(_candidates(docs.select("doc_id", "text")), "spans")
-    weights = _model(found)
     # The caller's row is one column, so that no name of its columns clashes.
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    for kind in KINDS + ADDED:
-        row = _gaps_and_hits(row, kind, "text")
-
-        text = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size("_h") - 1), _shown(kind, weights)), ""),
-                        F.element_at("_g", -1))
-        row = row.withColumn("text", F.when(F.size("_h") > 0, text).otherwise(F.col("text"))).drop("_g", "_h")
-    return row.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    found = stored(_with_spans(docs.select(others.alias("row"), F.col("text").alias("text"))), "spans")
+    weights = _model(found)
+    spans = F.array_sort(F.concat("base", F.filter("more", lambda s: _accepted(weights, s))))
+    spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    rows = found.select("row", "text", spans.alias("_s"))
+    # A text without spans has one of no width, for whole arrays below; it is not cut.
+    rows = rows.withColumn("_some", F.size("_s") > 0).withColumn("_s", F.when(F.col("_some"), F.col("_s")).otherwise(
+        F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("kind")))))
+    rows = _with_runs(rows)
+
+    def start(i: Column) -> Column:
+        return F.coalesce(F.get("_r", i)["start"], F.length("text"))
+
+    def part(g: Column) -> Column:
+        since = start(g * STEP)
+        return F.struct(since.alias("at"), F.substr("text", since + 1, start((g + 1) * STEP) - since).alias("part"))
+
+    def shown(p: Column, g: Column) -> Column:
+        return F.array_join(F.transform(F.slice("_r", g * STEP + 1, STEP), lambda r, at: F.concat(
+            F.lit("["), F.upper(F.element_at(F.split(r["kind"], "_"), 1)), F.lit("]"),
+            F.substr(p["part"], r["end"] - p["at"] + 1, start(g * STEP + at + 1) - r["end"]))), "")
+
+    # STEP runs at a time, each from its own part of the text: positions are counted from a text's start.
+    steps = F.sequence(F.lit(0), F.floor((F.size("_r") - 1) / STEP).cast("int"))
+    rows = rows.withColumn("_p", F.when(F.col("_some"), F.transform(steps, part)))
+    cut = F.concat(F.substr("text", F.lit(1), start(F.lit(0))), F.array_join(F.transform("_p", shown), ""))
+    text = F.when(F.col("_some"), cut).otherwise(F.col("text"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
