@@ -166,3 +166,27 @@ def test_word_hashes_follow_words():
     for w, h in zip([w for t in texts for w in t.split()], hashes.tolist(), strict=True):
         assert by.setdefault(w, h) == h
     assert len(set(by.values())) == len(by)
+
+
+def test_short_patterns_start_the_search():
+    rng = np.random.default_rng(3)
+    text = np.r_[rng.integers(1, 4, 300), 0, rng.integers(1, 4, 40), 0]
+    index = substring_dedup.FMIndex(text, 4, 32)
+    low, high = index.short(text, 5)
+    for at in [*range(296), *range(301, 337)]:
+        one, last = np.zeros(1, np.int64), np.full(1, len(text))
+        for symbol in text[at:at + 5][::-1]:
+            one, last = index.prepend(np.array([symbol]), one, last)
+        assert (low[at], high[at]) == (one[0], last[0])
+
+
+def test_files_counted_without_pieces():
+    import pandas as pd
+
+    texts = [(t or "").encode() for _, t in corpus()]
+    spec = repeats.Spec(20, 4, substring_dedup.word_hashes, substring_dedup._hashed, None, True)
+    batch = pd.DataFrame({"text": texts, "key": range(len(texts)), "ord": 0})
+    pieces, files = (pd.concat(f([batch], spec)) for f in (repeats._pieces, repeats._files))
+    wanted = pieces.groupby("fp").agg(c=("key", "size"), inner=("inner", "max"))
+    assert files.groupby("fp").agg(c=("c", "sum"), inner=("inner", "max")).equals(wanted)
+    assert len(files) < len(pieces)

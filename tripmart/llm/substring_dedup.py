@@ -28,6 +28,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x2545F4914F6CDD1D
 _POWERS: dict[str, np.ndarray] = {}
+#: Words of the patterns whose intervals are read from the suffix array; backward search starts there.
+SHORT = 8
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,28 +58,32 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(np.searchsorted(begin, np.r_[0, np.cumsum(size)]))
 
 
+#: The bits of a word below each of its positions.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class Wavelet:
     """Wavelet matrix: rank of any symbol, 64 positions to a packed word."""
 
     def __init__(self, text: np.ndarray, symbols: int):
         self.levels, n = [], len(text)
+        self.number = np.int32 if n < 1 << 31 else np.int64
         for bit in range(max(1, (symbols - 1).bit_length()) - 1, -1, -1):
             one = (text >> bit) & 1 == 1
             packed = np.packbits(np.r_[one, np.zeros(-n % 64 + 64, bool)], bitorder="little").view("<u8")
-            before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]]
+            before = np.r_[0, np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]].astype(self.number)
             self.levels.append((bit, packed, before, n - int(one.sum())))
             text = np.concatenate([text[~one], text[one]])
         every = np.arange(symbols)
-        self.base = np.zeros(symbols, np.int64)
+        self.base = np.zeros(symbols, self.number)
         self.base = self.rank(every, np.zeros(symbols, np.int64))
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often ``symbol`` occurs before position ``at``."""
-        start = self.base[symbol]
+        """How often ``symbol`` occurs before position ``at`` (one or more rows of positions)."""
+        start, at = self.base[symbol], at.astype(self.number)
         for bit, packed, before, zeros in self.levels:
             block = at >> 6
-            low = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = before[block] + np.bitwise_count(packed[block] & low)
+            ones = before[block] + np.bitwise_count(packed[block] & _BELOW[at & 63])
             at = np.where((symbol >> bit) & 1 == 1, zeros + ones, at - ones)
         return at - start
 
@@ -96,10 +102,25 @@ class FMIndex:
         self.wavelet = Wavelet(text[self.sa - 1], symbols)
         self.first = np.r_[0, np.cumsum(np.bincount(text, minlength=symbols))]
 
+    def short(self, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of the ``size`` symbols from each position on, by position
+        (of patterns within a piece, shorter than ``depth``)."""
+        n = len(text)
+        padded, new = np.r_[text, np.zeros(size, text.dtype)], np.zeros(n, bool)
+        new[0] = True
+        for t in range(size):
+            symbol = padded[self.sa + t]
+            new[1:] |= symbol[1:] != symbol[:-1]
+        begin = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        at = np.empty(n, np.int64)
+        at[self.sa] = group
+        return begin[at], np.r_[begin[1:], n][at]
+
     def prepend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the patterns with ``symbol`` put in front."""
-        rank = self.wavelet.rank(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
-        return self.first[symbol] + rank[:len(low)], self.first[symbol] + rank[len(low):]
+        low, high = self.first[symbol] + self.wavelet.rank(symbol, np.stack([low, high]))
+        return low, high
 
 
 def _windows(rows: pd.DataFrame, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,9 +136,11 @@ def _windows(rows: pd.DataFrame, span: int) -> tuple[np.ndarray, np.ndarray]:
     text[place] = code + 1
     index = FMIndex(text, len(kinds) + 1, 1 << span.bit_length())
     window = place[(np.repeat(np.cumsum(size), size) - np.arange(len(words))) >= span]
-    live, earlier = np.arange(len(window)), np.zeros(len(window), bool)
-    low, high = np.zeros(len(window), np.int64), np.full(len(window), len(text))
-    for t in range(span - 1, -1, -1):
+    earlier, known = np.zeros(len(window), bool), min(SHORT, span)
+    low, high = (x[window + span - known] for x in index.short(text, known))
+    live = np.flatnonzero(high - low > 1)
+    low, high = low[live], high[live]
+    for t in range(span - known - 1, -1, -1):
         low, high = index.prepend(text[window[live] + t], low, high)
         more = high - low > 1  # else only the window itself
         live, low, high = live[more], low[more], high[more]
