@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -350,3 +351,29 @@ def test_pages_with_other_columns_copies_and_none(spark):
     assert got.columns == ["page_id", "text", "n_chars"]
     assert sorted(map(tuple, got.collect()), key=repr) == [(1, "a", 1), (1, "a", 1), (2, None, None), (None, "n", 1)]
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_long_texts_are_scored_in_small_portions(monkeypatch):
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(97, 123, n))) for n in (50, 3000, 10, 900, 20, 2500, 7)] + [None, ""]
+    model = language_id.fit(texts[:6], ["a", "b"] * 3, 6, 3, 0.1)
+    sizes, predict = [], language_id.predict
+    monkeypatch.setattr(language_id, "BATCH_CHARS", 3000)
+    monkeypatch.setattr(language_id, "predict", lambda m, t, s: sizes.append([len(x or "") for x in t]) or predict(m, t, s))
+    batch = pd.DataFrame({"text": texts, "doc_id": range(len(texts))})
+    got = pd.concat(language_id._scored([batch], SimpleNamespace(value=model), "lang_pred", "score"))
+    assert max(sum(x) for x in sizes) <= 3000 and sum(map(len, sizes)) == len(texts)
+    names, score = predict(model, texts, np.zeros(1 << language_id.BITS, np.int32))
+    assert got["doc_id"].tolist() == list(range(len(texts)))
+    assert got["lang_pred"].tolist() == names and got["score"].tolist() == score.tolist()
+
+
+def test_pre_token_cache_has_the_size_asked_for():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    small, large = packing.WordIds(path, 2000), packing.WordIds(path)
+    for text in (f"word{i} another{i * 7} thing" for i in range(60)):
+        assert small.of(text) == large.of(text)
+        assert small.held <= 2000
+    assert large.held > 2000

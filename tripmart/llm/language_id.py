@@ -29,6 +29,8 @@ LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 #: Characters of a very long text taken at once.
 SLICE = 1 << 18
+#: Texts scored at once, and their characters (a longer text is scored alone).
+BATCH_ROWS, BATCH_CHARS = 256, 1 << 18
 
 
 def grams(text: str, max_n: int, stamp: np.ndarray) -> np.ndarray:
@@ -99,13 +101,25 @@ def predict(model: Model | None, texts: list[str | None], stamp: np.ndarray) ->
     return [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)], score
 
 
-def _scored(batches: Iterator[pd.DataFrame], model, pred: str, score: str, batch_rows: int = 256) -> Iterator[pd.DataFrame]:
+def _portions(sizes: list[int]) -> Iterator[slice]:
+    """Consecutive texts of BATCH_ROWS rows and BATCH_CHARS characters at most."""
+    begin = total = 0
+    for i, n in enumerate(sizes):
+        if i > begin and (i - begin >= BATCH_ROWS or total + n > BATCH_CHARS):
+            yield slice(begin, i)
+            begin, total = i, 0
+        total += n
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
+
+
+def _scored(batches: Iterator[pd.DataFrame], model, pred: str, score: str) -> Iterator[pd.DataFrame]:
     stamp = np.zeros(1 << BITS, np.int32)
     for batch in batches:
         texts = [t if isinstance(t, str) else None for t in batch["text"]]
-        parts = [predict(model.value, texts[i:i + batch_rows], stamp) for i in range(0, len(texts), batch_rows)]
-        yield batch.assign(**{pred: [x for p in parts for x in p[0]],
-                              score: np.concatenate([p[1] for p in parts]) if parts else []})
+        for rows in _portions([len(t or "") for t in texts]):
+            found, scores = predict(model.value, texts[rows], stamp)
+            yield batch.iloc[rows].assign(**{pred: found, score: scores})
 
 
 def held_out(doc_id) -> F.Column:

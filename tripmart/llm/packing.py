@@ -53,11 +53,11 @@ class WordIds(dict):
     PART = re.compile(r"[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
     OTHER = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]|<\|")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.held = 0
+        self.held, self.cache_bytes = 0, cache_bytes
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, part: str) -> bytes:
@@ -65,7 +65,7 @@ class WordIds(dict):
         found = struct.pack(f"<{len(ids)}I", *ids)
         if len(part) <= CACHE_CHARS:
             self.held += PART_BYTES + len(part) + len(found)
-            if self.held > CACHE_BYTES:
+            if self.held > self.cache_bytes:
                 self.clear()
                 self.held = 0
             self[part] = found
@@ -99,13 +99,14 @@ def cut(tokens: int, sizes: list[int]) -> Iterator[int]:
         tokens -= size
 
 
-_TOKENIZERS: dict[str, WordIds] = {}
+_TOKENIZERS: dict[tuple[str, int], WordIds] = {}
 
 
-def _pieces(batches: Iterator[pd.DataFrame], tokenizer: str, end_id: int, capacity: int) -> Iterator[pd.DataFrame]:
-    if tokenizer not in _TOKENIZERS:
-        _TOKENIZERS[tokenizer] = WordIds(tokenizer)
-    ids_of = _TOKENIZERS[tokenizer]
+def _pieces(batches: Iterator[pd.DataFrame], tokenizer: str, end_id: int, capacity: int,
+            cache_bytes: int) -> Iterator[pd.DataFrame]:
+    if (tokenizer, cache_bytes) not in _TOKENIZERS:
+        _TOKENIZERS[tokenizer, cache_bytes] = WordIds(tokenizer, cache_bytes)
+    ids_of = _TOKENIZERS[tokenizer, cache_bytes]
     sizes, end = slot_sizes(capacity), end_id.to_bytes(4, "little")
     task, rank = TaskContext.get().partitionId(), dict.fromkeys(sizes, 0)
     columns = [f.name for f in PIECES]
@@ -161,16 +162,19 @@ def layout(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, i
     return rows
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
+         cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Pack documents (doc_id, text) into sequences of ``capacity`` tokens.
 
     Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. A null or empty text is the end id alone; repeated
     rows and null ids are documents of their own; other columns are ignored.
+    ``cache_bytes`` bounds the pre-tokens that a Python worker keeps, also after
+    the job, as long as Spark keeps the worker.
     """
     spark = docs.sparkSession
     pieces = stored(map_batches(
-        docs.select("doc_id", "text"), lambda it: _pieces(it, tokenizer, end_id, capacity), PIECES), "pieces")
+        docs.select("doc_id", "text"), lambda it: _pieces(it, tokenizer, end_id, capacity, cache_bytes), PIECES), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
