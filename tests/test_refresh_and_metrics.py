@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tests.test_plans import plan
-from tripmart.operators import quality, reconcile
+from tripmart.operators import marts, quality, reconcile
 from tripmart.operators.staging import newest_load, stage_trips
 from tripmart.plans import catalog
+from tripmart.plans.models import FullBuild
 from tripmart.plans.pipeline import PARENTS, run_models, with_descendants
 from tripmart.plans.warehouse import TABLES, Warehouse
 from tripmart.sources import fixtures, ingest, seeds
@@ -208,3 +209,17 @@ def test_the_mark_is_a_subquery_of_the_scan(spark, landed):
     assert later.count() == stage_trips(raw, after=micros).count() > 0
     # An empty target has no mark and loads nothing.
     assert stage_trips(raw, after=newest_load(stage_trips(raw.limit(0)))).count() == 0
+
+
+def test_methods_too_long_to_compile_are_split(spark, capsys):
+    """The date marts' fused sums are beyond what HotSpot compiles, so Spark must not fuse them."""
+    m = FullBuild(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it runs, before it has run
+    try:
+        rows = marts.build_date_marts(m.fact, m.dim_datetime, m.dim_trip_flags)["_cache"].unpersist()
+        rows.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert limit <= 8000 < max(sizes)
