@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tripmart.llm import decontamination, nn_descent
+from tripmart.llm.common import batch_rows
 
 DOCS = "doc_id long, text string, item_id int, m int, key int"
 
@@ -251,3 +254,30 @@ def test_language_kernel_is_that_of_all_shared_grams(spark):
     got, score = language_id.predict(model, [*asked, None, "123"], np.zeros(1 << language_id.BITS, np.int32))
     assert got == [names[i] for i in scores.argmax(axis=1)] + ["und", "und"]
     assert np.allclose(score, [*np.clip((scores.max(axis=1) + 1) / 2, 0, 1), 0, 0], atol=2e-4)
+
+
+def peak_mb(fn):
+    tracemalloc.start()
+    fn()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_a_task_of_the_neighbour_graph_takes_bounded_memory():
+    rng = np.random.default_rng(0)
+    codes = nn_descent._packed(rng.normal(size=(nn_descent.BLOCK, 65)))
+    meeting = pd.DataFrame({"center": np.arange(nn_descent.BLOCK) // 64, "node": np.arange(nn_descent.BLOCK), "code": codes,
+                            "least": np.float32(-np.inf)})
+    assert peak_mb(lambda: nn_descent._meet(meeting)) < 70
+    opened = pd.DataFrame({"query": np.arange(2048), "least": np.float32(-np.inf), "asks": codes[:2048],
+                           "nodes": np.arange(75).tobytes(), "codes": b"".join(codes[:75])})
+    assert peak_mb(lambda: [None for _ in nn_descent._look(iter([opened]))]) < 40
+
+
+def test_wide_rows_come_in_small_batches(spark):
+    sizes = lambda it: (pd.DataFrame({"n": [len(x)]}) for x in it)
+    most = lambda: spark.range(0, 3000, 1, 1).mapInPandas(sizes, "n long").agg(F.max("n")).first()[0]
+    with batch_rows(spark, nn_descent.WIDE):
+        assert most() <= nn_descent.WIDE
+    assert most() == 3000

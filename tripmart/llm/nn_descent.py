@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripmart.llm.common import map_batches, shuffle_width, stored
+from tripmart.llm.common import batch_rows, map_batches, shuffle_width, stored
 
 #: Neighbours kept, out and in; trees and nodes of a leaf at the start;
 #: rounds; candidates a node may send to another from one meeting.
@@ -39,8 +39,9 @@ POOL, EXPAND, EXACT = 300, 60, 64
 #: Trees whose leaves are dealt at random; nodes, of the longest and of any,
 #: where every walk starts; rounds and group size of the random links.
 RANDOM, ENTRIES, LINKS, LINKED = 1, 32, 2, 6
-#: Rows handled at once.
-BLOCK = 1 << 16
+#: Rows handled at once; numbers of a matrix of compared groups; rows with the
+#: neighbours' codes (some 10 KB each) in an Arrow batch, and decoded at once.
+BLOCK, NUMBERS, WIDE, DECODED = 1 << 15, 1 << 20, 1024, 256
 EDGE = "src long, dst long, sim float"
 
 
@@ -136,7 +137,7 @@ def _offers(rows: pd.DataFrame, first: np.ndarray, width: int, offers: int, ids:
             least: np.ndarray | None) -> pd.DataFrame:
     """The nearest ``offers`` others of each member of each group of rows."""
     found, code = [], _codes(rows["code"])
-    step = max(1, (1 << 22) // (width * max(width, code.shape[1])))
+    step = max(1, NUMBERS // (width * max(width, code.shape[1])))
     for a in range(0, len(first) - 1, step):
         at = _matrix(first[a:a + step + 1], width)
         x = code[np.maximum(at, 0)]
@@ -239,8 +240,8 @@ def build_graph(nodes: DataFrame, count: int) -> DataFrame:
 def _look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Similarity of the expanded nodes' neighbours to their queries."""
     for batch in batches:
-        for a in range(0, len(batch), 2048):
-            rows = batch.iloc[a:a + 2048]
+        for a in range(0, len(batch), DECODED):
+            rows = batch.iloc[a:a + DECODED]
             size = rows["nodes"].str.len().to_numpy() // 8
             node = np.frombuffer(b"".join(rows["nodes"]), np.int64)
             row = np.repeat(np.arange(len(rows)), size)
@@ -314,7 +315,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, count: int, k
             "query", "least", "asks", "nodes", "codes")
         seen = map_batches(opened, _look, "query long, node long, sim float, done boolean")
         both = table.select("query", "node", "sim", "done").unionByName(seen)
-        table = stored(grouped(both, ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool")
+        with batch_rows(spark, WIDE):
+            table = stored(grouped(both, ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool")
         spark._jvm.System.gc()
     around.unpersist()
     return table.select("query", "node", "sim")
