@@ -387,3 +387,50 @@ def test_upsert_rewrites_only_touched_key_buckets(spark, workdir):
     assert wh.logical("fact_trips").count() == 40
     # The bucket count is part of the layout: reopening keeps it.
     assert Warehouse(spark, workdir, grain="day", key_buckets=16).key_buckets == 4
+
+
+def test_an_upsert_of_most_rows_writes_the_table_once_and_switches(spark, workdir, monkeypatch):
+    wh = Warehouse(spark, workdir, grain="day", key_buckets=4)
+    days = [D1 + dt.timedelta(days=i) for i in range(10)]
+    wh.overwrite("stg_trips", stage_trips(raw_df(spark, [trip(d) for d in days])))
+    updates = stage_trips(raw_df(spark, [trip(d, tips=9.0, ingestion_ts=LOAD2) for d in days[:8]]))
+    before = wh.path("stg_trips")
+
+    def stop(self, name, folder):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "_switch", stop)
+        try:
+            wh.upsert("stg_trips", updates, "trip_id")
+        except KeyboardInterrupt:
+            pass
+    # Stopped before the switch: the old table, whole.
+    again = Warehouse(spark, workdir)
+    assert again.path("stg_trips") == before and again.logical("stg_trips").filter("tips = 9.0").count() == 0
+    again.upsert("stg_trips", updates, "trip_id")
+    assert again.read_state("_pending_copy") is None and again.path("stg_trips") != before
+    rows = again.logical("stg_trips")
+    assert rows.count() == 10 and rows.filter("tips = 9.0").count() == 8
+    assert {r.pickup_datetime for r in rows.filter("tips <> 9.0").collect()} == set(days[8:])
+    # An increment of few rows still rewrites its own cells only.
+    again.upsert("stg_trips", stage_trips(raw_df(spark, [trip(days[9], tips=7.0, ingestion_ts=LOAD2)])), "trip_id")
+    assert again.read_state("_pending_copy") == [] and again.logical("stg_trips").count() == 10
+
+
+def test_only_suspected_files_are_decoded_in_full_before_the_load(spark, workdir, monkeypatch):
+    from tripmart.sources import ingest
+
+    land, raw_path, rej, ck = f"{workdir}/landing", f"{workdir}/RAW/fhv_trips", f"{workdir}/RAW/_rejected", f"{workdir}/_ck"
+    judged, full = [], ingest.refused
+    monkeypatch.setattr(ingest, "refused", lambda spark, paths: judged.append(paths) or full(spark, paths))
+    _landing(spark, [trip(D1), trip(D2)], f"{land}/2025-03")
+    ingest_landing(spark, land, raw_path, rej, ck)
+    assert judged == [] and read_raw(spark, raw_path).count() == 2
+    assert spark.read.parquet(rej).count() == 0
+    _landing(spark, [trip(D1)], f"{land}/2025-04", flag_text=" ")
+    _landing(spark, [trip(D2)], f"{land}/2025-05")
+    ingest_landing(spark, land, raw_path, rej, ck)
+    assert [len(p) for p in judged] == [1] and "2025-04" in judged[0][0]
+    assert read_raw(spark, raw_path).count() == 3
+    assert [(r["reason"], r["bad_rows"]) for r in spark.read.parquet(rej).collect()] == [("value", 1)]
