@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import random
 import re
 import tracemalloc
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import decontamination, nn_descent
 from tripmart.llm.common import batch_rows
+from tripmart.llm.components import components
+from tripmart.session import scratch_dir
 
 DOCS = "doc_id long, text string, item_id int, m int, key int"
 
@@ -281,3 +285,32 @@ def test_wide_rows_come_in_small_batches(spark):
     with batch_rows(spark, nn_descent.WIDE):
         assert most() <= nn_descent.WIDE
     assert most() == 3000
+
+
+def test_tables_of_known_size_are_written_by_few_tasks(spark):
+    """A file for each task: as many as the rows need, not as there are shuffle partitions."""
+    rng = np.random.default_rng(4)
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(300, 8)))],
+                                    "vec_id long, embedding array<double>")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "x long, y long")
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    top = os.path.dirname(scratch_dir(spark, "llm")).removeprefix("file://").removeprefix("file:")
+    old = set(glob.glob(f"{top}/*/*"))
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        found = nn_descent.nearest(vectors, F.col("vec_id") % 3 == 0, k=5).collect()
+        roots = {r["root"] for r in components(chain, "x", "y").collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(found) == 500 and roots == {0}
+    files = {}
+    for path in set(glob.glob(f"{top}/*/*")) - old:
+        files.setdefault(path.split("/")[-2], []).append(len(glob.glob(f"{path}/part-*")))
+    few = spark.sparkContext.defaultParallelism
+    assert {"graph", "pool", "adjacency", "nodes", "asking", "queries", "edges"} <= set(files)
+    assert all(n <= few for name in ("graph", "pool", "adjacency", "nodes", "asking", "queries") for n in files[name])
+    # The first table of links has an unknown size.
+    assert sum(n > few for n in files["edges"]) <= 1

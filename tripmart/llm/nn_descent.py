@@ -224,14 +224,15 @@ def build_graph(nodes: DataFrame, count: int) -> DataFrame:
     leaves = leaves.join(sizes, ["tree", "leaf"]).withColumn("deal", F.xxhash64("tree", "node"))
     leaves = leaves.withColumn("salt", F.pmod(F.shiftrightunsigned("deal", 32), F.col("salts")))
     first = grouped(leaves.drop("salts"), ["tree", "leaf", "salt"], ["deal"], _first_edges, EDGE)
-    edges = stored(grouped(first, ["src"], [], _keep, EDGE), "graph")
+    edges = stored(grouped(first, ["src"], [], _keep, EDGE), "graph", count * (TREES + RANDOM) * DEGREE)
     for _ in range(ROUNDS):
         least = edges.groupBy(F.col("src").alias("node")).agg(
             F.when(F.count("*") >= DEGREE, F.min("sim")).otherwise(float("-inf")).cast("float").alias("least"))
         known = nodes.select("node", "code").join(least, "node", "left").fillna(float("-inf"), "least")
         meeting = _neighbours(edges).join(known, "node")
         offers = grouped(meeting, ["center"], [], _meet, EDGE)
-        edges = stored(grouped(edges.unionByName(offers), ["src"], [], _keep, EDGE), "graph")
+        edges = stored(grouped(edges.unionByName(offers), ["src"], [], _keep, EDGE), "graph",
+                       count * DEGREE * (1 + 2 * OFFERS))
         del least, known, meeting, offers
         spark._jvm.System.gc()  # lets Spark drop the shuffle files of the round
     return edges
@@ -300,7 +301,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, count: int, k
     around = grouped(_neighbours(edges).unionByName(_links(nodes, count)).join(nodes.select("node", "code"), "node"),
                      ["center"], [], _adjacent, "center long, nodes binary, codes binary")
     # Dealt by node once and kept; every hop joins it where it is.
-    around = stored(around, "adjacency").repartition(width, "center").persist()
+    around = stored(around, "adjacency", count * 16 * (DEGREE + LINKED)).repartition(width, "center").persist()
     first = {r["node"]: bytes(r["code"]) for order, n in ((F.desc("norm"), ENTRIES), (F.xxhash64("node"), max(ENTRIES, k + 1)))
              for r in nodes.orderBy(order, "node").select("node", "code").limit(n).collect()}
     node, code = np.array(list(first), np.int64), _unpacked(b"".join(first.values()), len(first))
@@ -308,7 +309,9 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, count: int, k
                           "query long, node long, sim float, done boolean")
     own = queries.select("query", F.col("query").alias("node"), F.lit(float("inf")).cast("float").alias("sim"),
                          F.lit(False).alias("done"))
-    table = stored(grouped(own.unionByName(entered), ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool")
+    asked = queries.count()
+    table = stored(grouped(own.unionByName(entered), ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool",
+                   asked * (len(first) + 1))
     while table.where("now").limit(1).count():
         ahead = table.where("now").join(queries, "query").select("query", "node", "least", "asks")
         opened = around.join(ahead.hint("shuffle_hash"), F.col("center") == F.col("node")).select(
@@ -316,7 +319,8 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, count: int, k
         seen = map_batches(opened, _look, "query long, node long, sim float, done boolean")
         both = table.select("query", "node", "sim", "done").unionByName(seen)
         with batch_rows(spark, WIDE):
-            table = stored(grouped(both, ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool")
+            table = stored(grouped(both, ["query"], [], lambda rows: _pool(rows, pool, expand), state), "pool",
+                           asked * (pool + expand * 2 * (DEGREE + LINKED)))
         spark._jvm.System.gc()
     around.unpersist()
     return table.select("query", "node", "sim")
@@ -370,12 +374,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         (F.sum("x") / F.sum("n")).alias("mean")).orderBy("at").collect()
     centre = np.array([r["mean"] for r in sums])
     nodes = stored(map_batches(nodes, lambda it: _encode(it, norm, centre), f"vec {vec_type}, node long, "
-                               "ids array<long>, norm double, code binary, asks binary"), "nodes")
+                               "ids array<long>, norm double, code binary, asks binary"), "nodes", shape["c"] * 16)
     asking = rows.where("asks_it").select("vec_id", "vec").join(nodes.select("vec", "node"), "vec").select(
         F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
-    asking = stored(asking, "asking")
+    asking = stored(asking, "asking", shape["c"])
     queries = stored(asking.select("query").distinct().join(
-        nodes.select(F.col("node").alias("query"), "asks", F.col("vec").alias("query_vec")), "query"), "queries")
+        nodes.select(F.col("node").alias("query"), "asks", F.col("vec").alias("query_vec")), "query"), "queries", shape["c"])
     count = nodes.count()
     edges = build_graph(nodes, count)
     found = search(queries.select("query", "asks"), nodes, edges, count, k)
