@@ -80,18 +80,20 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     # Words are a column of their own: a lambda must not compute them again.
     worded = benchmark.select("item_id", words(F.col("text")).alias("words"))
-    short = stored(worded.where(F.size("words").between(1, SHINGLE - 1)).distinct(), "short-items")
+    count = benchmark.count()
+    short = stored(worded.where(F.size("words").between(1, SHINGLE - 1)).distinct(), "short-items", count)
     items = stored(worded.where(F.size("words") >= SHINGLE)
                    .select("item_id", shingles(F.col("words")).alias("hashes")).distinct()
-                   .withColumn("item", F.monotonically_increasing_id()), "items")
+                   .withColumn("item", F.monotonically_increasing_id()), "items", count * 64)
     items = items.withColumn("m", F.size("hashes"))
     keyed = docs.select("doc_id", row_digest(), words(F.col("text")).alias("words"))
-    candidates = stored(_candidates(docs.select("doc_id", "text"), keyed, items), "candidates")
+    candidates = _candidates(docs.select("doc_id", "text"), keyed, items)
     windows = stored(_windows(candidates), "windows").withColumns(
         {"a": F.xxhash64("window"), "b": F.xxhash64(F.lit(1), "window")})
     # A passage that many documents share is judged once.
-    kinds = stored(windows.groupBy("m", "a", "b").agg(F.first("window").alias("window")), "kinds")
-    close = stored(_similar(kinds, items), "similar")
+    known = windows.count() * 64
+    kinds = stored(windows.groupBy("m", "a", "b").agg(F.first("window").alias("window")), "kinds", known)
+    close = stored(_similar(kinds, items), "similar", known)
     found = windows.select("doc_id", "key", "m", "a", "b").distinct().join(
         bounded_broadcast(close), ["m", "a", "b"]).select("doc_id", "key", "item_id", "similarity")
     return (found.unionByName(_whole(keyed, short))
@@ -128,7 +130,7 @@ def _candidates(docs: DataFrame, keyed: DataFrame, items: DataFrame) -> DataFram
     keys = bounded_broadcast(per_doc.select("key"), basis=per_doc)
     held = docs.withColumn("key", row_digest()).join(keys, "key", "left_semi")
     once = held.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    return once.join(per_doc, "key")
+    return stored(once.join(per_doc, "key"), "candidates", per_doc.count() * 64)
 
 
 def _windows(candidates: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -224,7 +225,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     """
     prints = stored(fingerprints(docs, shingle), "fingerprints")
     items = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    root = components(links(items.select("fp"), radius, blocks), "a", "b")
+    # A row is dealt to a shard for each choice of blocks, and links up once in it.
+    shards = comb(blocks, radius)
+    root = components(links(items.select("fp"), radius, blocks), "a", "b", prints.count() * shards)
     item_root = items.join(root, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     named = item_root.join(
