@@ -60,6 +60,31 @@ def test_bytes_like_brute_force(spark, monkeypatch, shard):
         key(i, x) for (i, _), x in zip(rows, want, strict=True))
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    """The contract counts bytes: of passages that repeat across documents,
+    those of 399 bytes stay, those of 400 or more go; a repeat in one document goes as well."""
+    rng = random.Random(3)
+
+    def prose(size: int) -> str:
+        return " ".join("".join(rng.choices("abcdefghi", k=rng.randint(2, 6))) for _ in range(size))[:size - 1] + "x"
+
+    rows, want = [], []
+    for size in (399, 400, 401, 520):
+        passage = prose(size)
+        assert len(passage.encode()) == size and len(passage.split()) > 50
+        for _ in range(3):
+            edge = chr(ord("A") + len(rows))  # no byte before or after is shared
+            rows.append((len(rows), prose(700) + edge + passage + edge + prose(700)))
+            want.append((size, 1) if size >= 400 else (0, 0))
+    twice = prose(450)
+    rows.append((len(rows), f"{twice}Y{twice}Z"))
+    want.append((900, 2))
+    docs = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], SCHEMA)
+    got = sorted(tuple(r) for r in suffix_dedup.remove_repeats(docs).collect())
+    assert [r[2:4] for r in got] == want
+    assert got == [(i, *x) for (i, _), x in zip(rows, brute_bytes([t.encode() for _, t in rows], 400), strict=True)]
+
+
 def brute_words(rows: list[tuple], span: int, order) -> dict:
     first: dict = {}
     ordered = sorted(set(rows), key=order)
